@@ -42,7 +42,7 @@ DAMPING = 0.25
 DF_BITS, SLICE_BITS = 20, 14
 #: Further hubs that a bucket may name in one round.
 HUBS = 8
-_BLOCK = 4096
+_BLOCK = 1024
 
 
 def _bucket(s: np.ndarray) -> np.ndarray:
@@ -196,13 +196,14 @@ def link(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Data
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(document_weights(docs))
     made = sketches(docs, shared)
-    nodes = made.where(F.size("samples") > 0).groupBy("digest").agg(F.first("samples").alias("samples"))
+    nodes = written(made.where(F.size("samples") > 0).groupBy("digest").agg(F.first("samples").alias("samples")), "nodes")
     keys = F.array(*[F.xxhash64(F.lit(k), *[F.get("samples", k * ROWS + r) for r in range(ROWS)]) for k in range(BANDS)])
     members = nodes.select("digest", F.explode(keys).alias("key"))
     shared_keys = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     active = written(members.join(shared_keys, "key"), "buckets")
     samples = nodes.select("digest", "samples")
-    vectors = made.groupBy("digest").agg(F.first("shingles").alias("shingles"))
+    # Tables that joins with hot hubs read are written: their exchanges are plain, and a hot key can be split.
+    vectors = written(made.groupBy("digest").agg(F.first("shingles").alias("shingles")).join(active.select("digest").distinct(), "digest", "left_semi"), "vectors")
 
     @F.pandas_udf("double")
     def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -221,9 +222,9 @@ def link(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Data
         full = likely.join(named(vectors, "a", "va"), "a").join(named(vectors, "b", "vb"), "b")
         return written(full.where(similarity("va", "vb") >= threshold).select("a", "b"), "links")
 
-    hubs = active.groupBy("key").agg(F.min("digest").alias("b"))
+    hubs = written(active.groupBy("key").agg(F.min("digest").alias("b")), "hubs")
     links = verified(active.select("key", F.col("digest").alias("a")).join(hubs, "key").where(F.col("a") != F.col("b")).select("a", "b").distinct())
-    classes, named_hubs = components(links), written(hubs, "hubs")
+    classes, named_hubs = components(links), hubs
     while True:
         label = F.coalesce("class", "digest")
         placed = active.join(classes.withColumnRenamed("node", "digest"), "digest", "left").select("key", "digest", label.alias("class"))
@@ -251,7 +252,7 @@ def classify(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .join(classes.withColumnRenamed("node", "digest"), "digest", "left").join(degree, "digest", "left")
         .select("doc_id", "copies", F.coalesce("class", "digest").alias("class"), F.coalesce("links", F.lit(0).cast("long")).alias("n_links"))
     )
-    sizes = rows.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
+    sizes = written(rows.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size")), "sizes")
     return rows.join(sizes, "class").select(
         "doc_id", "class_id", "class_size", "n_links", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"),
         F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"),
