@@ -103,7 +103,8 @@ def decide(docs: DataFrame) -> DataFrame:
         "chunks", lambda c: F.concat(c["id"], c["length"].cast("binary"), c["check"].cast("binary")))
     rows = made.groupBy(ids.alias("recipe"), "text_sha256", "doc_id", "n_chars").agg(F.count("*").alias("copies"))
     order = F.struct((-F.col("n_chars")).alias("size"), F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
-    groups = rows.groupBy("recipe").agg(F.min(order).alias("first"), F.sum("copies").alias("group_size"))
+    # Written, so that the join reads both sides from plain exchanges and a hot recipe can be split.
+    groups = written(rows.groupBy("recipe").agg(F.min(order).alias("first"), F.sum("copies").alias("group_size")), "groups")
     joined = rows.join(groups, "recipe")
     stays = F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("n_chars") == -F.col("first.size"))
     return joined.select(
