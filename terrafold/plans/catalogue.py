@@ -1 +1,3 @@
 """Importing this module registers every query."""
+
+from terrafold.plans import q_cells, q_core, q_more  # noqa: F401
