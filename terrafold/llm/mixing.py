@@ -86,7 +86,8 @@ def draw(rows: DataFrame, weights: tuple = WEIGHTS, cap: int = CAP, seed: int =
         if k < PASSES - 1:
             left = step.where("not chosen").select("doc_id", "src", "size", "e")
             used = got.groupBy("src").agg(F.sum("size").alias("used"))
-            room = room.join(used, "src", "left").select("src", (F.col("room") - F.coalesce("used", F.lit(0))).alias("room"))
+            # Written: a table of one small row per source, whose size Spark knows when it plans the join.
+            room = written(room.join(used, "src", "left").select("src", (F.col("room") - F.coalesce("used", F.lit(0))).alias("room")), "room")
     # Equal rows differ in nothing but their number: chosen ones are counted, and given out by position.
     counts = taken.groupBy("src", F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "size", "e").agg(F.count("*").alias("chosen"))
     own = Window.partitionBy("src", "id", "none", "size", "e").orderBy("doc_id")
