@@ -8,11 +8,13 @@
    far less than each copy's own edits.
 3. ROWS x BANDS consistent weighted samples of each text (Ioffe's scheme); texts that agree on all
    samples of a band share a bucket. Texts with equal shingles are one node from here on.
-4. Each bucket names a hub, and its members are compared with the hub only, so pairs are linear in
-   the members. Agreement of the samples below LEAST_AGREEMENT rules a pair out (6 deviations from
+4. Each bucket names a hub, the member that meets most others in all its buckets, and members are
+   compared with their hubs only, so pairs are linear in the members. Agreement of the samples below LEAST_AGREEMENT rules a pair out (6 deviations from
    0.8); the rest are verified by exact weighted Jaccard similarity, THRESHOLD or more.
-5. Links give connected components. Every class that a bucket holds besides its hubs' classes then
-   names a further hub there, until no bucket holds a class without a hub; no bucket is capped.
+5. Links give connected components. Members of a bucket that are not in its hub's class (a bucket of
+   a passage that several classes share) meet again in finer buckets, by FINER more samples at a time
+   and from two places of the sample list, with hubs of their own: texts of other classes fall away,
+   copies stay together. Nothing is capped; work is linear in the members at every level.
 
 Defined cases: null counts as empty; a text without words is alone in its class; class_id is the
 smallest doc_id of a class, which stays; rows that repeat a doc_id count as rows of that document;
@@ -40,8 +42,8 @@ SAMPLES = BANDS * ROWS
 LEAST_AGREEMENT = 0.5
 DAMPING = 0.25
 DF_BITS, SLICE_BITS = 20, 14
-#: Further hubs that a bucket may name in one round.
-HUBS = 8
+#: Members that are not in their hub's class meet again in buckets that agree on FINER more samples.
+LEVELS, FINER = 2, 2
 _BLOCK = 1024
 
 
@@ -191,19 +193,29 @@ def _agreement(a: Column, b: Column) -> Column:
     return same / SAMPLES
 
 
+def _led(members: DataFrame) -> DataFrame:
+    """members (a, band, key, score) of buckets of two or more, with the bucket's hub b: the highest score, then the smallest digest."""
+    hubs = members.groupBy("key").agg(F.min(F.struct((-F.col("score")).alias("score"), "a")).alias("h"), F.count("*").alias("n"))
+    hubs = written(hubs.where("n > 1").select("key", F.col("h.a").alias("b")), "hubs")
+    return written(members.join(hubs, "key"), "buckets")
+
+
 def link(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sketches, the verified links (a, b: digests) and the classes of the nodes that have links."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(document_weights(docs))
     made = sketches(docs, shared)
     nodes = written(made.where(F.size("samples") > 0).groupBy("digest").agg(F.first("samples").alias("samples")), "nodes")
-    keys = F.array(*[F.xxhash64(F.lit(k), *[F.get("samples", k * ROWS + r) for r in range(ROWS)]) for k in range(BANDS)])
-    members = nodes.select("digest", F.explode(keys).alias("key"))
-    shared_keys = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    active = written(members.join(shared_keys, "key"), "buckets")
+    keys = F.array(*[F.struct(F.lit(k).alias("band"), F.xxhash64(F.lit(k), *[F.get("samples", k * ROWS + r) for r in range(ROWS)]).alias("key")) for k in range(BANDS)])
+    members = nodes.select("digest", F.explode(keys).alias("k")).select("digest", "k.band", "k.key")
+    sizes = written(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    crowded = written(members.withColumnRenamed("digest", "a").join(sizes, "key"), "buckets")
+    # The text that meets most others leads its buckets: of copies that were each edited apart, their common source.
+    scores = written(crowded.groupBy("a").agg(F.sum("n").alias("score")), "scores")
+    active = _led(written(crowded.drop("n").join(scores, "a"), "members"))
     samples = nodes.select("digest", "samples")
     # Tables that joins with hot hubs read are written: their exchanges are plain, and a hot key can be split.
-    vectors = written(made.groupBy("digest").agg(F.first("shingles").alias("shingles")).join(active.select("digest").distinct(), "digest", "left_semi"), "vectors")
+    vectors = written(made.groupBy("digest").agg(F.first("shingles").alias("shingles")).join(active.select(F.col("a").alias("digest")).distinct(), "digest", "left_semi"), "vectors")
 
     @F.pandas_udf("double")
     def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -222,25 +234,23 @@ def link(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Data
         full = likely.join(named(vectors, "a", "va"), "a").join(named(vectors, "b", "vb"), "b")
         return written(full.where(similarity("va", "vb") >= threshold).select("a", "b"), "links")
 
-    hubs = written(active.groupBy("key").agg(F.min("digest").alias("b")), "hubs")
-    links = verified(active.select("key", F.col("digest").alias("a")).join(hubs, "key").where(F.col("a") != F.col("b")).select("a", "b").distinct())
-    classes, named_hubs = components(links), hubs
-    while True:
-        label = F.coalesce("class", "digest")
-        placed = active.join(classes.withColumnRenamed("node", "digest"), "digest", "left").select("key", "digest", label.alias("class"))
-        covered = named_hubs.withColumnRenamed("b", "digest").join(classes.withColumnRenamed("node", "digest"), "digest", "left").select(
-            "key", label.alias("class")).distinct()
-        left = written(placed.join(covered, ["key", "class"], "left_anti"), "left")
+    links = verified(active.where("a != b").select("a", "b").distinct())
+    classes = components(links)
+    for level in range(LEVELS):
+        of = lambda c: classes.select(F.col("node").alias(c), F.col("class").alias(f"class_{c}"))
+        apart = active.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("class_a", "a") != F.coalesce("class_b", "b"))
+        left = written(apart.select("a", "band", "key", "score"), "left")
         if not left.head(1):
-            return made, links, classes
-        more = written(left.groupBy("key", F.pmod(F.xxhash64("digest"), F.lit(HUBS)).alias("part")).agg(
-            F.min(F.struct("digest", "class")).alias("h")).select("key", F.col("h.digest").alias("b"), F.col("h.class").alias("hub_class")), "hubs")
-        pairs = placed.withColumnRenamed("digest", "a").join(more, "key").where(F.col("class") != F.col("hub_class")).select("a", "b").distinct()
-        fresh = verified(pairs)
+            break
+        at = lambda turn, k: F.get("s", (F.col("band") * ROWS + ROWS * turn + FINER * level + k) % SAMPLES)
+        finer = F.array(*[F.xxhash64(F.lit(turn), "key", *[at(turn, k) for k in range(FINER)]) for turn in (1, BANDS // 2)])
+        members = left.join(named(samples, "a", "s"), "a").select("a", "band", "score", F.explode(finer).alias("key"))
+        active = _led(written(members, "members"))
+        fresh = verified(active.where("a != b").select("a", "b").distinct().join(links, ["a", "b"], "left_anti"))
         if fresh.head(1):
-            links = written(links.union(fresh), "links")
+            links = written(links.union(fresh).distinct(), "links")
             classes = components(links)
-        named_hubs = written(named_hubs.union(more.select("key", "b")), "hubs")
+    return made, links, classes
 
 
 def classify(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
