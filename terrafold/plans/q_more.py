@@ -1 +1,264 @@
-"""Further queries."""
+"""Queries on assessment, gates, text, records, layers, upserts."""
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from terrafold.functions import encoding as E
+from terrafold.functions import grid as G
+from terrafold.functions import text as X
+from terrafold.operators import assess as S
+from terrafold.operators import cells as C
+from terrafold.operators import gates as Q
+from terrafold.operators import spans as P
+from terrafold.plans import layers as L
+from terrafold.plans.registry import register
+from terrafold.sources import derived as D
+from terrafold.sources import store
+from terrafold.sources.derived import area, sql
+
+A = area()
+
+_POINTS = """p AS (SELECT l.doc_id, CASE d.doc_id % 3 WHEN 0 THEN 'before_2015' WHEN 1 THEN 'new_2015_2024' ELSE 'not_built' END AS map,
+CASE WHEN l.quality IS NULL THEN NULL WHEN l.quality = 1 THEN CASE d.doc_id % 3 WHEN 0 THEN 'before_2015' WHEN 1 THEN 'new_2015_2024' ELSE 'not_built' END ELSE CASE (d.doc_id + 1) % 3 WHEN 0 THEN 'before_2015' WHEN 1 THEN 'new_2015_2024' ELSE 'not_built' END END AS ref
+FROM labels l JOIN documents d USING (doc_id)), a AS (SELECT * FROM (VALUES ('before_2015', 300.0::DOUBLE), ('new_2015_2024', 25.0::DOUBLE), ('not_built', 7000.0::DOUBLE)) t(map, km2))"""
+
+
+def points(spark, d):
+    name = lambda k: F.when(k % 3 == 0, "before_2015").when(k % 3 == 1, "new_2015_2024").otherwise("not_built")
+    i = F.col("doc_id")
+    rows = D.table(spark, d, "labels").join(D.table(spark, d, "documents").select("doc_id"), "doc_id")
+    return rows.select("doc_id", name(i).alias("map"), F.when(F.col("quality") == 1, name(i)).when(F.col("quality").isNotNull(), name(i + 1)).alias("ref"))
+
+
+def strata(spark):
+    return spark.createDataFrame([("before_2015", 300.0), ("new_2015_2024", 25.0), ("not_built", 7000.0)], "map string, km2 double")
+
+
+@register("confusion_matrix", f"WITH {_POINTS} SELECT map, ref, count(*) AS n FROM p WHERE ref IS NOT NULL GROUP BY 1,2")
+def confusion_matrix(spark, d):
+    return S.confusion(points(spark, d))
+
+
+@register("accuracy_assessment", f"""WITH {_POINTS}, n AS (SELECT map, ref, count(*) AS n FROM p WHERE ref IS NOT NULL GROUP BY 1,2),
+c AS (SELECT n.map, ref, n.n::DOUBLE / sum(n.n) OVER (PARTITION BY n.map) AS p, sum(n.n) OVER (PARTITION BY n.map) AS t, km2/(SELECT sum(km2) FROM a) AS w, km2 FROM n JOIN a USING (map)),
+r AS (SELECT ref, sum(w*p) AS share, sqrt(sum(w*w*p*(1-p)/nullif(t-1,0))) AS se FROM c GROUP BY 1)
+SELECT r.ref AS class, round(c.p,6) AS users, round(1.96*sqrt(c.p*(1-c.p)/nullif(t-1,0)),6) AS users_ci, round(c.w*c.p/share,6) AS producers, round(km2,6) AS mapped_km2,
+round(share*(SELECT sum(km2) FROM a),6) AS adjusted_km2, round(1.96*se*(SELECT sum(km2) FROM a),6) AS adjusted_ci FROM r JOIN c ON c.ref = r.ref AND c.map = r.ref""")
+def accuracy_assessment(spark, d):
+    return S.accuracy(points(spark, d), strata(spark))
+
+
+@register("overall_accuracy", f"WITH {_POINTS}, o AS (SELECT map, avg(CASE WHEN map=ref THEN 1.0::DOUBLE ELSE 0 END) AS p FROM p WHERE ref IS NOT NULL GROUP BY 1) SELECT round(sum(p*km2)/sum(km2),6) AS overall FROM o JOIN a USING (map)")
+def overall_accuracy(spark, d):
+    return S.overall(points(spark, d), strata(spark))
+
+
+@register("sample_design", """WITH s AS (SELECT *, km2/sum(km2) OVER () AS w, sqrt(e*(1-e)) AS s FROM (VALUES ('a',300.0::DOUBLE,0.9::DOUBLE),('b',25.0::DOUBLE,0.6::DOUBLE),('c',7000.0::DOUBLE,0.99::DOUBLE)) t(stratum,km2,e)),
+n AS (SELECT stratum, km2, greatest(round_even(ceil(pow(sum(w*s) OVER ()/0.01,2))*w,0),100)::BIGINT AS usable FROM s) SELECT stratum, km2, usable, least(ceil(usable/0.9),1000)::BIGINT AS draw FROM n""")
+def sample_design(spark, d):
+    return S.design(spark.createDataFrame([("a", 300.0, 0.9), ("b", 25.0, 0.6), ("c", 7000.0, 0.99)], "stratum string, km2 double, expected double"))
+
+
+@register("stratified_draw")
+def stratified_draw(spark, d):
+    pool = D.cells(spark, d).select(E.stratum(F.col("v")).alias("stratum"), (F.col("r") * 1000 + F.col("c")).alias("id"))
+    sizes = spark.createDataFrame([("before 2015", 50), ("undated", 30)], "stratum string, draw int")
+    return S.draw(pool, sizes, "id", seed=4)
+
+
+@register("stratum_areas", sql("cell", f"SELECT CASE WHEN v=0 THEN 'not built' WHEN v=255 THEN 'undated' WHEN v+1899<2015 THEN 'before 2015' ELSE '2015-2024' END AS stratum, round(sum({A})/1e6,6) AS km2 FROM cell GROUP BY 1"))
+def stratum_areas(spark, d):
+    return D.cells(spark, d).groupBy(E.stratum(F.col("v")).alias("stratum")).agg(G.km2(F.sum(G.row_area(F.col("r")))).alias("km2"))
+
+
+_LAB = "WITH l AS (SELECT conv_id, turn, CASE WHEN length(text)%4=0 THEN 'not' WHEN length(text)%4=3 THEN 'unsure' ELSE 'built' END AS a, CASE WHEN length(text)%5=0 THEN 'not' WHEN length(text)%5=4 THEN 'unsure' ELSE 'built' END AS b FROM conversations)\n"
+
+
+def labelled(spark, d):
+    n = F.length("text")
+    return D.table(spark, d, "conversations").select("conv_id", "turn", F.when(n % 4 == 0, "not").when(n % 4 == 3, "unsure").otherwise("built").alias("a"), F.when(n % 5 == 0, "not").when(n % 5 == 4, "unsure").otherwise("built").alias("b"))
+
+
+@register("reference_classes", _LAB + """SELECT CASE WHEN a='built' AND b='built' THEN 'before_2015' WHEN a='not' AND b='built' THEN 'new_2015_2024' WHEN a='built' AND b='not' THEN 'lost_2015_2024' WHEN a='not' AND b='not' THEN 'not_built' END AS class,
+CASE WHEN b='not' THEN 'not_built' WHEN b='built' AND a='built' THEN 'before_2015' WHEN b='built' AND a='not' THEN 'new_2015_2024' END AS coarse, count(*) AS n FROM l GROUP BY 1,2""")
+def reference_classes(spark, d):
+    x = labelled(spark, d)
+    return x.groupBy(E.reference_class(F.col("a"), F.col("b")).alias("class"), E.coarse_reference_class(F.col("a"), F.col("b")).alias("coarse")).agg(F.count("*").alias("n"))
+
+
+@register("label_agreement", _LAB + "SELECT count(*) AS n, count(*) FILTER (WHERE a<>b) AS changed, round(count(*) FILTER (WHERE a<>b)/count(*)::DOUBLE,6) AS rate, count(*) FILTER (WHERE a='unsure' OR b='unsure') AS unsure FROM l")
+def label_agreement(spark, d):
+    x = labelled(spark, d)
+    diff = F.col("a") != F.col("b")
+    return x.agg(F.count("*").alias("n"), F.count_if(diff).alias("changed"), F.round(F.count_if(diff) / F.count("*"), 6).alias("rate"), F.count_if((F.col("a") == "unsure") | (F.col("b") == "unsure")).alias("unsure"))
+
+
+@register("density_matched_rates", sql("cell cell2", """, f AS (SELECT CAST(a.r+i AS INT) AS r, CAST(a.c+j AS INT) AS c, count(*)/49.0::DOUBLE AS d FROM cell2 a, range(-3,4) x(i), range(-3,4) y(j) GROUP BY 1,2),
+b AS (SELECT CASE WHEN d<0.25 THEN 1 WHEN d<0.5 THEN 2 WHEN d<0.75 THEN 3 ELSE 4 END AS bin, v=255 AS undated FROM cell JOIN f USING (r,c))
+SELECT bin, count(*) AS n, round(count(*) FILTER (WHERE undated)/count(*)::DOUBLE,6) AS rate FROM b GROUP BY 1 HAVING count(*)>=50"""))
+def density_matched_rates(spark, d):
+    f = C.mean_filter(D.cells2(spark, d), 3)
+    x = F.col("density")
+    bins = F.when(x < 0.25, 1).when(x < 0.5, 2).when(x < 0.75, 3).otherwise(4)
+    j = D.cells(spark, d).join(f, ["r", "c"]).groupBy(bins.alias("bin")).agg(F.count("*").alias("n"), F.round(F.count_if(F.col("v") == 255) / F.count("*"), 6).alias("rate"))
+    return j.where("n >= 50")
+
+
+@register("gates", sql("series", """, m AS (SELECT grp, max(total)/1e6 AS built, CAST(count(*) AS DOUBLE)*40 AS ref FROM series GROUP BY 1)
+SELECT 'totals' AS gate, 'x' AS layer, grp AS island, CASE WHEN length(grp)%2=1 THEN built/ref BETWEEN 0.5 AND 2 END AS passed, CASE WHEN length(grp)%2=1 THEN round(built/ref,6) END AS value, '0.5..2.0' AS expected, length(grp)%2=0 AS skipped,
+CASE WHEN length(grp)%2=0 THEN 'not applicable' WHEN built/ref BETWEEN 0.5 AND 2 THEN 'ok' ELSE 'outside' END AS detail FROM m"""))
+def gates(spark, d):
+    return Q.totals(_measured(spark, d), 0.5, 2.0)
+
+
+def _measured(spark, d):
+    m = D.series(spark, d).groupBy(F.col("grp").alias("island")).agg((F.max("total") / 1e6).alias("built_km2"), (F.count("*").cast("double") * 40).alias("ref"))
+    return m.select(F.lit("x").alias("layer"), "island", "built_km2", F.when(F.length("island") % 2 == 1, F.col("ref")).alias("reference_km2"))
+
+
+@register("gate_summary", sql("series", """, m AS (SELECT grp, max(total)/1e6 AS built, CAST(count(*) AS DOUBLE)*40 AS ref FROM series GROUP BY 1)
+SELECT 'totals' AS gate, count(*) FILTER (WHERE length(grp)%2=1 AND built/ref BETWEEN 0.5 AND 2) AS passed, count(*) FILTER (WHERE length(grp)%2=1) AS measured, count(*) FILTER (WHERE length(grp)%2=0) AS skipped FROM m"""))
+def gate_summary(spark, d):
+    return Q.summary(gates(spark, d))
+
+
+@register("growth_gate", sql("cell", "SELECT 'growth-only' AS gate, 'x' AS layer, CASE WHEN r<100 THEN 'north' ELSE 'south' END AS island, min(v)+1899>=1900 AND max(v)+1899<=2099 AS passed, round(min(v)+1899.0,6)::DOUBLE AS value, '1900..2099' AS expected, false AS skipped, 'ok' AS detail FROM cell WHERE v<>255 GROUP BY 3"))
+def growth_gate(spark, d):
+    y = D.cells(spark, d).where("v != 255").groupBy(F.when(F.col("r") < 100, "north").otherwise("south").alias("island")).agg((F.min("v") + 1899).alias("first_year"), (F.max("v") + 1899).alias("last_year"))
+    return Q.growth_only(y.withColumn("layer", F.lit("x")))
+
+
+@register("missing_links", "SELECT url AS href, true AS inside FROM pages WHERE page_id % 3 <> 0")
+def missing_links(spark, d):
+    p = D.table(spark, d, "pages")
+    return Q.resolves(p.select(F.col("url").alias("href")), p.where("page_id % 3 = 0").select(F.col("url").alias("path")))
+
+
+@register("upsert", "SELECT c_custkey, c_mktsegment, CASE WHEN c_nationkey=3 THEN -1.0 ELSE c_acctbal END AS c_acctbal FROM customer")
+def upsert(spark, d):
+    old = D.table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal", "c_nationkey")
+    new = old.where("c_nationkey = 3").withColumn("c_acctbal", F.lit(-1.0)).drop("c_nationkey")
+    return store.upsert(old.drop("c_nationkey"), new, ["c_custkey"])
+
+
+@register("merged_statistics", "SELECT s_suppkey, CASE WHEN s_suppkey%4=0 THEN 0.5 ELSE s_acctbal END AS s_acctbal, s_name FROM supplier")
+def merged_statistics(spark, d):
+    old = D.table(spark, d, "supplier").select("s_suppkey", "s_acctbal", "s_name")
+    new = old.where("s_suppkey % 4 = 0").select("s_suppkey", F.lit(0.5).alias("s_acctbal"), F.lit(None).cast("string").alias("s_name"))
+    return store.merged(old, new, ["s_suppkey"])
+
+
+@register("changed_files", "SELECT s_name AS key, CAST(s_nationkey AS VARCHAR) AS digest FROM supplier WHERE s_suppkey % 2 = 1")
+def changed_files(spark, d):
+    f = D.table(spark, d, "supplier").select(F.col("s_name").alias("key"), F.col("s_nationkey").cast("string").alias("digest"), "s_suppkey")
+    sent = f.select("key", F.when(F.col("s_suppkey") % 2 == 0, F.col("digest")).otherwise("old").alias("digest"))
+    return store.changed(f.select("key", "digest"), sent)
+
+
+@register("figure_tokens")
+def figure_tokens(spark, d):
+    return D.table(spark, d, "documents").select("doc_id", F.explode(X.figures(X.without_generated(F.col("text")))).alias("token")).groupBy("doc_id").agg(F.count("*").alias("figures"), F.countDistinct(X.normalised(F.col("token"))).alias("different"))
+
+
+@register("exempt_counts", r"""SELECT page_id, len(regexp_extract_all(html, '\b\d{4}-\d{2}-\d{2}\b')) AS dates FROM pages""")
+def exempt_counts(spark, d):
+    return D.table(spark, d, "pages").select("page_id", X.exemptions(F.col("html"))[0].alias("dates"))
+
+
+@register("page_links", "SELECT page_id, len(regexp_extract_all(html, 'href=\"[^\"]*\"')) AS links, contains(lower(html), 'lorem ipsum') AS placeholder FROM pages")
+def page_links(spark, d):
+    h = F.col("html")
+    return D.table(spark, d, "pages").select("page_id", F.size(F.regexp_extract_all(h, F.lit('(href="[^"]*")'), 1)).cast("long").alias("links"), F.lower(h).contains("lorem ipsum").alias("placeholder"))
+
+
+@register("set_fingerprint")
+def set_fingerprint(spark, d):
+    return D.table(spark, d, "nation").groupBy("n_regionkey").agg(F.collect_set("n_name").alias("names")).select("n_regionkey", X.fingerprint(F.col("names")).alias("sha256"))
+
+
+@register("name_lists", "SELECT n_regionkey, array_to_string(list(n_name ORDER BY n_name)[:-2], ', ') || ' and ' || max(n_name) AS names FROM nation GROUP BY 1 HAVING count(*) > 1")
+def name_lists(spark, d):
+    g = D.table(spark, d, "nation").groupBy("n_regionkey").agg(F.sort_array(F.collect_list("n_name")).alias("n"))
+    return g.where(F.size("n") > 1).select("n_regionkey", X.joined_names(F.col("n")).alias("names"))
+
+
+@register("lineage_sentences", "SELECT n_name AS name, 'Built from ' || n_name || ' in region ' || n_regionkey || '.' AS sentence FROM nation")
+def lineage_sentences(spark, d):
+    return D.table(spark, d, "nation").select(F.col("n_name").alias("name"), X.filled_template("Built from {name} in region {region}.", {"name": F.col("n_name"), "region": F.col("n_regionkey")}).alias("sentence"))
+
+
+@register("layer_settlement_a", sql("cell cell2 pct zone", """, land AS (SELECT DISTINCT r, c FROM zone)
+SELECT a.r, a.c, CAST(CASE WHEN b.v IS NOT NULL AND b.v<>255 AND b.v+1899<=1999 THEN b.v ELSE 255 END AS INT) AS v FROM cell a SEMI JOIN land USING (r,c) ANTI JOIN (SELECT r,c FROM pct WHERE v>=100) g ON g.r=a.r AND g.c=a.c LEFT JOIN cell2 b ON b.r=a.r//2 AND b.c=a.c//2"""))
+def layer_settlement_a(spark, d):
+    years = D.cells2(spark, d).withColumn("year", F.when(F.col("v") == 255, 0).otherwise(F.col("v") + 1899))
+    land = P.rasterise(D.vertices(spark)).select("r", "c").distinct()
+    return L.settlement_a(years, D.cells(spark, d), D.percents(spark, d).where("v >= 100"), land, k=2, last=1999)
+
+
+@register("layer_buildings", sql("zone cell", """, y AS (SELECT zone, CASE zone WHEN 'tri' THEN 80 WHEN 'box' THEN 255 ELSE 91 END AS v FROM (SELECT DISTINCT zone FROM vert)) SELECT r, c, min(y.v) AS v FROM zone JOIN y USING (zone) SEMI JOIN cell USING (r,c) GROUP BY 1,2"""))
+def layer_buildings(spark, d):
+    years = spark.createDataFrame([("tri", 80), ("box", 255), ("ring", 91)], "zone string, v int")
+    return L.buildings_dated(years, D.vertices(spark), D.cells(spark, d))
+
+
+@register("layer_density", sql("pct zone", f", land AS (SELECT DISTINCT r, c FROM zone) SELECT round(sum(v/100.0*{A})/1e6,6) AS km2 FROM pct SEMI JOIN land USING (r,c) WHERE v<=100"))
+def layer_density(spark, d):
+    land = P.rasterise(D.vertices(spark)).select("r", "c").distinct()
+    return L.headline(L.density_current(D.percents(spark, d), land), "percent")
+
+
+@register("layer_trend", "SELECT CAST(pos AS INT) AS band, round(sum(embedding[pos+1]::DOUBLE)/1e6,6) AS surface_km2 FROM embeddings, range(8) t(pos) GROUP BY 1")
+def layer_trend(spark, d):
+    bands = D.table(spark, d, "embeddings").select(F.posexplode("embedding").alias("band", "v")).where("band < 8").select("band", F.col("v").cast("double").alias("v"))
+    return L.trend_km2(bands)
+
+
+@register("layer_changes", sql("cell", f"SELECT CASE WHEN r<100 THEN 'p1' ELSE 'p2' END AS period, v%3 AS v, round(sum({A})/1e6,6) AS km2 FROM cell GROUP BY 1,2"))
+def layer_changes(spark, d):
+    return L.loss_events(D.cells(spark, d).select(F.when(F.col("r") < 100, "p1").otherwise("p2").alias("period"), "r", "c", (F.col("v") % 3).alias("v")))
+
+
+@register("top_years", """WITH y AS (SELECT CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS INT) AS key, count(*) AS n FROM orders GROUP BY 1)
+SELECT key, n, round(100.0*n/(SELECT count(*) FROM orders),6) AS share_pct FROM y ORDER BY n DESC, key LIMIT 8""")
+def top_years(spark, d):
+    o = D.table(spark, d, "orders").groupBy(F.datediff(F.to_date("o_orderdate"), F.lit("1995-01-01").cast("date")).alias("key")).agg(F.count("*").alias("n"))
+    total = o.agg(F.sum("n").alias("total"))
+    return o.crossJoin(F.broadcast(total)).select("key", "n", F.round(100.0 * F.col("n") / F.col("total"), 6).alias("share_pct")).orderBy(F.desc("n"), "key").limit(8)
+
+
+@register("order_statistics", """WITH g AS (SELECT l_linestatus AS k, list(l_quantity ORDER BY l_quantity) AS q FROM lineitem GROUP BY 1) SELECT k, q[len(q)//2+1] AS middle, q[CAST(floor(len(q)*0.9) AS INT)+1] AS p90, q[len(q)] AS most FROM g""")
+def order_statistics(spark, d):
+    """Order statistics by index, not interpolated: ranks come from counts per value, not from collected lists."""
+    counts = D.table(spark, d, "lineitem").groupBy(F.col("l_linestatus").alias("k"), F.col("l_quantity").alias("q")).agg(F.count("*").alias("n"))
+    w = Window.partitionBy("k").orderBy("q").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("upto", F.sum("n").over(w)).withColumn("total", F.sum("n").over(Window.partitionBy("k")))
+    at = lambda i: F.min(F.when(F.col("upto") > i, F.col("q")))
+    return ranked.groupBy("k").agg(at(F.floor(F.col("total") / 2)).alias("middle"), at(F.floor(F.col("total") * 0.9)).alias("p90"), F.max("q").alias("most"))
+
+
+@register("crop_shares", "SELECT p_type AS kind, count(*) AS n, round(100.0*count(*) FILTER (WHERE p_size>25)/count(*),4) AS share_pct FROM part GROUP BY 1 HAVING count(*)>=20 ORDER BY 3 DESC, 1 LIMIT 5")
+def crop_shares(spark, d):
+    g = D.table(spark, d, "part").groupBy(F.col("p_type").alias("kind")).agg(F.count("*").alias("n"), F.round(100.0 * F.count_if(F.col("p_size") > 25) / F.count("*"), 4).alias("share_pct"))
+    return g.where("n >= 20").orderBy(F.desc("share_pct"), "kind").limit(5)
+
+
+@register("conditional_means", "SELECT o_orderpriority AS grp, round(avg(o_totalprice) FILTER (WHERE year(o_orderdate)<=1997),4) AS early, round(avg(o_totalprice) FILTER (WHERE year(o_orderdate)>1997),4) AS late FROM orders GROUP BY 1")
+def conditional_means(spark, d):
+    y, p = F.year("o_orderdate"), F.col("o_totalprice")
+    return D.table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("grp")).agg(F.round(F.avg(F.when(y <= 1997, p)), 4).alias("early"), F.round(F.avg(F.when(y > 1997, p)), 4).alias("late"))
+
+
+@register("first_epoch_per_user", sql("epoch", "SELECT user_id, epoch FROM epoch"))
+def first_epoch_per_user(spark, d):
+    return D.epochs(spark, d)
+
+
+@register("link_precedence", "SELECT s_suppkey, CASE WHEN s_suppkey%2=0 THEN 'published' WHEN s_suppkey%3=0 THEN 'live' WHEN s_suppkey%5=0 THEN 'local' END AS reason FROM supplier")
+def link_precedence(spark, d):
+    s = D.table(spark, d, "supplier").select("s_suppkey")
+    held = None
+    for k, name in ((2, "published"), (3, "live"), (5, "local")):
+        part = s.where(f"s_suppkey % {k} = 0").select("s_suppkey", F.lit(name).alias("reason"), F.lit(k).alias("k"))
+        held = part if held is None else held.union(part)
+    first = held.groupBy("s_suppkey").agg(F.min_by("reason", "k").alias("reason"))
+    return s.join(first, "s_suppkey", "left")
