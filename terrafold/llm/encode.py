@@ -1,10 +1,11 @@
 """Token ids by the tokenizers library, with a bounded cache of the ids of recurring units.
 
 A text is cut into units that its tokenizer never merges across: for a vocabulary with word ends the
-parts between spaces and line feeds, for byte-level BPE a run of non-space characters with the space
-before it, or a run of white space. Equal units have equal ids, so each is encoded once while it
-stays in the cache. Texts with characters whose class differs between the two pattern libraries are
-encoded whole.
+parts between spaces and line feeds, for byte-level BPE a word with the space or line feed before it,
+or, where white space stands together, a run of non-space characters or of white space. Equal units
+have equal ids, so each is encoded once while it stays in the cache; of a unit that is not cached,
+letters and the punctuation after them are encoded apart. Texts with characters whose class differs
+between the two pattern libraries are encoded whole.
 """
 
 from __future__ import annotations
@@ -12,19 +13,64 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
+from collections.abc import Callable, Iterable
 from functools import cache
 
 import numpy as np
 
-#: Units cached per worker; the cache is emptied beyond it.
-MOST_UNITS = 400_000
+#: Units in each of the two generations of a worker's cache: a full one replaces the older one.
+MOST_UNITS = 300_000
 LONGEST_UNIT = 48
+#: Units encoded in one call.
+AT_ONCE = 1024
 
 #: A word of letters before a full stop or comma, then any run of non-space, then white space.
 _UNITS = re.compile(r" ?[^\W\d_]+(?=[.,](?:\s|$))| ?\S+|\s+(?!\S)|\s+")
 #: Between units that are encoded in one call, by kind of vocabulary; always tokens of their own.
 _BETWEEN = {True: (" \x01 ", "\x01"), False: ("\n", "\n")}
 _ODD = re.compile("[\x1c-\x1f\x85]")
+_TOGETHER = re.compile(r"\s\s|\s\Z")
+
+Encode = Callable[[list[str]], dict[str, bytes]]
+
+
+class Units:
+    """Ids of units, kept in two generations; encode gives those of units, encode_after those of what follows a letter."""
+
+    def __init__(self, encode: Encode, encode_after: Encode) -> None:
+        self.encode, self.encode_after = encode, encode_after
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.passing: list[str] = []
+
+    def of(self, cuts: Iterable[list[str]]) -> dict[str, bytes]:
+        """The ids of every unit of the cuts; to be read before the next call."""
+        for unit in self.passing:
+            self.young.pop(unit, None)
+        if len(self.young) > MOST_UNITS:
+            self.old, self.young = self.young, {}
+        young, old, new, ends = self.young, self.old, [], {}
+
+        def missing(units):
+            for unit in units:
+                if unit in old:
+                    young[unit] = old[unit]
+                else:
+                    yield unit
+
+        for unit in missing(set().union(*cuts).difference(young)):
+            stem = unit.rstrip(string.punctuation)
+            if len(stem) < len(unit) and stem[-1:].lower().isalpha():
+                ends[unit] = stem
+            else:
+                new.append(unit)
+        new += missing(set(ends.values()).difference(young, new))
+        young.update(self.encode(new))
+        after = self.encode_after(list({u[len(s) :] for u, s in ends.items()}))
+        young.update((u, young[s] + after[u[len(s) :]]) for u, s in ends.items())
+        self.passing = [u for part in (new, ends) for u in part if len(u) > LONGEST_UNIT]
+        return young
 
 
 class Encoder:
@@ -36,9 +82,11 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             self.word_ends = bool(json.load(f)["model"].get("end_of_word_suffix"))
-        self.known: dict[str, bytes] = {}
+        #: Ids by what stands in the text, and, for byte-level BPE, by words without the space before them.
+        self.exact, self.words = Units(self._encoded, self._encoded), Units(self._spaced, self._encoded)
         self.glue, self.mark = _BETWEEN[self.word_ends]
         self.mark_id = self.tokenizer.encode(self.mark, add_special_tokens=False).ids[0]
+        self.mark_size = len(self._whole([self.mark])[0])
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -52,38 +100,46 @@ class Encoder:
         data, ends = ids.tobytes(), [*(at * 4).tolist(), 4 * len(ids)]
         return [data[i:j] for i, j in zip([0, *(e + 4 for e in ends)], ends, strict=False)]
 
-    def _units(self, text: str) -> list[str] | None:
-        if self.word_ends:
-            if "\u03a3" not in text:  # whose lower case depends on what follows
-                text = text.lower()
-            return text.replace("\n", " ").split(" ")
-        return None if _ODD.search(text) else _UNITS.findall(text)
+    def _encoded(self, units: list[str]) -> dict[str, bytes]:
+        """Ids of each unit, as it stands."""
+        out: dict[str, bytes] = {}
+        plain = [u for u in units if u and not u.isspace() and self.mark not in u]
+        other = [u for u in units if not u or u.isspace() or self.mark in u]
+        for encode, part in ((self._joined, plain), (self._whole, other)):
+            for at in range(0, len(part), AT_ONCE):
+                some = part[at : at + AT_ONCE]
+                out.update(zip(some, encode(some), strict=True))
+        return out
+
+    def _spaced(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of each word after a space, or after the line feed it begins with."""
+        lines = [w for w in words if w[:1] == "\n"]
+        bare = self.exact.of([[w[1:] for w in lines]])
+        mark = self._whole([self.mark])[0] if lines else b""
+        out = {w: mark + bare[w[1:]] for w in lines}
+        spaced = [w for w in words if w[:1] != "\n"]
+        ids = self._encoded([" " + w for w in spaced])
+        return out | {w: ids[" " + w] for w in spaced}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, unsigned 32-bit little-endian."""
-        cut = [self._units(t) for t in texts]
-        if len(self.known) > MOST_UNITS:
-            self.known.clear()
-        known = self.known
-        new = list(set().union(*(u for u in cut if u)) - known.keys())
-        long: dict[str, bytes] = {}
-        plain = [u for u in new if u and not u.isspace() and self.mark not in u]
-        other = [u for u in new if not u or u.isspace() or self.mark in u]
-        for encode, units in ((self._joined, plain), (self._whole, other)):
-            for at in range(0, len(units), 256):
-                part = units[at : at + 256]
-                for unit, ids in zip(part, encode(part), strict=True):
-                    (known if len(unit) <= LONGEST_UNIT else long)[unit] = ids
-        out = []
-        for text, units in zip(texts, cut, strict=True):
-            if units is None:
-                data = self._whole([text])[0]
-            elif long:
-                data = b"".join([known[u] if u in known else long[u] for u in units])
+        exact, words, whole = {}, {}, {}
+        for k, text in enumerate(texts):
+            if self.word_ends:
+                if "\u03a3" not in text:  # whose lower case depends on what follows
+                    text = text.lower()
+                exact[k] = text.replace("\n", " ").split(" ")
+            elif _ODD.search(text):
+                whole[k] = self._whole([text])[0]
+            elif _TOGETHER.search(text) or text[:1].isspace():
+                exact[k] = _UNITS.findall(text)
             else:
-                data = b"".join(map(known.__getitem__, units))
-            out.append(np.frombuffer(data, "<u4"))
-        return out
+                words[k] = ("\n" + text).replace("\n", " \n")[1:].split(" ")
+        for cut, units, skip in ((exact, self.exact, 0), (words, self.words, self.mark_size)):
+            if cut:
+                ids = units.of(cut.values())
+                whole |= {k: b"".join(map(ids.__getitem__, u))[skip:] for k, u in cut.items()}
+        return [np.frombuffer(whole[k], "<u4") for k in range(len(texts))]
 
 
 @cache
