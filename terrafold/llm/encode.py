@@ -4,7 +4,8 @@ A text is cut into units that its tokenizer never merges across: for a vocabular
 parts between spaces and line feeds, for byte-level BPE a word with the space or line feed before it,
 or, where white space stands together, a run of non-space characters or of white space. Equal units
 have equal ids, so each is encoded once while it stays in the cache; of a unit that is not cached,
-letters and the punctuation after them are encoded apart. Texts with characters whose class differs
+letters and the punctuation after them are encoded apart, Latin letters by the model alone, since
+normalising and splitting leave them as they are. Texts with characters whose class differs
 between the two pattern libraries are encoded whole.
 """
 
@@ -31,6 +32,18 @@ _UNITS = re.compile(r" ?[^\W\d_]+(?=[.,](?:\s|$))| ?\S+|\s+(?!\S)|\s+")
 _BETWEEN = {True: (" \x01 ", "\x01"), False: ("\n", "\n")}
 _ODD = re.compile("[\x1c-\x1f\x85]")
 _TOGETHER = re.compile(r"\s\s|\s\Z")
+#: Latin letters, whose class and composed form are alike in both libraries; such a unit is one word to the model.
+_LATIN = "[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af]+"
+
+
+def _visible() -> dict[int, str]:
+    """The characters that byte-level vocabularies write for bytes: printable ones stand for themselves, the others from U+0100 on."""
+    shown = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)]
+    hidden = sorted(set(range(256)) - set(shown))
+    return {b: chr(b) for b in shown} | {b: chr(0x100 + k) for k, b in enumerate(hidden)}
+
+
+_VISIBLE = _visible()
 
 Encode = Callable[[list[str]], dict[str, bytes]]
 
@@ -84,6 +97,7 @@ class Encoder:
             self.word_ends = bool(json.load(f)["model"].get("end_of_word_suffix"))
         #: Ids by what stands in the text, and, for byte-level BPE, by words without the space before them.
         self.exact, self.words = Units(self._encoded, self._encoded), Units(self._spaced, self._encoded)
+        self.model, self.letters = self.tokenizer.model, re.compile(_LATIN if self.word_ends else " ?" + _LATIN).fullmatch
         self.glue, self.mark = _BETWEEN[self.word_ends]
         self.mark_id = self.tokenizer.encode(self.mark, add_special_tokens=False).ids[0]
         self.mark_size = len(self._whole([self.mark])[0])
@@ -100,9 +114,15 @@ class Encoder:
         data, ends = ids.tobytes(), [*(at * 4).tolist(), 4 * len(ids)]
         return [data[i:j] for i, j in zip([0, *(e + 4 for e in ends)], ends, strict=False)]
 
+    def _word(self, unit: str) -> bytes:
+        """Ids of Latin letters, straight from the model."""
+        seen = unit.replace(" ", _VISIBLE[0x20]) if unit.isascii() else unit.encode().decode("latin-1").translate(_VISIBLE)
+        return np.array([t.id for t in self.model.tokenize(seen)], "<u4").tobytes()
+
     def _encoded(self, units: list[str]) -> dict[str, bytes]:
         """Ids of each unit, as it stands."""
-        out: dict[str, bytes] = {}
+        out = {u: self._word(u) for u in units if self.letters(u) and not (self.word_ends and u != u.lower())}
+        units = [u for u in units if u not in out]
         plain = [u for u in units if u and not u.isspace() and self.mark not in u]
         other = [u for u in units if not u or u.isspace() or self.mark in u]
         for encode, part in ((self._joined, plain), (self._whole, other)):
