@@ -182,7 +182,8 @@ _OUT = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa
 def read_back(manifest: DataFrame) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 of every document, from the files.
 
-    The running sum is over files: MAX_RANGES rows at most.
+    The running sum is over files: MAX_RANGES rows at most. Each file is dealt to one of as many
+    partitions by number, which adaptive execution leaves alone however short the manifest is.
     """
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(order), F.lit(0)))
@@ -200,7 +201,7 @@ def read_back(manifest: DataFrame) -> DataFrame:
                         out.append({"doc_id": d["doc_id"], "start": f["base"] + d["start"], "n_tokens": d["n_tokens"], "ids_crc32": crc})
                 yield pa.RecordBatch.from_pylist(out, schema=_OUT)
 
-    return placed.repartition("part").mapInArrow(rows, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return placed.repartition(max(1, manifest.count()), "part").mapInArrow(rows, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def round_trip(docs: DataFrame, path: str, end_id: int) -> DataFrame:

@@ -342,6 +342,21 @@ def test_cached_units_give_the_librarys_ids(name, docs):
     assert [x.tolist() for x in e.encode(texts)] == want
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_units_of_awkward_texts(name, monkeypatch):
+    """Random strings of difficult parts, with a cache that turns over many times."""
+    monkeypatch.setattr("terrafold.llm.encode.MOST_UNITS", 300)
+    parts = [" ", " ", "\n", "\r\n", "\t", "\u00a0", "\u3000", "\x85", "\x1c", "\x01", "a", "The", "foo", "b\u00e9", "E\u0301", "\u03a3", "\u03c3", "\u0130", "\u00df",
+             "\u01c5", "\u00aa", "\u4e2d", "1", "\u00b2", "\u2163", ".", ",", "...", "'", "'s", "-", "_", "!", "<|endoftext|>", "\u200b"]
+    draw = np.random.default_rng(7)
+    texts = ["".join(parts[k] for k in draw.integers(0, len(parts), draw.integers(0, 25))) for _ in range(3000)]
+    texts += ["", " ", "\n", "\n\n", "foo ", "foo\n", " foo", "\nfoo", "x" * 5000, "." * 300, "foo" + "." * 300, "a" * 60 + "."]
+    e = Encoder(vocabulary(name))
+    for at in range(0, len(texts), 100):
+        some = texts[at : at + 100]
+        assert [x.tolist() for x in e.encode(some)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+
+
 def test_files_round_trip_and_read_only_what_is_asked(tmp_path):
     rng = np.random.default_rng(1)
     docs = [(k if k != 3 else None, rng.integers(0, 50000, n, dtype=np.uint32)) for k, n in enumerate([10, 0, 70000, 5, 2_500_000, 1, 65536])]
