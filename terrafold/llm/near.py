@@ -11,10 +11,11 @@
 4. Each bucket names a hub, the member that meets most others in all its buckets, and members are
    compared with their hubs only, so pairs are linear in the members. Agreement of the samples below LEAST_AGREEMENT rules a pair out (6 deviations from
    0.8); the rest are verified by exact weighted Jaccard similarity, THRESHOLD or more.
-5. Links give connected components. Members of a bucket that are not in its hub's class (a bucket of
-   a passage that several classes share) meet again in finer buckets, by FINER more samples at a time
-   and from two places of the sample list, with hubs of their own: texts of other classes fall away,
-   copies stay together. Nothing is capped; work is linear in the members at every level.
+5. Links give connected components. Buckets that still hold several classes are compared in full, first
+   each member with its best match (by agreement) in each other class, then, with the classes that gives,
+   every pair of different classes that was not verified before. Pairs are left out only if their classes
+   are joined already, so the classes are those of all pairs of all buckets. Nothing is capped; only
+   buckets that keep many classes cost more than their members, and they are cut into blocks.
 
 Defined cases: null counts as empty; a text without words is alone in its class; class_id is the
 smallest doc_id of a class, which stays; rows that repeat a doc_id count as rows of that document;
@@ -42,8 +43,8 @@ SAMPLES = BANDS * ROWS
 LEAST_AGREEMENT = 0.5
 DAMPING = 0.25
 DF_BITS, SLICE_BITS = 20, 14
-#: Members that are not in their hub's class meet again in buckets that agree on FINER more samples.
-LEVELS, FINER = 2, 2
+#: Members of a block in which the classes of a bucket are compared.
+SIDE = 512
 _BLOCK = 1024
 
 
@@ -200,6 +201,85 @@ def _led(members: DataFrame) -> DataFrame:
     return written(members.join(hubs, "key"), "buckets")
 
 
+def _met(cell: list, every: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) in a cell of members of different classes whose samples agree enough; of side 0 with side 1, and with each other if inner.
+
+    Unless every, only a member's best match in each other class.
+    """
+    _, of, side, inner, s = cell
+    one = np.flatnonzero(side == 0)
+    other = np.arange(len(side)) if inner[0] else np.flatnonzero(side == 1)
+    if len(one) * len(other) <= 4096:
+        same = (s[one, None] == s[None, other]).sum(2)
+    else:
+        same = np.zeros((len(one), len(other)), np.uint8)
+        for k in range(SAMPLES):
+            same += s[one, k, None] == s[None, other, k]
+    # Pairs within side 0 count once.
+    i, j = np.nonzero((same >= LEAST_AGREEMENT * SAMPLES) & (of[one, None] != of[None, other]) & ((side[other] == 1) | (one[:, None] < other)))
+    near, i, j = same[i, j], one[i], other[j]
+    if not every and len(i):
+        order = np.lexsort((-near.astype(np.int32), of[j], i))
+        i, j = i[order], j[order]
+        first = np.append(True, (i[1:] != i[:-1]) | (of[j[1:]] != of[j[:-1]]))
+        i, j = i[first], j[first]
+    return i, j
+
+
+def _across(members: DataFrame, samples: DataFrame, every: bool) -> DataFrame:
+    """Pairs (a < b) of members (a, key, class) of the same bucket but different classes whose samples agree enough.
+
+    The largest class of a bucket is never compared with itself. Both it and the rest are dealt over
+    blocks of about SIDE members, and each pair of blocks is a cell, so hot buckets become many tasks.
+    """
+    parts = members.groupBy("key", "class").agg(F.count("*").alias("n"))
+    mixed = parts.groupBy("key").agg(F.max(F.struct("n", "class")).alias("top"), F.sum("n").alias("all"))
+    mixed = written(mixed.where((F.col("all") > 2) & (F.col("all") > F.col("top.n"))).select(
+        "key", F.col("top.class").alias("main"), F.ceil(F.col("top.n") / SIDE).cast("int").alias("mains"),
+        F.ceil((F.col("all") - F.col("top.n")) / SIDE).cast("int").alias("rests")), "mixed")
+    # A hash of its own for the blocks: rows of a task agree on the one that dealt them.
+    at = members.join(mixed, "key").withColumn("is_main", F.col("class") == F.col("main")).withColumn(
+        "block", F.pmod(F.xxhash64("a", F.lit("block")), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("rests"))).cast("int"))
+    each = lambda n: F.sequence(F.lit(0), n - 1)
+    cell = lambda i, j, kind, side, inner: F.struct(i.alias("i"), j.alias("j"), F.lit(kind).alias("kind"), side.cast("int").alias("side"), inner.alias("inner"))
+    block = F.col("block")
+    with_rest = F.transform(each(F.col("rests")), lambda i: cell(i, block, 1, F.lit(1), block == 0))
+    with_main = F.transform(each(F.col("mains")), lambda j: cell(block, j, 1, F.lit(0), j == 0))
+    with_other = F.transform(F.filter(each(F.col("rests")), lambda k: k != block), lambda k: cell(
+        F.least(k, block), F.greatest(k, block), 0, k < block, F.lit(False)))
+    cells = at.withColumn("cell", F.explode(F.when(F.col("is_main"), with_rest).otherwise(F.concat(with_main, with_other))))
+    cells = cells.select("a", F.xxhash64("class").alias("of"), "cell.side", "cell.inner", F.xxhash64("key", "cell.i", "cell.j", "cell.kind").alias("cell"))
+    dealt = written(cells, "cells").join(samples.select(F.col("digest").alias("a"), "samples"), "a").repartition("cell").sortWithinPartitions("cell")
+
+    def meet(batches):
+        def pairs(held):
+            a, _, of, side, inner, s = held
+            cut = np.flatnonzero(np.append(True, np.diff(held[1]) != 0))
+            for lo, hi in zip(cut, np.append(cut[1:], len(a)), strict=True):
+                own = a[lo:hi]
+                i, j = _met([own, of[lo:hi], side[lo:hi], inner[lo:hi], s[lo:hi]], every)
+                for k in range(0, len(i), 10000):
+                    x, y = own[i[k : k + 10000]], own[j[k : k + 10000]]
+                    yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(x, y), pa.binary()), "b": pa.array(np.maximum(x, y), pa.binary())})
+
+        held = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            c = {n: b.column(n) for n in ("a", "cell", "of", "side", "inner", "samples")}
+            new = [np.array(c["a"].to_pylist(), object), *[c[n].to_numpy(zero_copy_only=False) for n in ("cell", "of", "side", "inner")],
+                   c["samples"].flatten().to_numpy().reshape(-1, SAMPLES)]
+            held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
+            last = np.searchsorted(held[1], held[1][-1])  # the last cell may go on in the next batch
+            if last:
+                yield from pairs([x[:last] for x in held])
+                held = [x[last:] for x in held]
+        if held is not None:
+            yield from pairs(held)
+
+    return dealt.select("a", "cell", "of", "side", "inner", "samples").mapInArrow(meet, "a binary, b binary")
+
+
 def link(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sketches, the verified links (a, b: digests) and the classes of the nodes that have links."""
     spark = docs.sparkSession
@@ -225,31 +305,30 @@ def link(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Data
     def named(df: DataFrame, node: str, value: str) -> DataFrame:
         return df.select(F.col("digest").alias(node), F.col(df.columns[1]).alias(value))
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        likely = written(
-            pairs.join(named(samples, "a", "sa"), "a").join(named(samples, "b", "sb"), "b")
-            .where(_agreement(F.col("sa"), F.col("sb")) >= LEAST_AGREEMENT).select("a", "b"), "pairs")
-        if not likely.head(1):
-            return likely
-        full = likely.join(named(vectors, "a", "va"), "a").join(named(vectors, "b", "vb"), "b")
+    def likely(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(named(samples, "a", "sa"), "a").join(named(samples, "b", "sb"), "b")
+        return written(both.where(_agreement(F.col("sa"), F.col("sb")) >= LEAST_AGREEMENT).select("a", "b"), "pairs")
+
+    def exact(pairs: DataFrame) -> DataFrame:
+        if not pairs.head(1):
+            return pairs
+        full = pairs.join(named(vectors, "a", "va"), "a").join(named(vectors, "b", "vb"), "b")
         return written(full.where(similarity("va", "vb") >= threshold).select("a", "b"), "links")
 
-    links = verified(active.where("a != b").select("a", "b").distinct())
+    pairs = active.where("a != b").select("a", "b").distinct()
+    links = exact(likely(pairs))
     classes = components(links)
-    for level in range(LEVELS):
-        of = lambda c: classes.select(F.col("node").alias(c), F.col("class").alias(f"class_{c}"))
-        apart = active.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("class_a", "a") != F.coalesce("class_b", "b"))
-        left = written(apart.select("a", "band", "key", "score"), "left")
-        if not left.head(1):
-            break
-        at = lambda turn, k: F.get("s", (F.col("band") * ROWS + ROWS * turn + FINER * level + k) % SAMPLES)
-        finer = F.array(*[F.xxhash64(F.lit(turn), "key", *[at(turn, k) for k in range(FINER)]) for turn in (1, BANDS // 2)])
-        members = left.join(named(samples, "a", "s"), "a").select("a", "band", "score", F.explode(finer).alias("key"))
-        active = _led(written(members, "members"))
-        fresh = verified(active.where("a != b").select("a", "b").distinct().join(links, ["a", "b"], "left_anti"))
+    tried = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "tried")
+    for every in (False, True):
+        members = active.select("a", "key").join(classes.select(F.col("node").alias("a"), "class"), "a", "left")
+        members = written(members.select("a", "key", F.coalesce("class", "a").alias("class")), "members")
+        found = written(_across(members, samples, every).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        fresh = exact(found)
         if fresh.head(1):
-            links = written(links.union(fresh).distinct(), "links")
+            links = written(links.union(fresh), "links")
             classes = components(links)
+        if not every:
+            tried = written(tried.union(found), "tried")
     return made, links, classes
 
 

@@ -324,6 +324,47 @@ def test_near_dedup_of_awkward_rows(spark):
     assert rows(near.classify(empty(spark))) == []
 
 
+def derived(n, words, edits, recent=None):
+    """n texts, each a random earlier one (of the recent ones, if given) with some words replaced."""
+    rng = np.random.default_rng(3)
+    texts = [[f"w{x}" for x in rng.integers(0, 10**6, words)]]
+    while len(texts) < n:
+        own = list(texts[rng.integers(max(0, len(texts) - recent) if recent else 0, len(texts))])
+        for at in rng.integers(0, words, edits):
+            own[at] = f"w{rng.integers(0, 10**6)}"
+        texts.append(own)
+    return [" ".join(t) for t in texts]
+
+
+def classes_of_buckets(lists, sampler):
+    """The least member of each text's class, from all pairs that share any bucket."""
+    s = np.array([sampler.samples(x) for x in lists])
+    parent = list(range(len(lists)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x] = parent[parent[x]]
+        return x
+
+    for a in range(len(lists)):
+        same = s[a] == s[a + 1 :]
+        bucket = same.reshape(len(same), near.BANDS, near.ROWS).all(2).any(1)
+        for b in a + 1 + np.flatnonzero(bucket & (same.sum(1) >= near.LEAST_AGREEMENT * near.SAMPLES)):
+            if find(a) != find(b) and sampler.similarity(lists[a], lists[b]) >= near.THRESHOLD:
+                parent[max(find(a), find(b))] = min(find(a), find(b))
+    return [find(x) for x in range(len(lists))]
+
+
+@pytest.mark.parametrize("recent", [None, 3], ids=["tree", "chain"])
+def test_near_dedup_of_derived_copies(spark, recent):
+    texts = derived(600, 300, 3, recent)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lists = [shingles(t.encode()) for t in texts]
+    want = classes_of_buckets(lists, near.Sampler(near.document_weights(df)))
+    got = {r["doc_id"]: r["class_id"] for r in rows(near.classify(df))}
+    assert [got[k] for k in range(len(texts))] == want
+
+
 def test_word_hashes_depend_on_the_word_alone():
     a, b = word_hashes(b"Hello, brave new World"), word_hashes(b"x " * 600000 + b"world hello")
     assert a[0] == b[-1] and a[3] == b[-2] and len(set(a.tolist())) == 4 and len(b) == 600002
