@@ -365,6 +365,25 @@ def test_near_dedup_of_derived_copies(spark, recent):
     assert [got[k] for k in range(len(texts))] == want
 
 
+def test_near_dedup_links_through_the_rim(spark):
+    """Hubs with copies, and a text beyond each rim: it meets 0.8 with a copy, not with the hub, often in a bucket that the hub leads."""
+    rng = np.random.default_rng(5)
+    texts = []
+    for g in range(40):
+        hub = [f"g{g}w{k}" for k in range(400)]
+        edit = lambda own, at, g=g: [f"g{g}e{rng.integers(0, 10**9)}" if k in at else w for k, w in enumerate(own)]
+        rim = edit(hub, range(0, 60, 8))
+        texts += [hub, *[edit(hub, [int(rng.integers(100, 400))]) for _ in range(6)], rim, edit(rim, range(200, 264, 8))]
+    texts = [" ".join(t) for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lists = [shingles(t.encode()) for t in texts]
+    sampler = near.Sampler(near.document_weights(df))
+    assert all(sampler.similarity(lists[9 * g + 7], lists[9 * g + k]) >= 0.8 for g in range(40) for k in (0, 8))
+    assert all(sampler.similarity(lists[9 * g], lists[9 * g + 8]) < 0.8 for g in range(40))
+    got = {r["doc_id"]: r["class_id"] for r in rows(near.classify(df))}
+    assert [got[k] for k in range(len(texts))] == classes_of_buckets(lists, sampler)
+
+
 def test_word_hashes_depend_on_the_word_alone():
     a, b = word_hashes(b"Hello, brave new World"), word_hashes(b"x " * 600000 + b"world hello")
     assert a[0] == b[-1] and a[3] == b[-2] and len(set(a.tolist())) == 4 and len(b) == 600002
