@@ -170,23 +170,21 @@ w(id, label) AS (SELECT a.id, b.id FROM m a JOIN m b ON {near} UNION SELECT w.id
 _NEAR8 = _LABEL.format(near="abs(a.r-b.r)<=1 AND abs(a.c-b.c)<=1", far="abs(a.r-n.r)<=1 AND abs(a.c-n.c)<=1")
 
 
-#: A sparse subset, so that the oracle's all-pairs closure stays small.
-SPARSE = "v <= 96 and (r * 7 + c * 3) % 5 < 2"
-
-
 def recursive(text):
     return text.replace("WITH ", "WITH RECURSIVE ", 1)
 
 
 @register("patch_sizes", recursive(sql("cell", _NEAR8 + ", l AS (SELECT id, min(label) AS label FROM w GROUP BY 1), s AS (SELECT count(*) AS size FROM l GROUP BY label) SELECT size, count(*) AS patches FROM s GROUP BY 1")))
 def patch_sizes(spark, d):
-    return K.patches(D.cells(spark, d).where(SPARSE)).groupBy("size").agg(F.count("*").alias("patches"))
+    """Patches of all cells; the SQL labels a sparse subset only, so the two differ."""
+    return K.patches(D.cells(spark, d)).groupBy("size").agg(F.count("*").alias("patches"))
 
 
 @register("patch_summary", recursive(sql("cell", _NEAR8 + """, l AS (SELECT id, min(label) AS label FROM w GROUP BY 1), s AS (SELECT count(*) AS size FROM l GROUP BY label)
 SELECT count(*) AS patches, max(size) AS largest, median(size)::DOUBLE AS median_size, round(100.0*count(*) FILTER (WHERE size<=4)/count(*),4) AS small_pct FROM s""")))
 def patch_summary(spark, d):
-    return K.patches(D.cells(spark, d).where(SPARSE)).agg(
+    """Patches of all cells; the SQL labels a sparse subset only, so the two differ."""
+    return K.patches(D.cells(spark, d)).agg(
         F.count("*").alias("patches"), F.max("size").alias("largest"), F.median("size").alias("median_size"), F.round(100.0 * F.count_if(F.col("size") <= 4) / F.nullif(F.count("*"), F.lit(0)), 4).alias("small_pct"))
 
 

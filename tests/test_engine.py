@@ -1,5 +1,8 @@
 """Fixtures by hand, properties, and every query against its SQL."""
 
+from collections import Counter
+from statistics import median
+
 import duckdb
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -12,7 +15,7 @@ from terrafold.functions import text as X
 from terrafold.operators import assess, cells, components, gates, series, spans
 from terrafold.plans import layers
 from terrafold.plans.registry import all_oracles, all_queries
-from terrafold.sources import feeds, store
+from terrafold.sources import derived, feeds, store
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -130,6 +133,28 @@ def test_patches_and_compact(spark):
     assert components.compact_only(df.select("r", "c")).count() == 9 and components.compact_only(df.limit(0).select("r", "c")).count() == 0
 
 
+def flood_fill(cells):
+    """Sizes of the 8-connected patches of a set of cells."""
+    left, sizes = set(cells), []
+    while left:
+        todo, size = [left.pop()], 0
+        while todo:
+            r, c = todo.pop()
+            size += 1
+            near = {(r + i, c + j) for i in (-1, 0, 1) for j in (-1, 0, 1)} & left
+            left -= near
+            todo.extend(near)
+        sizes.append(size)
+    return sizes
+
+
+def test_patches_of_the_whole_mask(spark):
+    sizes = flood_fill((r.r, r.c) for r in derived.cells(spark, SF).select("r", "c").collect())
+    assert {r.size: r.patches for r in all_queries()["patch_sizes"](spark, SF).collect()} == Counter(sizes)
+    small = round(100 * sum(n <= 4 for n in sizes) / len(sizes), 4)
+    assert tuple(all_queries()["patch_summary"](spark, SF).first()) == (len(sizes), max(sizes), median(sizes), small)
+
+
 def test_skipped_is_not_passed(spark):
     df = spark.createDataFrame([("x", "a", 10.0, 10.0), ("x", "b", 10.0, None), ("x", "c", 90.0, 10.0)], "layer string, island string, built_km2 double, reference_km2 double")
     g = gates.totals(df, 0.5, 2.0)
