@@ -1,5 +1,6 @@
 """Fixtures by hand, properties, and every query against its SQL."""
 
+import math
 from collections import Counter
 from statistics import median
 
@@ -13,7 +14,7 @@ from terrafold.functions import encoding as E
 from terrafold.functions import grid as G
 from terrafold.functions import text as X
 from terrafold.operators import assess, cells, components, gates, series, spans
-from terrafold.plans import layers
+from terrafold.plans import layers, q_cells
 from terrafold.plans.registry import all_oracles, all_queries
 from terrafold.sources import derived, feeds, store
 
@@ -155,6 +156,16 @@ def test_patches_of_the_whole_mask(spark):
     assert tuple(all_queries()["patch_summary"](spark, SF).first()) == (len(sizes), max(sizes), median(sizes), small)
 
 
+def test_nearest_of_all_built_cells(spark):
+    built = [(r.r, r.c) for r in derived.cells(spark, SF).select("r", "c").collect()]
+    want = {}
+    for p in q_cells.points(spark, SF).collect():
+        near = [math.hypot((r - p.r) * 9.93, (c - p.c) * 8.82) for r, c in built if abs(r - p.r) <= 20 and abs(c - p.c) <= 20]
+        want[p.id] = round(min(near), 6) if near else None
+    got = {r.id: r.metres for r in all_queries()["nearest_built"](spark, SF).collect()}
+    assert got.keys() == want.keys() and all(got[k] == (None if m is None else pytest.approx(m, abs=2e-6)) for k, m in want.items())
+
+
 def test_skipped_is_not_passed(spark):
     df = spark.createDataFrame([("x", "a", 10.0, 10.0), ("x", "b", 10.0, None), ("x", "c", 90.0, 10.0)], "layer string, island string, built_km2 double, reference_km2 double")
     g = gates.totals(df, 0.5, 2.0)
