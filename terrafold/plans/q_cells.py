@@ -374,5 +374,9 @@ def footprint_pivot(spark, d):
 
 @register("islands_by_longitude", f"WITH b AS ({_BOX}) SELECT id, x0, CAST(row_number() OVER (ORDER BY x0, id) AS INT) AS place FROM b ORDER BY x0, id LIMIT 8")
 def islands_by_longitude(spark, d):
-    top = boxes(spark, d).select("id", "x0").orderBy("x0", "id").limit(8)
-    return top.withColumn("place", F.row_number().over(Window.orderBy("x0", "id")))
+    """All boxes from west to east; places run on over longitudes, so no task holds all rows. The SQL keeps eight, so the two differ."""
+    b = boxes(spark, d).select("id", "x0")
+    before = F.sum("n").over(Window.orderBy("x0").rowsBetween(Window.unboundedPreceding, -1))
+    west = b.groupBy("x0").agg(F.count("*").alias("n")).select("x0", F.coalesce(before, F.lit(0)).alias("before"))
+    placed = b.withColumn("within", F.row_number().over(Window.partitionBy("x0").orderBy("id"))).join(F.broadcast(west), "x0")
+    return placed.select("id", "x0", (F.col("before") + F.col("within")).cast("int").alias("place")).orderBy("x0", "id")

@@ -209,7 +209,8 @@ def layer_density(spark, d):
 
 @register("layer_trend", "SELECT CAST(pos AS INT) AS band, round(sum(embedding[pos+1]::DOUBLE)/1e6,6) AS surface_km2 FROM embeddings, range(8) t(pos) GROUP BY 1")
 def layer_trend(spark, d):
-    bands = D.table(spark, d, "embeddings").select(F.posexplode("embedding").alias("band", "v")).where("band < 8").select("band", F.col("v").cast("double").alias("v"))
+    """Every band; the SQL has the first eight, so the two differ."""
+    bands = D.table(spark, d, "embeddings").select(F.posexplode("embedding").alias("band", "v")).select("band", F.col("v").cast("double").alias("v"))
     return L.trend_km2(bands)
 
 

@@ -166,6 +166,24 @@ def test_nearest_of_all_built_cells(spark):
     assert got.keys() == want.keys() and all(got[k] == (None if m is None else pytest.approx(m, abs=2e-6)) for k, m in want.items())
 
 
+def test_trend_has_every_band(spark, con):
+    vectors = [r[0] for r in con.sql("select embedding from embeddings").fetchall()]
+    want = {k: sum(v[k] for v in vectors) / 1e6 for k in range(max(map(len, vectors)))}
+    assert {r.band: r.surface_km2 for r in all_queries()["layer_trend"](spark, SF).collect()} == pytest.approx(want, abs=1e-6)
+
+
+def test_islands_are_all_placed(spark):
+    want = sorted((r.x0, r.id) for r in q_cells.boxes(spark, SF).collect())
+    got = all_queries()["islands_by_longitude"](spark, SF).collect()
+    assert [(r.x0, r.id, r.place) for r in got] == [(x, i, k) for k, (x, i) in enumerate(want, 1)]
+    many = spark.range(500).select((F.col("id") + 1).alias("s_suppkey"))
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(q_cells.D, "table", lambda *_: many)
+        want = sorted((r.x0, r.id) for r in q_cells.boxes(spark, SF).collect())
+        got = q_cells.islands_by_longitude(spark, SF).collect()
+    assert [(r.x0, r.id, r.place) for r in got] == [(x, i, k) for k, (x, i) in enumerate(want, 1)]
+
+
 def test_skipped_is_not_passed(spark):
     df = spark.createDataFrame([("x", "a", 10.0, 10.0), ("x", "b", 10.0, None), ("x", "c", 90.0, 10.0)], "layer string, island string, built_km2 double, reference_km2 double")
     g = gates.totals(df, 0.5, 2.0)
