@@ -3,8 +3,8 @@
 The store is a folder of additive deltas, one sub-folder per batch: a batch's signed changes are
 summed by source, language and tokenizer version and written once. A batch id that is already
 committed (its success marker is there) is not applied again, and a batch that failed half-way is
-overwritten, so a commit can be repeated freely. Totals are sums over the deltas; compact() folds the
-committed batches into one, under their ids.
+overwritten, so a commit can be repeated freely. Totals are sums over the deltas. A version counts
+words by a pattern, not tokens of a vocabulary.
 
 Defined cases: null source or language is a group of its own; null text has 0 tokens and counts as a
 document; a group whose documents are all gone does not appear; repeated rows count as often as they
