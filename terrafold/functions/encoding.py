@@ -67,12 +67,19 @@ def clean_percent(v: Column) -> Column:
     return F.when(v > 100, 0).otherwise(v)
 
 
-def control_verdict(share_pct: Column) -> Column:
-    return F.when(share_pct < 1, "PASS").when(share_pct < 5, "SUSPECT").otherwise("FAIL")
+def control_verdict(share_pct: Column, role: Column | None = None, year: Column | None = None) -> Column:
+    """Of a negative control by its built share; of a loss test case by whether the loss shows from 2022 on."""
+    control = F.when(share_pct < 1, "PASS").when(share_pct < 5, "SUSPECT").otherwise("FAIL")
+    if role is None:
+        return control
+    lost = F.when(year < 2022, "BASELINE").when(share_pct < 1, "PASS").otherwise("FAIL")
+    return F.when(role == "negative control", control).otherwise(lost)
 
 
 def stratum(v: Column) -> Column:
-    return F.when(v == 0, "not built").when(v == UNDATED, "undated").when(v + OFFSET < 2015, "before 2015").otherwise("2015-2024")
+    """What the map claims of a land cell; null for a date after 2024."""
+    year = v + OFFSET
+    return F.when(v == 0, "not_built").when(v == UNDATED, "undated").when(year <= 2015, "built_before_2015").when(year <= 2024, "new_2015_2024")
 
 
 def reference_class(first: Column, second: Column) -> Column:
@@ -91,8 +98,25 @@ def coarse_reference_class(first: Column, second: Column) -> Column:
 
 
 def observation_kind(epoch: Column) -> Column:
-    """How a built-surface epoch came about; the first rule that holds decides."""
-    return F.when(epoch > 2020, "projected").when(epoch.isin(1975, 1990, 2000, 2015, 2018), "observed").when(epoch == 2020, "near-observed").otherwise("interpolated")
+    """How a built-surface epoch came about: imagery of its own year, of a year close by, or a model."""
+    return (
+        F.when(epoch.isin(2025, 2030), "projected").when(epoch.isin(1975, 1990, 2000), "observed")
+        .when(epoch.isin(2015, 2020), "near-observed").otherwise("interpolated"))
+
+
+def label_done(first: Column, second: Column) -> Column:
+    """Whether a point has been judged on both dates."""
+    return F.coalesce(first != "", F.lit(False)) & F.coalesce(second != "", F.lit(False))
+
+
+def demolished(first: Column, second: Column) -> Column:
+    """Whether a label says built, then not: rare, and flagged."""
+    return F.coalesce((first == "built") & (second == "not"), F.lit(False))
+
+
+def is_published(name: Column) -> Column:
+    """Whether a built file is served: rasters of single islands are not, the mosaic and the confidence layers are."""
+    return ~name.endswith(".tif") | (name == "archipelago.tif") | name.endswith(".confidence.tif")
 
 
 def slug(name: Column) -> Column:

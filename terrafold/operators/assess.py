@@ -6,19 +6,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def design(strata: DataFrame, target_se: float = 0.01, floor: int = 100, unsure: float = 0.1, ceiling: int = 1000) -> DataFrame:
-    """stratum, km2, expected -> usable, draw: size for a target standard error, shared by area, with a floor.
+FLOORED = ("new_2015_2024", "undated", "built_before_2015", "not_built")
 
-    n = (sum of w * sqrt(p * (1 - p)) / se)**2; each stratum gets its share (half-even), at least the
-    floor, inflated for unsure labels and held under the ceiling.
+
+def design(strata: DataFrame, target_pct: float = 1.0, floor: int = 100, unsure: float = 0.2, not_built_usable: int = 0) -> DataFrame:
+    """stratum, km2, expected -> n_formula, usable, draw: points for a target 95 % interval on overall accuracy.
+
+    n = (sum of w * sqrt(p * (1 - p)) / (target / 1.96))**2, shared by area (half-even, at least 1); the
+    four claims get the floor, "not_built" may be given more; draws are inflated for unsure labels.
     """
     every = Window.partitionBy()
     w = F.col("km2") / F.sum("km2").over(every)
     spread = strata.withColumn("w", w).withColumn("s", F.sqrt(F.col("expected") * (1 - F.col("expected"))))
-    n = F.ceil(F.pow(F.sum(F.col("w") * F.col("s")).over(every) / target_se, 2))
-    usable = F.greatest(F.bround(n * F.col("w")), F.lit(floor))
-    return spread.withColumn("usable", usable.cast("long")).select(
-        "stratum", "km2", "usable", F.least(F.ceil(F.col("usable") / (1 - unsure)), F.lit(ceiling)).cast("long").alias("draw"))
+    n = F.ceil(F.pow(F.sum(F.col("w") * F.col("s")).over(every) / (target_pct / 100 / 1.96), 2))
+    usable = F.greatest(F.lit(1), F.bround(n * F.col("w")), F.when(F.col("stratum").isin(*FLOORED), floor).otherwise(0))
+    usable = F.greatest(usable, F.when(F.col("stratum") == "not_built", not_built_usable).otherwise(0))
+    return spread.withColumn("n_formula", n.cast("long")).withColumn("usable", usable.cast("long")).select(
+        "stratum", "km2", "n_formula", "usable", F.ceil(F.col("usable") / (1 - unsure)).cast("long").alias("draw"))
 
 
 def draw(pool: DataFrame, sizes: DataFrame, key: str, seed: int = 1) -> DataFrame:
@@ -42,24 +46,33 @@ def confusion(points: DataFrame) -> DataFrame:
 
 
 def accuracy(points: DataFrame, areas: DataFrame) -> DataFrame:
-    """Per class: users, users_ci, producers, mapped_km2, adjusted_km2, adjusted_ci (95 %).
+    """Per class of the reference: users, users_ci, producers, producers_ci, mapped_km2, adjusted_km2, adjusted_ci (95 %).
 
-    points: map, ref; areas: map, km2. Estimators weigh a stratum's shares by its mapped area.
+    points: map, ref; areas: map, km2 (a small table of strata). Estimators weigh a stratum's shares by its
+    mapped area; a class that only the reference has is kept, mapped as 0; strata of one point add no variance.
     """
     n = confusion(points)
     total = n.groupBy("map").agg(F.sum("n").alias("n_map"))
     weights = areas.withColumn("w", F.col("km2") / F.sum("km2").over(Window.partitionBy()))
-    cell = n.join(total, "map").join(weights, "map").withColumn("p", F.col("n") / F.col("n_map"))
-    var = F.pow("w", F.lit(2)) * F.col("p") * (1 - F.col("p")) / F.nullif(F.col("n_map") - 1, F.lit(0))
-    by_ref = cell.groupBy("ref").agg(F.sum(F.col("w") * F.col("p")).alias("share"), F.sqrt(F.sum(var)).alias("se"))
-    own = cell.where("map = ref").select(
-        F.col("map").alias("ref"), F.col("p").alias("users"), (F.col("w") * F.col("p")).alias("hit"),
-        (1.96 * F.sqrt(F.col("p") * (1 - F.col("p")) / F.nullif(F.col("n_map") - 1, F.lit(0)))).alias("users_ci"), F.col("km2").alias("mapped_km2"))
-    all_km2 = areas.agg(F.sum("km2").alias("all_km2"))
-    return by_ref.join(own, "ref").crossJoin(F.broadcast(all_km2)).select(
-        F.col("ref").alias("class"), F.round("users", 6).alias("users"), F.round("users_ci", 6).alias("users_ci"),
-        F.round(F.col("hit") / F.col("share"), 6).alias("producers"), F.round("mapped_km2", 6).alias("mapped_km2"),
-        F.round(F.col("share") * F.col("all_km2"), 6).alias("adjusted_km2"), F.round(1.96 * F.col("se") * F.col("all_km2"), 6).alias("adjusted_ci"))
+    classes = n.select(F.col("ref").alias("class")).distinct()
+    # Every stratum with every class of the reference, so that classes without hits have their zeros.
+    cell = weights.join(total, "map", "left").crossJoin(F.broadcast(classes)).join(n.withColumnRenamed("ref", "class"), ["map", "class"], "left")
+    p = F.coalesce(F.col("n") / F.col("n_map"), F.lit(0.0))
+    cell = cell.withColumn("p", p).withColumn("var", F.when(F.col("n_map") >= 2, F.col("p") * (1 - F.col("p")) / (F.col("n_map") - 1)).otherwise(0.0))
+    own = F.col("map") == F.col("class")
+    sums = cell.groupBy("class").agg(
+        F.sum(F.col("w") * F.col("p")).alias("share"), F.sum(F.col("w") * F.col("w") * F.col("var")).alias("var"), F.max(F.when(own, F.col("p"))).alias("users"),
+        F.max(F.when(own, F.col("var"))).alias("own_var"), F.max(F.when(own & (F.col("n_map") > 1), F.col("n_map"))).alias("many"),
+        F.coalesce(F.max(F.when(own & F.col("n_map").isNotNull(), F.col("w"))), F.lit(0.0)).alias("w"), F.coalesce(F.max(F.when(own, F.col("km2"))), F.lit(0.0)).alias("mapped"),
+        F.sum(F.when(~own, F.col("km2") * F.col("km2") * F.col("var")).otherwise(0.0)).alias("others"), F.sum("km2").alias("all_km2"))
+    users = F.when(F.col("w") > 0, F.col("users"))
+    producers = F.when(F.col("w") > 0, F.col("w") * F.col("users") / F.nullif(F.col("share"), F.lit(0.0)))
+    term = F.pow("mapped", F.lit(2)) * F.pow(1 - producers, F.lit(2)) * F.col("own_var") + F.pow(producers, F.lit(2)) * F.col("others")
+    adjusted = F.col("share") * F.col("all_km2")
+    return sums.select(
+        "class", F.round(users, 6).alias("users"), F.round(F.when(F.col("many").isNotNull(), 1.96 * F.sqrt("own_var")), 6).alias("users_ci"), F.round(producers, 6).alias("producers"),
+        F.round(F.when(F.col("many").isNotNull(), 1.96 * F.sqrt(term) / F.nullif(adjusted, F.lit(0.0))), 6).alias("producers_ci"), F.round("mapped", 6).alias("mapped_km2"),
+        F.round(adjusted, 6).alias("adjusted_km2"), F.round(1.96 * F.sqrt("var") * F.col("all_km2"), 6).alias("adjusted_ci"))
 
 
 def overall(points: DataFrame, areas: DataFrame) -> DataFrame:

@@ -65,7 +65,6 @@ def highest(pieces: DataFrame) -> DataFrame:
     return pieces.groupBy(*KEY).agg(F.max("v").alias("v"))
 
 
-
 def fraction_grid(cells: DataFrame, k: int, height: int, width: int) -> DataFrame:
     """Built share of complete k x k blocks; ragged edges are dropped."""
     blocks = cells.withColumns({"br": F.floor(F.col("r") / k).cast("int"), "bc": F.floor(F.col("c") / k).cast("int")})
@@ -137,9 +136,12 @@ def _around(cells: DataFrame, reach: int) -> DataFrame:
 
 
 def mean_filter(cells: DataFrame, reach: int = 3) -> DataFrame:
-    """Share of built cells in the square frame round every cell that has any; outside counts as not built."""
+    """Share of built cells in the square frame round every cell that has any; outside counts as not built. Rows are added up before columns."""
     side = 2 * reach + 1
-    return _around(cells, reach).groupBy(*KEY).agg(F.round(F.count("*") / float(side * side), 6).alias("density"))
+    steps = F.sequence(F.lit(-reach), F.lit(reach))
+    rows = cells.select(*KEY, F.explode(steps).alias("d")).groupBy((F.col("r") + F.col("d")).alias("r"), "c").agg(F.count("*").alias("n"))
+    both_ways = rows.select(*KEY, "n", F.explode(steps).alias("d")).groupBy("r", (F.col("c") + F.col("d")).alias("c")).agg(F.sum("n").alias("n"))
+    return both_ways.select(*KEY, F.round(F.col("n") / float(side * side), 6).alias("density"))
 
 
 def erode(cells: DataFrame) -> DataFrame:
@@ -162,3 +164,11 @@ def nearest_distance(points: DataFrame, cells: DataFrame, reach: int, north_m: f
     metres = F.hypot((F.col("qr") - F.col("r")) * north_m, (F.col("qc") - F.col("c")) * east_m)
     best = pairs.groupBy("id").agg(F.min(metres).alias("metres"))
     return points.select("id").join(best, "id", "left").select("id", F.round("metres", 6).alias("metres"))
+
+
+def near_cells(cells: DataFrame, metres: float, north_m: float, east_m: float) -> DataFrame:
+    """r, c of the cells whose centre lies within so many metres of a cell's centre."""
+    rows, cols = (F.sequence(F.lit(-int(metres // m)), F.lit(int(metres // m))) for m in (north_m, east_m))
+    spread = cells.select(*KEY).distinct().withColumn("i", F.explode(rows)).withColumn("j", F.explode(cols))
+    held = spread.where(F.hypot(F.col("i") * north_m, F.col("j") * east_m) <= metres)
+    return held.select((F.col("r") + F.col("i")).alias("r"), (F.col("c") + F.col("j")).alias("c")).distinct()

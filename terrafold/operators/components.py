@@ -13,14 +13,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrafold.operators.cells import KEY, both, erode
+from terrafold.operators.spans import TILE
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    context = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="terrafold-"))
-    elif context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir"))
+    """A checkpoint in the folder that the session names; a local session without one gets a local folder, a cluster raises."""
+    spark = df.sparkSession
+    java = spark.sparkContext._jsc.sc()
+    if java.getCheckpointDir().isEmpty():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="terrafold-"))
     return df.checkpoint()
 
 
@@ -35,9 +39,12 @@ def label_runs(cells: DataFrame, diagonal: bool = True) -> DataFrame:
     """r, c0, c1, label: the label is the first run of the component."""
     node = _cut(runs(cells).withColumn("id", F.struct("r", "c0")))
     reach = 1 if diagonal else 0
+    # Runs meet by row and column tile, so that a row of many runs is not one key.
+    tiles = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / TILE), F.floor(F.col(hi) / TILE))).alias("tile")
     up = node.select(F.col("id").alias("a"), (F.col("r") + 1).alias("r"), (F.col("c0") - reach).alias("lo"), (F.col("c1") + reach).alias("hi"))
-    down = node.select(F.col("id").alias("b"), "r", "c0", "c1")
-    linked = up.join(down, "r").where((F.col("c0") <= F.col("hi")) & (F.col("c1") >= F.col("lo"))).select("a", "b")
+    up = up.select("a", "r", "lo", "hi", tiles("lo", "hi"))
+    down = node.select(F.col("id").alias("b"), "r", "c0", "c1", tiles("c0", "c1"))
+    linked = up.join(down, ["r", "tile"]).where((F.col("c0") <= F.col("hi")) & (F.col("c1") >= F.col("lo"))).select("a", "b").distinct()
     edges = _cut(linked.union(linked.select("b", "a")))
     labels = node.select("id", F.col("id").alias("label"))
     while True:
@@ -56,6 +63,18 @@ def patches(cells: DataFrame, diagonal: bool = True) -> DataFrame:
     return label_runs(cells, diagonal).groupBy("label").agg(F.sum(F.col("c1") - F.col("c0") + 1).alias("size"))
 
 
+def patch_summary(cells: DataFrame, small: int = 4, large: int = 100) -> DataFrame:
+    """patches, largest, second, median_size, small_pct (patches of small cells or fewer), large_area_pct (cells in patches of large or more)."""
+    sizes = patches(cells).groupBy("size").agg(F.count("*").alias("n"))
+    all_patches, size, n = F.sum("n"), F.col("size"), F.col("n")
+    # One row per size: a handful, whatever the number of patches.
+    top = F.slice(F.sort_array(F.flatten(F.collect_list(F.array_repeat("size", F.least(n, F.lit(2)).cast("int")))), False), 1, 2)
+    return sizes.agg(
+        all_patches.alias("patches"), F.get(top, F.lit(0)).alias("largest"), F.get(top, F.lit(1)).alias("second"), F.expr("percentile(size, 0.5D, n)").alias("median_size"),
+        F.round(100.0 * F.sum(F.when(size <= small, n).otherwise(0)) / F.nullif(all_patches, F.lit(0)), 4).alias("small_pct"),
+        F.round(100.0 * F.sum(F.when(size >= large, n * size).otherwise(0)) / F.nullif(F.sum(n * size), F.lit(0)), 4).alias("large_area_pct"))
+
+
 def propagate(seeds: DataFrame, mask: DataFrame) -> DataFrame:
     """Cells of the mask whose 4-connected component holds a seed."""
     labelled = label_runs(mask, diagonal=False)

@@ -58,3 +58,9 @@ def neighbours(counts: DataFrame, factor: float = 3.0) -> DataFrame:
     both = counts.select("key", "n", F.lit(0).alias("near")).union(spread).groupBy("key").agg(F.sum("n").alias("n"), F.sum("near").alias("near"))
     mean = F.col("near") / 6
     return both.where("n > 0").select("key", "n", F.round(mean, 6).alias("neighbour_mean"), (F.col("n") >= factor * mean).alias("is_spike"))
+
+
+def growth_pct(series: DataFrame, start: int, end: int, value: str = "total") -> DataFrame:
+    """grp, growth_pct between two years that the series has; null where it has not both."""
+    at = lambda y: F.max(F.when(F.col("key") == y, F.col(value)))
+    return series.groupBy("grp").agg(F.round(100 * (at(end) / F.nullif(at(start), F.lit(0.0)) - 1), 6).alias("growth_pct"))

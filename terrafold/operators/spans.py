@@ -38,10 +38,16 @@ def spans(vertices: DataFrame) -> DataFrame:
     return out.where("c1 >= c0")
 
 
+#: Columns of a tile, the second key of the join of cells and spans.
+TILE = 256
+
+
 def inside(cells: DataFrame, over: DataFrame) -> DataFrame:
-    """Cells with the zone of each span that holds them."""
-    s = over.select("zone", F.col("r").alias("sr"), "c0", "c1")
-    return cells.join(s, (cells["r"] == s["sr"]) & cells["c"].between(s["c0"], s["c1"])).drop("sr", "c0", "c1")
+    """Cells with the zone of each span that holds them; they meet by row and column tile, so no row is one key."""
+    tile = lambda c: F.floor(F.col(c) / TILE).cast("int")
+    s = over.select("zone", F.col("r").alias("sr"), "c0", "c1", F.explode(F.sequence(tile("c0"), tile("c1"))).alias("st"))
+    placed = cells.withColumn("ct", tile("c"))
+    return placed.join(s, (placed["r"] == s["sr"]) & (placed["ct"] == s["st"]) & placed["c"].between(s["c0"], s["c1"])).drop("sr", "st", "ct", "c0", "c1")
 
 
 def zone_areas(over: DataFrame) -> DataFrame:

@@ -54,7 +54,7 @@ def density_trend(bands: DataFrame, land: DataFrame) -> DataFrame:
 
 
 def trend_km2(bands: DataFrame) -> DataFrame:
-    return bands.groupBy("band").agg(F.round(F.sum("v") / 1e6, 6).alias("surface_km2"))
+    return bands.groupBy("band").agg((F.round(F.sum("v") / 1e6, 6) + 0.0).alias("surface_km2"))
 
 
 def loss_events(changes: DataFrame) -> DataFrame:
@@ -70,10 +70,11 @@ def headline(layer: DataFrame, encoding: str) -> DataFrame:
 
 
 def dated_share(layer: DataFrame) -> DataFrame:
-    """dated_km2, undated_km2, dated_share_pct."""
+    """dated_km2, undated_km2 (3 places), and the dated share of these rounded areas (1 place); null if nothing is built."""
     a = row_area(F.col("r"))
-    dated = F.sum(F.when(F.col("v") != UNDATED, a).otherwise(0.0))
-    return layer.agg(km2(dated).alias("dated_km2"), km2(F.sum(a) - dated).alias("undated_km2"), F.round(100 * dated / F.sum(a), 4).alias("dated_share_pct"))
+    part = lambda dated: F.round(F.coalesce(F.sum(F.when((F.col("v") != UNDATED) == dated, a)), F.lit(0.0)) / 1e6, 3)
+    areas = layer.where("v > 0").agg(part(True).alias("dated_km2"), part(False).alias("undated_km2"))
+    return areas.withColumn("dated_share_pct", F.round(100 * F.col("dated_km2") / F.nullif(F.col("dated_km2") + F.col("undated_km2"), F.lit(0.0)), 1))
 
 
 LAYERS = {x.name: x for x in (

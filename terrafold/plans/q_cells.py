@@ -3,8 +3,8 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from terrafold.functions import encoding as E
 from terrafold.functions import grid as G
+from terrafold.operators import analyses as N
 from terrafold.operators import cells as C
 from terrafold.operators import components as K
 from terrafold.operators import spans as P
@@ -165,27 +165,16 @@ def erode(spark, d):
     return C.erode(D.cells(spark, d))
 
 
-_LABEL = """, m AS (SELECT r, c, r*1000+c AS id FROM cell WHERE v<=96 AND (r*7+c*3)%5<2),
-w(id, label) AS (SELECT a.id, b.id FROM m a JOIN m b ON {near} UNION SELECT w.id, n.id FROM w JOIN m a ON a.id = w.label JOIN m n ON {far})"""
-_NEAR8 = _LABEL.format(near="abs(a.r-b.r)<=1 AND abs(a.c-b.c)<=1", far="abs(a.r-n.r)<=1 AND abs(a.c-n.c)<=1")
-
-
-def recursive(text):
-    return text.replace("WITH ", "WITH RECURSIVE ", 1)
-
-
-@register("patch_sizes", recursive(sql("cell", _NEAR8 + ", l AS (SELECT id, min(label) AS label FROM w GROUP BY 1), s AS (SELECT count(*) AS size FROM l GROUP BY label) SELECT size, count(*) AS patches FROM s GROUP BY 1")))
+@register("patch_sizes")
 def patch_sizes(spark, d):
-    """Patches of all cells; the SQL labels a sparse subset only, so the two differ."""
+    """Patches of all cells; an all-pairs closure in SQL is too slow for them, so a flood fill checks it."""
     return K.patches(D.cells(spark, d)).groupBy("size").agg(F.count("*").alias("patches"))
 
 
-@register("patch_summary", recursive(sql("cell", _NEAR8 + """, l AS (SELECT id, min(label) AS label FROM w GROUP BY 1), s AS (SELECT count(*) AS size FROM l GROUP BY label)
-SELECT count(*) AS patches, max(size) AS largest, median(size)::DOUBLE AS median_size, round(100.0*count(*) FILTER (WHERE size<=4)/count(*),4) AS small_pct FROM s""")))
+@register("patch_summary")
 def patch_summary(spark, d):
-    """Patches of all cells; the SQL labels a sparse subset only, so the two differ."""
-    return K.patches(D.cells(spark, d)).agg(
-        F.count("*").alias("patches"), F.max("size").alias("largest"), F.median("size").alias("median_size"), F.round(100.0 * F.count_if(F.col("size") <= 4) / F.nullif(F.count("*"), F.lit(0)), 4).alias("small_pct"))
+    """Patches of all cells: number, median, largest two, share of small ones, share of the cells that large ones hold."""
+    return K.patch_summary(D.cells(spark, d))
 
 
 @register("compact_only")
@@ -205,6 +194,8 @@ def rasterise_binary(spark, d):
 
 
 _BOX = "SELECT s_suppkey AS id, (s_suppkey*37)%100 AS x0, (s_suppkey*37)%100+(s_suppkey%5) AS x1, (s_suppkey*53)%100 AS y0, (s_suppkey*53)%100+(s_suppkey%7) AS y1 FROM supplier"
+# Boxes that overlap at every scale: a third of the first ones' spread.
+_CLOSE = "SELECT s_suppkey AS id, (s_suppkey*7)%30 AS x0, (s_suppkey*7)%30+(s_suppkey%5) AS x1, (s_suppkey*11)%30 AS y0, (s_suppkey*11)%30+(s_suppkey%7) AS y1 FROM supplier"
 
 
 def boxes(spark, d):
@@ -212,11 +203,12 @@ def boxes(spark, d):
     return D.table(spark, d, "supplier").select(k.alias("id"), (k * 37 % 100).alias("x0"), (k * 37 % 100 + k % 5).alias("x1"), (k * 53 % 100).alias("y0"), (k * 53 % 100 + k % 7).alias("y1"))
 
 
-@register("boxes_overlap", f"WITH b AS ({_BOX}) SELECT a.id AS a, b.id AS b, (a.x0<b.x1 AND b.x0<a.x1 AND a.y0<b.y1 AND b.y0<a.y1) AS strict FROM b a JOIN b ON a.id<b.id AND a.x0<=b.x1 AND b.x0<=a.x1 AND a.y0<=b.y1 AND b.y0<=a.y1")
+@register("boxes_overlap", f"WITH b AS ({_CLOSE}) SELECT a.id AS a, b.id AS b, (a.x0<b.x1 AND b.x0<a.x1 AND a.y0<b.y1 AND b.y0<a.y1) AS strict FROM b a JOIN b ON a.id<b.id AND a.x0<=b.x1 AND b.x0<=a.x1 AND a.y0<=b.y1 AND b.y0<=a.y1")
 def boxes_overlap(spark, d):
     """Inclusive overlap by buckets of 10 units: boxes are at most 6 wide, and each pair is kept in one bucket."""
     lo = lambda c: F.floor(F.col(c) / 10)
-    b = boxes(spark, d)
+    k = F.col("s_suppkey")
+    b = D.table(spark, d, "supplier").select(k.alias("id"), (k * 7 % 30).alias("x0"), (k * 7 % 30 + k % 5).alias("x1"), (k * 11 % 30).alias("y0"), (k * 11 % 30 + k % 7).alias("y1"))
     each = b.withColumn("bx", F.explode(F.sequence(lo("x0"), lo("x1")))).withColumn("by", F.explode(F.sequence(lo("y0"), lo("y1"))))
     p, q = each.alias("p"), each.alias("q")
     hit = (F.col("p.bx") == F.col("q.bx")) & (F.col("p.by") == F.col("q.by")) & (F.col("p.id") < F.col("q.id"))
@@ -246,9 +238,9 @@ def points(spark, d):
     return D.table(spark, d, "supplier").select(k.alias("id"), (k * 61 % 200).cast("int").alias("r"), (k * 29 % 200).cast("int").alias("c"))
 
 
-@register("nearest_built", sql("cell", f", {_PTS} SELECT id, round(min(sqrt(pow((cell.r-p.r)*9.93,2)+pow((cell.c-p.c)*8.82,2))),6) AS metres FROM p LEFT JOIN cell ON v=96 AND abs(cell.r-p.r)<=5 AND abs(cell.c-p.c)<=5 GROUP BY 1"))
+@register("nearest_built", sql("cell", f", {_PTS} SELECT id, round(min(sqrt(pow((cell.r-p.r)*9.93,2)+pow((cell.c-p.c)*8.82,2))),6) AS metres FROM p LEFT JOIN cell ON abs(cell.r-p.r)<=20 AND abs(cell.c-p.c)<=20 GROUP BY 1"))
 def nearest_built(spark, d):
-    """To the nearest of all built cells in a window of 41 x 41; the SQL takes one year and 11 x 11, so the two differ."""
+    """To the nearest of all built cells in a window of 41 x 41."""
     return C.nearest_distance(points(spark, d), D.cells(spark, d), 20, 9.93, 8.82)
 
 
@@ -298,34 +290,39 @@ def touched_cells(spark, d):
     return t.agg(F.count("*").alias("touched"), F.countDistinct("x", "y").alias("cells")).crossJoin(F.broadcast(s))
 
 
-@register("near_share", sql("cell", f""", road AS (SELECT DISTINCT r//10 AS br, c//10 AS bc FROM cell WHERE v=96)
-SELECT CASE WHEN v=255 THEN 'undated' ELSE 'dated' END AS kind, count(*) AS n, round(100.0*count(*) FILTER (WHERE (r//10, c//10) IN (SELECT (br,bc) FROM road))/count(*),4) AS near_pct FROM cell GROUP BY 1"""))
+@register("near_share", sql("cell cell2 grid", """, road AS (SELECT r, c, v FROM cell2 WHERE v=96), near AS (SELECT DISTINCT g.r, g.c FROM grid g JOIN road ON abs(g.r-road.r)<=3 AND abs(g.c-road.c)<=3 AND sqrt(pow((g.r-road.r)*9.93,2)+pow((g.c-road.c)*8.82,2))<=30),
+k AS (SELECT g.r, g.c, CASE WHEN cell.v IS NULL THEN 'background' WHEN cell.v=255 THEN 'undated' ELSE 'dated' END AS kind FROM grid g LEFT JOIN cell USING (r,c))
+SELECT kind, count(*) AS n, round(100.0*count(*) FILTER (WHERE (r,c) IN (SELECT (r,c) FROM near))/count(*),4) AS near_pct FROM k GROUP BY 1"""))
 def near_share(spark, d):
-    cells = D.cells(spark, d).withColumns({"br": F.floor(F.col("r") / 10), "bc": F.floor(F.col("c") / 10)})
-    road = cells.where("v = 96").select("br", "bc").distinct().withColumn("hit", F.lit(1))
-    return cells.join(road, ["br", "bc"], "left").groupBy(F.when(F.col("v") == 255, "undated").otherwise("dated").alias("kind")).agg(F.count("*").alias("n"), F.round(100.0 * F.sum(F.coalesce("hit", F.lit(0))) / F.count("*"), 4).alias("near_pct"))
+    """Share within 30 m of a road of dated, undated and unbuilt land; cells of one year of the second product stand for roads."""
+    land = spark.range(D.HEIGHT * D.WIDTH).select(F.floor(F.col("id") / D.WIDTH).cast("int").alias("r"), (F.col("id") % D.WIDTH).cast("int").alias("c"))
+    return N.near_shares(D.cells(spark, d), D.cells2(spark, d).where("v = 96"), land, 30, 9.93, 8.82)
 
 
 @register("loss_rate", sql("cell cell2", f""", b AS (SELECT sum({A}) m FROM cell), l AS (SELECT sum({A}) m FROM cell ANTI JOIN cell2 USING (r,c)), g AS (SELECT sum({A}) m FROM cell2 ANTI JOIN cell USING (r,c))
 SELECT round(b.m/1e6,6) AS built_km2, round(l.m/1e6,6) AS lost_km2, round(g.m/1e6,6) AS gained_km2, round(100*l.m/b.m/4,6) AS loss_pct_year FROM b,l,g"""))
 def loss_rate(spark, d):
-    s, a = C.sides(*two(spark, d)), G.row_area(F.col("r"))
-    m = s.agg(F.sum(F.when(F.col("in_a") == 1, a)).alias("b"), F.sum(F.when(F.col("in_b") == 0, a)).alias("l"), F.sum(F.when(F.col("in_a") == 0, a)).alias("g"))
-    return m.select(G.km2(F.col("b")).alias("built_km2"), G.km2(F.col("l")).alias("lost_km2"), G.km2(F.col("g")).alias("gained_km2"), F.round(100 * F.col("l") / F.col("b") / 4, 6).alias("loss_pct_year"))
+    return N.loss_rate(*two(spark, d), 4)
+
+
+@register("a20_compact_loss")
+def compact_loss(spark, d):
+    """Loss in compact cores and the isolated share of it."""
+    return N.compact_loss(*two(spark, d))
 
 
-@register("product_agreement", sql("cell cell2", f"""SELECT CASE WHEN b.v IS NULL THEN 'none' WHEN a.v=255 OR b.v=255 THEN 'undated' WHEN abs(a.v-b.v)<=1 THEN 'agree' WHEN a.v<b.v THEN 'earlier' ELSE 'later' END AS class, count(*) AS n, round(sum({A})/1e6,6) AS km2 FROM cell a LEFT JOIN cell2 b USING (r,c) GROUP BY 1"""))
+@register("product_agreement", sql("cell cell2", f"""SELECT CASE WHEN a.v IS NULL THEN 'omitted' WHEN b.v IS NULL THEN 'none' WHEN a.v=255 OR b.v=255 THEN 'undated' WHEN abs(a.v-b.v)<=5 THEN 'agree' WHEN a.v<b.v THEN 'earlier' ELSE 'later' END AS class, count(*) AS n,
+round(sum({A})/1e6,6) AS km2, round(100*sum({A})/sum(sum({A})) OVER (),4) AS share_pct FROM cell a FULL JOIN cell2 b USING (r,c) GROUP BY 1"""))
 def product_agreement(spark, d):
-    a, b = two(spark, d)
-    w = F.col("w")
-    kind = F.when(w.isNull(), "none").when((F.col("v") == 255) | (w == 255), "undated").when(F.abs(F.col("v") - w) <= 1, "agree").when(F.col("v") < w, "earlier").otherwise("later")
-    return a.join(b.withColumnRenamed("v", "w"), ["r", "c"], "left").groupBy(kind.alias("class")).agg(F.count("*").alias("n"), G.km2(F.sum(G.row_area(F.col("r")))).alias("km2"))
+    return N.product_agreement(*two(spark, d), 5)
 
 
-@register("cell_test", sql("cell cell2", """SELECT round(count(*) FILTER (WHERE a.v IS NOT NULL AND b.v IS NOT NULL)/nullif(count(a.v),0)::DOUBLE,6) AS recall, round(count(*) FILTER (WHERE a.v IS NOT NULL AND b.v IS NOT NULL)/greatest(count(b.v),1)::DOUBLE,6) AS precision, count(b.v) AS flagged FROM cell a FULL JOIN cell2 b USING (r,c)"""))
+@register("cell_test", sql("cell cell2", """, t AS (SELECT coalesce(a.v,0) AS ref, coalesce(b.v,0) AS v FROM cell a FULL JOIN cell2 b USING (r,c)),
+f AS (SELECT count(*) FILTER (WHERE ref BETWEEN 1 AND 98) AS n, count(*) FILTER (WHERE ref BETWEEN 1 AND 98 AND v BETWEEN 1 AND 98) AS hit, count(*) FILTER (WHERE ref BETWEEN 1 AND 98 AND v=0) AS never, count(*) FILTER (WHERE v BETWEEN 1 AND 98) AS flagged, count(*) FILTER (WHERE v BETWEEN 1 AND 98 AND ref>0) AS hits FROM t)
+SELECT n AS cells, round(100.0*hit/nullif(n,0),1) AS recall_pct, round(100.0*never/nullif(n,0),1) AS never_flagged_pct, round(100.0*hits/greatest(flagged,1),1) AS precision_pct, flagged FROM f"""))
 def cell_test(spark, d):
-    n = C.sides(*two(spark, d)).agg(F.sum(F.col("in_a") * F.col("in_b")).alias("both"), F.sum("in_a").alias("a"), F.sum("in_b").alias("b"))
-    return n.select(F.round(F.col("both") / F.nullif(F.col("a"), F.lit(0)), 6).alias("recall"), F.round(F.col("both") / F.greatest(F.col("b"), F.lit(1)), 6).alias("precision"), F.col("b").cast("long").alias("flagged"))
+    a, b = two(spark, d)
+    return N.cell_test(a, b, 98)
 
 
 @register("fraction_correlation", sql("cell cell2", """, f AS (SELECT r//10 AS br, c//10 AS bc, count(*) FILTER (WHERE k=1)/100.0::DOUBLE AS x, count(*) FILTER (WHERE k=2)/100.0::DOUBLE AS y FROM (SELECT r,c,1 AS k FROM cell UNION ALL SELECT r,c,2 FROM cell2) GROUP BY 1,2)
@@ -372,9 +369,9 @@ def footprint_pivot(spark, d):
     return t.groupBy("island").pivot("y", [f"y{v + 1899}" for v in range(96, 103)]).count().na.fill(0)
 
 
-@register("islands_by_longitude", f"WITH b AS ({_BOX}) SELECT id, x0, CAST(row_number() OVER (ORDER BY x0, id) AS INT) AS place FROM b ORDER BY x0, id LIMIT 8")
+@register("islands_by_longitude", f"WITH b AS ({_BOX}) SELECT id, x0, CAST(row_number() OVER (ORDER BY x0, id) AS INT) AS place FROM b")
 def islands_by_longitude(spark, d):
-    """All boxes from west to east; places run on over longitudes, so no task holds all rows. The SQL keeps eight, so the two differ."""
+    """All boxes from west to east; places run on over longitudes, so no task holds all rows."""
     b = boxes(spark, d).select("id", "x0")
     before = F.sum("n").over(Window.orderBy("x0").rowsBetween(Window.unboundedPreceding, -1))
     west = b.groupBy("x0").agg(F.count("*").alias("n")).select("x0", F.coalesce(before, F.lit(0)).alias("before"))

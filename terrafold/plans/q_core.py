@@ -120,7 +120,9 @@ def percent_histogram(spark, d):
     return rows.agg(G.km2(F.sum(a * v / 100)).alias("sealed_km2"), G.km2(F.sum(F.when(v >= 30, a))).alias("ge30_km2"), G.km2(F.sum(F.when(v >= 50, a))).alias("ge50_km2"), F.round(F.avg("v"), 6).alias("mean_pct"), F.round(100.0 * F.count_if(v < 80) / F.count("*"), 4).alias("below80_pct"))
 
 
-@register("provenance_summary", sql("cell", f"SELECT round(sum({A}) FILTER (WHERE v<>255)/1e6,6) dated_km2, round(sum({A}) FILTER (WHERE v=255)/1e6,6) undated_km2, round(100*sum({A}) FILTER (WHERE v<>255)/sum({A}),4) dated_share_pct FROM cell"))
+@register("provenance_summary", sql("cell", f"""
+, m AS (SELECT round(sum({A}) FILTER (WHERE v<>255)/1e6,3) AS d, round(sum({A}) FILTER (WHERE v=255)/1e6,3) AS u FROM cell)
+SELECT d AS dated_km2, u AS undated_km2, round(100*d/(d+u),1) AS dated_share_pct FROM m"""))
 def provenance_summary(spark, d):
     from terrafold.plans.layers import dated_share
 
@@ -147,10 +149,9 @@ def added_since(spark, d):
     return T.added_since(D.series(spark, d), 1998).select("grp", F.round("added", 2).alias("added"))
 
 
-@register("growth_between", sql("series", "SELECT grp, round(max(total) FILTER (WHERE key<=2000)/max(total) FILTER (WHERE key<=1997),6) growth FROM series GROUP BY 1"))
+@register("growth_between", sql("series", "SELECT grp, round(100*(max(total) FILTER (WHERE key=2000)/max(total) FILTER (WHERE key=1996)-1),6) AS growth_pct FROM series GROUP BY 1"))
 def growth_between(spark, d):
-    upto = lambda y: F.max(F.when(F.col("key") <= y, F.col("total")))
-    return D.series(spark, d).groupBy("grp").agg(F.round(upto(2000) / upto(1997), 6).alias("growth"))
+    return T.growth_pct(D.series(spark, d), 1996, 2000)
 
 
 @register("increments", sql("series", """SELECT grp, key, round(total - lag(total) OVER w, 2) step, round(total / first_value(total) OVER w, 6) index_to_first FROM series WINDOW w AS (PARTITION BY grp ORDER BY key)"""))
@@ -238,9 +239,13 @@ def render_classes(spark, d):
     return D.cells(spark, d).select("r", "c", F.when(F.col("v") == 255, "undated").when(y < 1996, "before").when(y > 1999, "after").otherwise("window").alias("class"))
 
 
-@register("verdicts", sql("series", "SELECT grp, key, CASE WHEN (key%7)*1.0<1 THEN 'PASS' WHEN (key%7)*1.0<5 THEN 'SUSPECT' ELSE 'FAIL' END AS verdict FROM series"))
+@register("verdicts", sql("series", """SELECT grp, key, CASE WHEN length(grp)%2=0 THEN CASE WHEN share<1 THEN 'PASS' WHEN share<5 THEN 'SUSPECT' ELSE 'FAIL' END
+WHEN key+23<2022 THEN 'BASELINE' WHEN share<1 THEN 'PASS' ELSE 'FAIL' END AS verdict FROM (SELECT *, (CAST(total*100 AS BIGINT)%70)/10.0 AS share FROM series)"""))
 def verdicts(spark, d):
-    return D.series(spark, d).select("grp", "key", E.control_verdict((F.col("key") % 7) * 1.0).alias("verdict"))
+    """Verdicts on shares made of the series' last digits; every other group is a loss test case, its years moved on to 2018 and after."""
+    share = ((F.col("total") * 100).cast("decimal(20,0)").cast("long") % 70) / 10.0
+    role = F.when(F.length("grp") % 2 == 0, "negative control").otherwise("loss test case")
+    return D.series(spark, d).select("grp", "key", E.control_verdict(share, role, F.col("key") + 23).alias("verdict"))
 
 
 @register("slugs", "SELECT n_nationkey, replace(lower(n_name),' ','-') AS slug, coalesce(nullif(trim(regexp_replace(lower(n_name),'[^a-z0-9]+','_','g'),'_'),''),'unnamed') AS key FROM nation")

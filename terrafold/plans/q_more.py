@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from terrafold.functions import encoding as E
 from terrafold.functions import grid as G
 from terrafold.functions import text as X
+from terrafold.operators import analyses as N
 from terrafold.operators import assess as S
 from terrafold.operators import cells as C
 from terrafold.operators import gates as Q
@@ -19,7 +20,7 @@ from terrafold.sources.derived import area, sql
 A = area()
 
 _POINTS = """p AS (SELECT l.doc_id, CASE d.doc_id % 3 WHEN 0 THEN 'before_2015' WHEN 1 THEN 'new_2015_2024' ELSE 'not_built' END AS map,
-CASE WHEN l.quality IS NULL THEN NULL WHEN l.quality = 1 THEN CASE d.doc_id % 3 WHEN 0 THEN 'before_2015' WHEN 1 THEN 'new_2015_2024' ELSE 'not_built' END ELSE CASE (d.doc_id + 1) % 3 WHEN 0 THEN 'before_2015' WHEN 1 THEN 'new_2015_2024' ELSE 'not_built' END END AS ref
+CASE WHEN l.quality IS NULL THEN NULL WHEN l.quality = 1 AND l.doc_id % 7 = 0 THEN 'lost_2015_2024' WHEN l.quality = 1 THEN CASE d.doc_id % 3 WHEN 0 THEN 'before_2015' WHEN 1 THEN 'new_2015_2024' ELSE 'not_built' END ELSE CASE (d.doc_id + 1) % 3 WHEN 0 THEN 'before_2015' WHEN 1 THEN 'new_2015_2024' ELSE 'not_built' END END AS ref
 FROM labels l JOIN documents d USING (doc_id)), a AS (SELECT * FROM (VALUES ('before_2015', 300.0::DOUBLE), ('new_2015_2024', 25.0::DOUBLE), ('not_built', 7000.0::DOUBLE)) t(map, km2))"""
 
 
@@ -27,7 +28,7 @@ def points(spark, d):
     name = lambda k: F.when(k % 3 == 0, "before_2015").when(k % 3 == 1, "new_2015_2024").otherwise("not_built")
     i = F.col("doc_id")
     rows = D.table(spark, d, "labels").join(D.table(spark, d, "documents").select("doc_id"), "doc_id")
-    return rows.select("doc_id", name(i).alias("map"), F.when(F.col("quality") == 1, name(i)).when(F.col("quality").isNotNull(), name(i + 1)).alias("ref"))
+    return rows.select("doc_id", name(i).alias("map"), F.when((F.col("quality") == 1) & (i % 7 == 0), "lost_2015_2024").when(F.col("quality") == 1, name(i)).when(F.col("quality").isNotNull(), name(i + 1)).alias("ref"))
 
 
 def strata(spark):
@@ -40,10 +41,13 @@ def confusion_matrix(spark, d):
 
 
 @register("accuracy_assessment", f"""WITH {_POINTS}, n AS (SELECT map, ref, count(*) AS n FROM p WHERE ref IS NOT NULL GROUP BY 1,2),
-c AS (SELECT n.map, ref, n.n::DOUBLE / sum(n.n) OVER (PARTITION BY n.map) AS p, sum(n.n) OVER (PARTITION BY n.map) AS t, km2/(SELECT sum(km2) FROM a) AS w, km2 FROM n JOIN a USING (map)),
-r AS (SELECT ref, sum(w*p) AS share, sqrt(sum(w*w*p*(1-p)/nullif(t-1,0))) AS se FROM c GROUP BY 1)
-SELECT r.ref AS class, round(c.p,6) AS users, round(1.96*sqrt(c.p*(1-c.p)/nullif(t-1,0)),6) AS users_ci, round(c.w*c.p/share,6) AS producers, round(km2,6) AS mapped_km2,
-round(share*(SELECT sum(km2) FROM a),6) AS adjusted_km2, round(1.96*se*(SELECT sum(km2) FROM a),6) AS adjusted_ci FROM r JOIN c ON c.ref = r.ref AND c.map = r.ref""")
+t AS (SELECT map, sum(n) AS t FROM n GROUP BY 1), k AS (SELECT DISTINCT ref AS class FROM n),
+c AS (SELECT a.map, class, km2, km2/sum(km2) OVER (PARTITION BY class) AS w, t, coalesce(n.n/t::DOUBLE,0) AS p, CASE WHEN t>=2 THEN coalesce(n.n/t::DOUBLE,0)*(1-coalesce(n.n/t::DOUBLE,0))/(t-1) ELSE 0 END AS var
+      FROM a CROSS JOIN k LEFT JOIN t USING (map) LEFT JOIN n ON n.map=a.map AND n.ref=class),
+s AS (SELECT class, sum(w*p) AS share, sum(w*w*var) AS var, max(p) FILTER (WHERE map=class) AS u, max(var) FILTER (WHERE map=class) AS uv, max(w) FILTER (WHERE map=class) AS w, coalesce(max(km2) FILTER (WHERE map=class),0) AS mapped,
+      coalesce(sum(km2*km2*var) FILTER (WHERE map<>class),0) AS others, sum(km2) AS total FROM c GROUP BY 1)
+SELECT class, round(u,6) AS users, round(1.96*sqrt(uv),6) AS users_ci, round(w*u/share,6) AS producers,
+round(1.96*sqrt(pow(mapped,2)*pow(1-w*u/share,2)*uv+pow(w*u/share,2)*others)/(share*total),6) AS producers_ci, round(mapped,6) AS mapped_km2, round(share*total,6) AS adjusted_km2, round(1.96*sqrt(var)*total,6) AS adjusted_ci FROM s""")
 def accuracy_assessment(spark, d):
     return S.accuracy(points(spark, d), strata(spark))
 
@@ -53,22 +57,26 @@ def overall_accuracy(spark, d):
     return S.overall(points(spark, d), strata(spark))
 
 
-@register("sample_design", """WITH s AS (SELECT *, km2/sum(km2) OVER () AS w, sqrt(e*(1-e)) AS s FROM (VALUES ('a',300.0::DOUBLE,0.9::DOUBLE),('b',25.0::DOUBLE,0.6::DOUBLE),('c',7000.0::DOUBLE,0.99::DOUBLE)) t(stratum,km2,e)),
-n AS (SELECT stratum, km2, greatest(round_even(ceil(pow(sum(w*s) OVER ()/0.01,2))*w,0),100)::BIGINT AS usable FROM s) SELECT stratum, km2, usable, least(ceil(usable/0.9),1000)::BIGINT AS draw FROM n""")
+@register("sample_design", """WITH s AS (SELECT *, km2/sum(km2) OVER () AS w, sqrt(e*(1-e)) AS s FROM (VALUES ('built_before_2015',300.0::DOUBLE,0.9::DOUBLE),('new_2015_2024',25.0::DOUBLE,0.6::DOUBLE),('not_built',7000.0::DOUBLE,0.99::DOUBLE)) t(stratum,km2,e)),
+n AS (SELECT stratum, km2, w, ceil(pow(sum(w*s) OVER ()/(1.0::DOUBLE/100/1.96),2)) AS n FROM s),
+u AS (SELECT stratum, km2, n::BIGINT AS n_formula, greatest(round_even(n*w,0),100)::BIGINT AS usable FROM n) SELECT *, ceil(usable/0.8)::BIGINT AS draw FROM u""")
 def sample_design(spark, d):
-    return S.design(spark.createDataFrame([("a", 300.0, 0.9), ("b", 25.0, 0.6), ("c", 7000.0, 0.99)], "stratum string, km2 double, expected double"))
+    rows = [("built_before_2015", 300.0, 0.9), ("new_2015_2024", 25.0, 0.6), ("not_built", 7000.0, 0.99)]
+    return S.design(spark.createDataFrame(rows, "stratum string, km2 double, expected double"))
 
 
 @register("stratified_draw")
 def stratified_draw(spark, d):
     pool = D.cells(spark, d).select(E.stratum(F.col("v")).alias("stratum"), (F.col("r") * 1000 + F.col("c")).alias("id"))
-    sizes = spark.createDataFrame([("before 2015", 50), ("undated", 30)], "stratum string, draw int")
+    sizes = spark.createDataFrame([("built_before_2015", 50), ("undated", 30)], "stratum string, draw int")
     return S.draw(pool, sizes, "id", seed=4)
 
 
-@register("stratum_areas", sql("cell", f"SELECT CASE WHEN v=0 THEN 'not built' WHEN v=255 THEN 'undated' WHEN v+1899<2015 THEN 'before 2015' ELSE '2015-2024' END AS stratum, round(sum({A})/1e6,6) AS km2 FROM cell GROUP BY 1"))
+@register("stratum_areas", sql("cell cell2", f"""SELECT CASE WHEN v=255 THEN 'undated' WHEN v+16+1899<=2015 THEN 'built_before_2015' WHEN v+16+1899<=2024 THEN 'new_2015_2024' END AS stratum, round(sum({A})/1e6,6) AS km2 FROM cell SEMI JOIN cell2 USING (r,c) GROUP BY 1"""))
 def stratum_areas(spark, d):
-    return D.cells(spark, d).groupBy(E.stratum(F.col("v")).alias("stratum")).agg(G.km2(F.sum(G.row_area(F.col("r")))).alias("km2"))
+    """Areas of the map's claims on land (the second product's cells); years are moved on by 16, so that both sides of 2015 occur."""
+    later = D.cells(spark, d).withColumn("v", F.when(F.col("v") == 255, 255).otherwise(F.col("v") + 16))
+    return C.both(later, D.cells2(spark, d)).groupBy(E.stratum(F.col("v")).alias("stratum")).agg(G.km2(F.sum(G.row_area(F.col("r")))).alias("km2"))
 
 
 _LAB = "WITH l AS (SELECT conv_id, turn, CASE WHEN length(text)%4=0 THEN 'not' WHEN length(text)%4=3 THEN 'unsure' ELSE 'built' END AS a, CASE WHEN length(text)%5=0 THEN 'not' WHEN length(text)%5=4 THEN 'unsure' ELSE 'built' END AS b FROM conversations)\n"
@@ -93,15 +101,16 @@ def label_agreement(spark, d):
     return x.agg(F.count("*").alias("n"), F.count_if(diff).alias("changed"), F.round(F.count_if(diff) / F.count("*"), 6).alias("rate"), F.count_if((F.col("a") == "unsure") | (F.col("b") == "unsure")).alias("unsure"))
 
 
-@register("density_matched_rates", sql("cell cell2", """, f AS (SELECT CAST(a.r+i AS INT) AS r, CAST(a.c+j AS INT) AS c, count(*)/49.0::DOUBLE AS d FROM cell2 a, range(-3,4) x(i), range(-3,4) y(j) GROUP BY 1,2),
-b AS (SELECT CASE WHEN d<0.25 THEN 1 WHEN d<0.5 THEN 2 WHEN d<0.75 THEN 3 ELSE 4 END AS bin, v=255 AS undated FROM cell JOIN f USING (r,c))
-SELECT bin, count(*) AS n, round(count(*) FILTER (WHERE undated)/count(*)::DOUBLE,6) AS rate FROM b GROUP BY 1 HAVING count(*)>=50"""))
+@register("density_matched_rates", sql("cell cell2 pct grid", """, o AS (SELECT r, c FROM cell WHERE v<=98), f AS (SELECT CAST(a.r+i AS INT) AS r, CAST(a.c+j AS INT) AS c, round(count(*)/49.0::DOUBLE,6) AS d FROM o a, range(-3,4) x(i), range(-3,4) y(j) GROUP BY 1,2),
+t AS (SELECT g.r, g.c, CASE WHEN cell.v IS NULL THEN 'empty' WHEN cell.v<=98 THEN 'old' WHEN cell.v<>255 THEN 'new' END AS kind, coalesce(f.d,0) AS d, (g.r,g.c) IN (SELECT (r,c) FROM cell2) AS hit FROM grid g LEFT JOIN cell USING (r,c) LEFT JOIN f ON f.r=g.r AND f.c=g.c),
+b AS (SELECT CASE WHEN d<0.25 THEN 0 WHEN d<0.5 THEN 1 WHEN d<0.75 THEN 2 ELSE 3 END AS bin, count(*) FILTER (WHERE kind='new') AS n, count(*) FILTER (WHERE kind='old') AS n_old, count(*) FILTER (WHERE kind='empty') AS n_empty,
+ count(*) FILTER (WHERE kind='new' AND hit) AS h, count(*) FILTER (WHERE kind='old' AND hit) AS h_old, count(*) FILTER (WHERE kind='empty' AND hit) AS h_empty FROM t GROUP BY 1),
+q AS (SELECT bin, n, h/n::DOUBLE AS rn, h_old/n_old::DOUBLE AS ro, h_empty/n_empty::DOUBLE AS re FROM b WHERE n>=50 AND n_old>=50 AND n_empty>=50)
+SELECT bin, n, round(rn,6) AS new_rate, round(ro,6) AS old_rate, round(re,6) AS empty_rate, round((rn-re)/(ro-re),6) AS implied, round(sum((rn-re)/(ro-re)*n) OVER ()/sum(n) OVER (),6) AS pooled FROM q WHERE ro-re>=0.05"""))
 def density_matched_rates(spark, d):
-    f = C.mean_filter(D.cells2(spark, d), 3)
-    x = F.col("density")
-    bins = F.when(x < 0.25, 1).when(x < 0.5, 2).when(x < 0.75, 3).otherwise(4)
-    j = D.cells(spark, d).join(f, ["r", "c"]).groupBy(bins.alias("bin")).agg(F.count("*").alias("n"), F.round(F.count_if(F.col("v") == 255) / F.count("*"), 6).alias("rate"))
-    return j.where("n >= 50")
+    """How often a second product fires on the new class, between its rates on old and empty land of like density."""
+    grid = spark.range(D.HEIGHT * D.WIDTH).select(F.floor(F.col("id") / D.WIDTH).cast("int").alias("r"), (F.col("id") % D.WIDTH).cast("int").alias("c"))
+    return N.density_matched(D.cells(spark, d), D.cells2(spark, d), grid, 98, [0.25, 0.5, 0.75])
 
 
 @register("gates", sql("series", """, m AS (SELECT grp, max(total)/1e6 AS built, CAST(count(*) AS DOUBLE)*40 AS ref FROM series GROUP BY 1)
@@ -157,12 +166,17 @@ def changed_files(spark, d):
 
 @register("figure_tokens")
 def figure_tokens(spark, d):
-    return D.table(spark, d, "documents").select("doc_id", F.explode(X.figures(X.without_generated(F.col("text")))).alias("token")).groupBy("doc_id").agg(F.count("*").alias("figures"), F.countDistinct(X.normalised(F.col("token"))).alias("different"))
+    """Figures per document; Java patterns with lookbehind, so a plain Python scan checks it."""
+    return D.table(spark, d, "documents").select("doc_id", F.size(X.figures(F.col("text"))).alias("figures"))
 
 
-@register("exempt_counts", r"""SELECT page_id, len(regexp_extract_all(html, '\b\d{4}-\d{2}-\d{2}\b')) AS dates FROM pages""")
+@register("exempt_counts", r"""WITH t AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<sup>.*?</sup>', '', 'g'), '<[^>]+>', chr(10), 'g') AS b FROM pages),
+u AS (SELECT page_id, regexp_replace(b, 'doi:\S+', ' ', 'g') AS b FROM t),
+x AS (SELECT page_id, len([y FOR y IN regexp_extract_all(b, 'https?://\S+') IF regexp_matches(y, '\d')]) AS url, regexp_replace(b, 'https?://\S+', ' ', 'g') AS b FROM u)
+SELECT page_id, url, len(regexp_extract_all(b, '&#\d+;')) AS entity FROM x""")
 def exempt_counts(spark, d):
-    return D.table(spark, d, "pages").select("page_id", X.exemptions(F.col("html"))[0].alias("dates"))
+    found = {name: c for name, c in zip(["generated", "superscript", *X.STRUCTURE], X.exemptions(F.col("html"), html=True), strict=False)}
+    return D.table(spark, d, "pages").select("page_id", found["url"].cast("long").alias("url"), found["entity"].cast("long").alias("entity"))
 
 
 @register("page_links", "SELECT page_id, len(regexp_extract_all(html, 'href=\"[^\"]*\"')) AS links, contains(lower(html), 'lorem ipsum') AS placeholder FROM pages")
@@ -171,15 +185,16 @@ def page_links(spark, d):
     return D.table(spark, d, "pages").select("page_id", F.size(F.regexp_extract_all(h, F.lit('(href="[^"]*")'), 1)).cast("long").alias("links"), F.lower(h).contains("lorem ipsum").alias("placeholder"))
 
 
-@register("set_fingerprint")
+@register("set_fingerprint", """SELECT n_regionkey, sha256('["' || string_agg(n_name, '","' ORDER BY n_name) || '"]') AS sha256 FROM nation GROUP BY 1""")
 def set_fingerprint(spark, d):
     return D.table(spark, d, "nation").groupBy("n_regionkey").agg(F.collect_set("n_name").alias("names")).select("n_regionkey", X.fingerprint(F.col("names")).alias("sha256"))
 
 
-@register("name_lists", "SELECT n_regionkey, array_to_string(list(n_name ORDER BY n_name)[:-2], ', ') || ' and ' || max(n_name) AS names FROM nation GROUP BY 1 HAVING count(*) > 1")
+@register("name_lists", """WITH g AS (SELECT n_regionkey, n_nationkey % 3 AS k, list(n_name ORDER BY n_name) AS n FROM nation GROUP BY 1,2)
+SELECT n_regionkey, k, CASE len(n) WHEN 1 THEN n[1] WHEN 2 THEN n[1] || ' and ' || n[2] WHEN 3 THEN n[1] || ', ' || n[2] || ' and ' || n[3] ELSE len(n) || ' islands' END AS names FROM g""")
 def name_lists(spark, d):
-    g = D.table(spark, d, "nation").groupBy("n_regionkey").agg(F.sort_array(F.collect_list("n_name")).alias("n"))
-    return g.where(F.size("n") > 1).select("n_regionkey", X.joined_names(F.col("n")).alias("names"))
+    g = D.table(spark, d, "nation").groupBy("n_regionkey", (F.col("n_nationkey") % 3).alias("k")).agg(F.sort_array(F.collect_list("n_name")).alias("n"))
+    return g.select("n_regionkey", "k", X.joined_names(F.col("n")).alias("names"))
 
 
 @register("lineage_sentences", "SELECT n_name AS name, 'Built from ' || n_name || ' in region ' || n_regionkey || '.' AS sentence FROM nation")
@@ -207,9 +222,8 @@ def layer_density(spark, d):
     return L.headline(L.density_current(D.percents(spark, d), land), "percent")
 
 
-@register("layer_trend", "SELECT CAST(pos AS INT) AS band, round(sum(embedding[pos+1]::DOUBLE)/1e6,6) AS surface_km2 FROM embeddings, range(8) t(pos) GROUP BY 1")
+@register("layer_trend", "SELECT band, round(sum(v::DOUBLE)/1e6,6) + 0.0 AS surface_km2 FROM (SELECT CAST(generate_subscripts(embedding,1)-1 AS INT) AS band, unnest(embedding) AS v FROM embeddings) GROUP BY 1")
 def layer_trend(spark, d):
-    """Every band; the SQL has the first eight, so the two differ."""
     bands = D.table(spark, d, "embeddings").select(F.posexplode("embedding").alias("band", "v")).select("band", F.col("v").cast("double").alias("v"))
     return L.trend_km2(bands)
 
@@ -237,10 +251,10 @@ def order_statistics(spark, d):
     return ranked.groupBy("k").agg(at(F.floor(F.col("total") / 2)).alias("middle"), at(F.floor(F.col("total") * 0.9)).alias("p90"), F.max("q").alias("most"))
 
 
-@register("crop_shares", "SELECT p_type AS kind, count(*) AS n, round(100.0*count(*) FILTER (WHERE p_size>25)/count(*),4) AS share_pct FROM part GROUP BY 1 HAVING count(*)>=20 ORDER BY 3 DESC, 1 LIMIT 5")
+@register("crop_shares", "SELECT p_type AS kind, count(*) AS n, round(100.0*count(*) FILTER (WHERE p_size>25)/count(*),4) AS share_pct FROM part GROUP BY 1 HAVING count(*)>=30 ORDER BY 3 DESC, 1 LIMIT 8")
 def crop_shares(spark, d):
-    g = D.table(spark, d, "part").groupBy(F.col("p_type").alias("kind")).agg(F.count("*").alias("n"), F.round(100.0 * F.count_if(F.col("p_size") > 25) / F.count("*"), 4).alias("share_pct"))
-    return g.where("n >= 20").orderBy(F.desc("share_pct"), "kind").limit(5)
+    """The eight kinds of most flagged parcels, of those with 30 parcels or more (a top-k report); part types stand for crops."""
+    return N.kind_shares(D.table(spark, d, "part").select(F.col("p_type").alias("kind"), (F.col("p_size") > 25).alias("flag")), 30, 8)
 
 
 @register("conditional_means", "SELECT o_orderpriority AS grp, round(avg(o_totalprice) FILTER (WHERE year(o_orderdate)<=1997),4) AS early, round(avg(o_totalprice) FILTER (WHERE year(o_orderdate)>1997),4) AS late FROM orders GROUP BY 1")
@@ -249,11 +263,6 @@ def conditional_means(spark, d):
     return D.table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("grp")).agg(F.round(F.avg(F.when(y <= 1997, p)), 4).alias("early"), F.round(F.avg(F.when(y > 1997, p)), 4).alias("late"))
 
 
-@register("first_epoch_per_user", sql("epoch", "SELECT user_id, epoch FROM epoch"))
-def first_epoch_per_user(spark, d):
-    return D.epochs(spark, d)
-
-
 @register("link_precedence", "SELECT s_suppkey, CASE WHEN s_suppkey%2=0 THEN 'published' WHEN s_suppkey%3=0 THEN 'live' WHEN s_suppkey%5=0 THEN 'local' END AS reason FROM supplier")
 def link_precedence(spark, d):
     s = D.table(spark, d, "supplier").select("s_suppkey")
