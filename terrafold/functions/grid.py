@@ -103,3 +103,58 @@ def interpolated(table: list[float], start: float, step: float, x: Column) -> Co
     low = F.least(F.floor(at), F.lit(len(table) - 2)).cast("int")
     line = F.get(values, low) + (at - low) * (F.get(values, low + 1) - F.get(values, low))
     return F.when(x.isNull() | F.isnan(x), F.raise_error(F.lit("latitude is not finite")).cast("double")).otherwise(line)
+
+
+def laea(lon: Column, lat: Column) -> tuple[Column, Column]:
+    """Lambert azimuthal equal-area metres of Europe (GRS 80, centre 10 E 52 N, false origin 4,321,000, 3,210,000)."""
+    a, f = 6378137.0, 1 / 298.257222101
+    e2 = f * (2 - f)
+    e = math.sqrt(e2)
+    centre = math.radians(52.0)
+
+    def q_of(s: float) -> float:
+        return (1 - e2) * (s / (1 - e2 * s * s) - math.log((1 - e * s) / (1 + e * s)) / (2 * e))
+
+    qp, b1 = q_of(1.0), math.asin(q_of(math.sin(centre)) / q_of(1.0))
+    rq = a * math.sqrt(qp / 2)
+    d = a * math.cos(centre) / (math.sqrt(1 - e2 * math.sin(centre) ** 2) * rq * math.cos(b1))
+    s = F.sin(F.radians(lat))
+    q = (1 - e2) * (s / (1 - e2 * s * s) - F.log((1 - e * s) / (1 + e * s)) / (2 * e))
+    beta, dl = F.asin(F.least(q / qp, F.lit(1.0))), F.radians(lon - 10.0)
+    b = F.sqrt(2 / (1 + math.sin(b1) * F.sin(beta) + math.cos(b1) * F.cos(beta) * F.cos(dl))) * rq
+    x = F.lit(4321000.0) + b * d * F.cos(beta) * F.sin(dl)
+    y = F.lit(3210000.0) + b / d * (math.cos(b1) * F.sin(beta) - math.sin(b1) * F.cos(beta) * F.cos(dl))
+    return x, y
+
+
+def mercator_cell(x: Column, y: Column, px: float = PIXEL, north: float = TEST_LAT, west: float = TEST_LON) -> tuple[Column, Column]:
+    """Row and column of the grid under a point in web map metres."""
+    lon, lat = F.degrees(x / MERCATOR_R), F.degrees(2 * F.atan(F.exp(y / MERCATOR_R)) - math.pi / 2)
+    return row_of(lat, north, px), col_of(lon, west, px)
+
+
+def grid_for(x0: Column, y0: Column, x1: Column, y1: Column, px: float = PIXEL) -> Column:
+    """The grid of a box, snapped outward to the shared lattice: a, b, c, d, e, f, height, width."""
+    col, width = snapped(x0, x1, ORIGIN_LON, px)
+    row = F.floor((F.lit(ORIGIN_LAT) - y1) / px)
+    height = F.ceil((F.lit(ORIGIN_LAT) - y0) / px) - row
+    zero = F.lit(0.0)
+    return F.struct(
+        F.lit(px).alias("a"), zero.alias("b"), (ORIGIN_LON + col * px).alias("c"), zero.alias("d"), F.lit(-px).alias("e"), (ORIGIN_LAT - row * px).alias("f"),
+        height.cast("int").alias("height"), width.cast("int").alias("width"))
+
+
+def grid_box(grid: Column) -> list[Column]:
+    """west, south, east, north of a grid."""
+    return [grid["c"].alias("west"), (grid["f"] + grid["e"] * grid["height"]).alias("south"), (grid["c"] + grid["a"] * grid["width"]).alias("east"), grid["f"].alias("north")]
+
+
+def chip_box(lon: Column, lat: Column, metres: float, north_m: float = NORTH_M) -> list[Column]:
+    """The box of an image of so many metres round a point, latitude first. Maps on screen take 111,132 m a degree northward, review sheets 110,540."""
+    dy, dx = F.lit(metres / 2 / north_m), metres / 2 / (EAST_M * F.cos(F.radians(lat)))
+    return [(lat - dy).alias("south"), (lon - dx).alias("west"), (lat + dy).alias("north"), (lon + dx).alias("east")]
+
+
+def projected_km2(pixels: Column, metres: float) -> Column:
+    """Area of pixels of an equal-area grid: constant, without a correction for latitude."""
+    return pixels * (metres * metres / 1e6)

@@ -172,3 +172,36 @@ def near_cells(cells: DataFrame, metres: float, north_m: float, east_m: float) -
     spread = cells.select(*KEY).distinct().withColumn("i", F.explode(rows)).withColumn("j", F.explode(cols))
     held = spread.where(F.hypot(F.col("i") * north_m, F.col("j") * east_m) <= metres)
     return held.select((F.col("r") + F.col("i")).alias("r"), (F.col("c") + F.col("j")).alias("c")).distinct()
+
+
+def least_year(cells: DataFrame, k: int, missing: int = 9999) -> DataFrame:
+    """br, bc, v: the earliest year of each k x k block; missing (also where all of it is) for none."""
+    key = [F.floor(F.col("r") / k).cast("int").alias("br"), F.floor(F.col("c") / k).cast("int").alias("bc")]
+    return cells.groupBy(*key).agg(F.coalesce(F.min(F.when(F.col("v") > 0, F.col("v"))), F.lit(missing)).alias("v"))
+
+
+def shared_grid(grids: DataFrame) -> DataFrame:
+    """island, row, col (whole-pixel offsets in the grid that covers all), height, width (of that grid).
+
+    grids: island, a, c, e, f, height, width. Islands of another pixel size (1e-12) raise, and so do offsets
+    that are over 0.01 pixel off a whole number, as a mosaic of them would resample.
+    """
+    all_grids = grids.agg(F.min("a").alias("a0"), F.max("a").alias("a1"), F.min(-F.col("e")).alias("e0"), F.max(-F.col("e")).alias("e1"), F.min("c").alias("x0"), F.max("f").alias("y0"))
+    g = grids.crossJoin(F.broadcast(all_grids))  # one row
+    fcol, frow = (F.col("c") - F.col("x0")) / F.col("a0"), (F.col("y0") - F.col("f")) / F.col("e0")
+    off = (F.abs(fcol - F.round(fcol)) > 0.01) | (F.abs(frow - F.round(frow)) > 0.01)
+    sizes = (F.col("a1") - F.col("a0") > 1e-12) | (F.col("e1") - F.col("e0") > 1e-12)
+    fail = lambda text: F.raise_error(F.lit(text)).cast("int")
+    placed = lambda x: F.when(sizes, fail("islands differ in pixel size")).when(off, fail("island is not on the shared grid")).otherwise(F.round(x).cast("int"))
+    p = g.select("island", placed(frow).alias("row"), placed(fcol).alias("col"), "height", "width")
+    size = p.agg(F.max(F.col("row") + F.col("height")).alias("height"), F.max(F.col("col") + F.col("width")).alias("width"))
+    return p.select("island", "row", "col").crossJoin(F.broadcast(size))
+
+
+def placed_mosaic(pieces: DataFrame, offsets: DataFrame, kind: str = "int") -> DataFrame:
+    """Pieces (island, piece, r, c, v) moved to their offsets; later non-zero values overwrite earlier ones. Values of another type raise."""
+    found = dict(pieces.dtypes)["v"]
+    if found != kind:
+        raise ValueError(f"values are {found}, not {kind}")
+    moved = pieces.join(offsets.select("island", "row", "col"), "island").select("piece", (F.col("r") + F.col("row")).alias("r"), (F.col("c") + F.col("col")).alias("c"), "v")
+    return mosaic(moved, last=True)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrafold.functions.grid import same_grid
+
 COLUMNS = ["gate", "layer", "island", "passed", "value", "expected", "skipped", "detail"]
 
 
@@ -67,3 +69,40 @@ def summary(gates: DataFrame) -> DataFrame:
     return gates.groupBy("gate").agg(
         F.count_if(F.coalesce("passed", F.lit(False)) & ~F.col("skipped")).alias("passed"),
         F.count_if(~F.col("skipped")).alias("measured"), F.count_if("skipped").alias("skipped"))
+
+
+def grid_alignment(grids: DataFrame) -> DataFrame:
+    """Each layer's grid (island, layer, ordinal, coefficients) against the first one of its island; a lone layer has no gate."""
+    first = grids.groupBy("island").agg(F.min_by(F.struct("layer", "coefficients"), "ordinal").alias("first"))
+    others = grids.join(first, "island").where(F.col("layer") != F.col("first.layer"))
+    return gate(others, "grid-alignment", F.col("layer"), F.col("island"), F.lit(None).cast("double"), same_grid(F.col("coefficients"), F.col("first.coefficients")), "identical", F.lit(False))
+
+
+def table_valid(cells: DataFrame, layer: str, height: int, width: int) -> DataFrame:
+    """Whether a layer's cells lie in its grid, once each: what a raster file's validation is to a table."""
+    inside = F.col("r").between(0, height - 1) & F.col("c").between(0, width - 1)
+    seen = cells.groupBy("r", "c").agg(F.count("*").alias("n")).agg(F.sum(F.when(inside & (F.col("n") == 1), 0).otherwise(1)).cast("double").alias("bad"))
+    bad = F.coalesce("bad", F.lit(0.0))
+    return gate(seen, "table-valid", F.lit(layer), F.lit("all"), bad, bad == 0, "0 cells outside or repeated", F.lit(False))
+
+
+def catalogue_valid(items: DataFrame, required: list[str]) -> DataFrame:
+    """Whether every item (id, json) has the required fields; the value is the number of items."""
+    lacks = [F.get_json_object("json", f"$.{name}").isNull() for name in required]
+    bad = lacks[0]
+    for one in lacks[1:]:
+        bad = bad | one
+    n = items.agg(F.count("*").cast("double").alias("n"), F.count_if(bad).alias("bad"))
+    return gate(n, "catalogue-valid", F.lit("catalogue"), F.lit("all"), F.col("n"), F.col("bad") == 0, "every item complete", F.lit(False))
+
+
+def acceptance(measured: DataFrame, goldens: DataFrame, tolerance: float) -> DataFrame:
+    """Measured figures (name, value) against goldens (name, value): a golden without a measurement fails."""
+    both = goldens.withColumnRenamed("value", "golden").join(measured, "name", "left")
+    ok = F.coalesce(F.abs(F.col("value") - F.col("golden")) <= tolerance, F.lit(False))
+    return gate(both, "acceptance", F.col("name"), F.lit("all"), F.col("value"), ok, f"within {tolerance}", F.lit(False))
+
+
+def unmoved(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Figures (name, value) that a perturbed build leaves as they were; a page whose figures are generated has none."""
+    return before.join(after.withColumnRenamed("value", "changed"), "name").where(F.col("value").eqNullSafe(F.col("changed"))).select("name", "value")

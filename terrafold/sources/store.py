@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrafold.functions.encoding import is_published
+
 TILE = 256
 
 
@@ -53,3 +55,47 @@ def files_with_digest(spark: SparkSession, path: str) -> DataFrame:
 def sizes_by_segment(files: DataFrame, segment: int) -> DataFrame:
     """MiB by the n-th part of the path."""
     return files.groupBy(F.get(F.split("path", "/"), F.lit(segment)).alias("part")).agg(F.round(F.sum("bytes") / 1048576.0, 6).alias("mib"))
+
+
+def write_json(df: DataFrame, path: str) -> None:
+    """A small evidence table as JSON lines in one file."""
+    df.coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """A small evidence table as CSV with a header in one file."""
+    df.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+
+
+def item_documents(items: DataFrame) -> DataFrame:
+    """path, json of catalogue items (collection, id, x0, y0, x1, y1, properties); links are relative to the item."""
+    link = lambda rel, href: F.struct(F.lit(rel).alias("rel"), href.alias("href"))
+    body = F.struct(
+        F.lit("Feature").alias("type"), F.col("id"), F.array("x0", "y0", "x1", "y1").alias("bbox"), F.col("properties"),
+        F.array(link("parent", F.lit("../collection.json")), link("root", F.lit("../../catalog.json"))).alias("links"))
+    return items.select(F.concat_ws("/", "collection", "id", F.concat("id", F.lit(".json"))).alias("path"), F.to_json(body).alias("json"))
+
+
+def runtime_index(items: DataFrame) -> DataFrame:
+    """json: one flat document of all items (collection, id, href): a catalogue's worth of rows, by collection."""
+    per = items.groupBy("collection").agg(F.sort_array(F.collect_list(F.struct("id", "href"))).alias("items"))
+    return per.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("collection", "items"))))).alias("json"))
+
+
+def facts_module(facts: DataFrame) -> DataFrame:
+    """text: a generated module of constants of facts (name, value), by name."""
+    line = F.concat(F.lit("export const "), "name", F.lit(" = "), F.format_string("%.3f", "value"), F.lit(";"))
+    lines = facts.agg(F.sort_array(F.collect_list(F.struct("name", line.alias("line")))).alias("all"))
+    return lines.select(F.array_join(F.transform("all", lambda x: x["line"]), "\n").alias("text"))
+
+
+def published_size(files: DataFrame) -> DataFrame:
+    """mib of what is served (path, bytes): build intermediates do not count."""
+    return files.where(is_published(F.element_at(F.split("path", "/"), -1))).agg(F.round(F.coalesce(F.sum("bytes"), F.lit(0)) / 1048576.0, 6).alias("mib"))
+
+
+def data_version(files: DataFrame) -> DataFrame:
+    """version: a digest of the files' paths and digests (path, sha256), whatever their order; sums of hashes, so nothing is collected."""
+    pair = [F.xxhash64(F.lit(k), "path", "sha256").cast("decimal(20,0)") for k in (1, 2)]
+    sums = files.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(p), F.lit(0)).cast("string").alias(f"s{k}") for k, p in enumerate(pair)])
+    return sums.select(F.sha2(F.concat_ws("|", "n", "s0", "s1"), 256).alias("version"))
