@@ -12,8 +12,8 @@
    compared with their hubs: agreement of the samples below LEAST_AGREEMENT rules a pair out (6 deviations
    from 0.8); the rest are verified by exact weighted Jaccard similarity, THRESHOLD or more. Links give
    connected components, the classes.
-5. Buckets that still hold several classes are compared in full, in cells of two blocks of members. What a
-   text alone has of all texts in such buckets is common to no pair, so its partners weigh no more than its
+5. Buckets that hold several classes beside their hub, whose pairs have all been tried, are compared in
+   full, in cells of two blocks of members. What a text alone has of all texts in such buckets is common to no pair, so its partners weigh no more than its
    reach, (1 + t) / t times its shared weight less its weight. Members whose bucket has no weight within
    their reach are left out (no pair of theirs can link), and so are pairs beyond it. A cell computes the
    common weights of all its other pairs by a matrix product over the shingles that two or more of them
@@ -391,7 +391,8 @@ def link(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Data
 
     links = exact(likely(active.where("a != b").select("a", "b").distinct()))
     classes = components(links)
-    members = active.select("a", "key").join(classes.select(F.col("node").alias("a"), "class"), "a", "left")
+    # Pairs with a hub have been tried, so what is left to compare is a bucket without its hub.
+    members = active.where("a != b").select("a", "key").join(classes.select(F.col("node").alias("a"), "class"), "a", "left")
     members = written(members.select("a", "key", F.coalesce("class", "a").alias("class")), "members")
     mixed = members.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("key")
     several = written(members.join(mixed, "key", "left_semi"), "several")
