@@ -7,8 +7,9 @@ or two values of an independent 64-bit hash, all identifiers are lengthened by b
 equal when their ordered identifier lists are, so only lists move between machines, not texts.
 
 Defined cases: null counts as empty; empty texts are equal to one another; of equal texts the row
-with most code points, then the smallest doc_id, stays (a null doc_id comes last); of fully repeated
-rows exactly one is kept; extra columns are not read.
+with most code points, then the smallest doc_id, stays (a null doc_id comes last); of rows of one doc_id
+with equal texts exactly one is kept (where their white space differs, one of the least text hash); extra
+columns pass through whatever their names. "Verified" means by length and a second hash, not by bytes.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.store import written
+from terrafold.llm.store import bounded, repeated, row_key, written
 
 SPACE = b" \t\n\x0b\x0c\r"
 LEAST, MOST, COARSE = 1024, 16384, 12
@@ -53,7 +54,7 @@ def cut_points(data: bytes) -> list[int]:
 
 
 _ROW = pa.schema([
-    ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("text_sha256", pa.string()),
+    ("doc_id", pa.int64()), ("raw", pa.int64()), ("n_chars", pa.int64()), ("text_sha256", pa.string()),
     ("chunks", pa.list_(pa.struct([("id", pa.binary()), ("length", pa.int64()), ("check", pa.int64())])))])
 
 
@@ -69,19 +70,19 @@ def _recipe(data: bytes) -> list[dict]:
 
 def _recipes(batches):
     for b in batches:
-        texts = b.column("text").cast(pa.binary()) if b.num_rows else []
-        ids, sizes = b.column("doc_id").to_pylist(), b.column("n").to_pylist()
-        out = []
-        for doc, n, text in zip(ids, sizes, texts, strict=True):
-            data = (text.as_py() or b"").translate(None, SPACE)
-            out.append({"doc_id": doc, "n_chars": n, "text_sha256": hashlib.sha256(data).hexdigest(), "chunks": _recipe(data)})
-        yield pa.RecordBatch.from_pylist(out, schema=_ROW)
+        for k in range(0, b.num_rows, 256):
+            sub, out = b.slice(k, 256), []
+            texts = sub.column("text").cast(pa.binary())
+            for doc, raw, n, text in zip(*(sub.column(c).to_pylist() for c in ("doc_id", "raw", "n")), texts, strict=True):
+                data = (text.as_py() or b"").translate(None, SPACE)
+                out.append({"doc_id": doc, "raw": raw, "n_chars": n, "text_sha256": hashlib.sha256(data).hexdigest(), "chunks": _recipe(data)})
+            yield pa.RecordBatch.from_pylist(out, schema=_ROW)
 
 
 def recipes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, text_sha256 and the ordered chunks of every row, written to the shared folder."""
-    slim = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n"), "text")
-    kind = "doc_id long, n_chars long, text_sha256 string, chunks array<struct<id: binary, length: long, check: long>>"
+    """doc_id, raw (a hash of the text as it stands), n_chars, text_sha256 and the ordered chunks of every row, written to the shared folder."""
+    slim = bounded(docs).select(F.col("doc_id").cast("long"), row_key(F.col("doc_id"), F.col("text"))["raw"].alias("raw"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n"), "text")
+    kind = "doc_id long, raw long, n_chars long, text_sha256 string, chunks array<struct<id: binary, length: long, check: long>>"
     return written(slim.mapInArrow(_recipes, kind), "recipes")
 
 
@@ -95,33 +96,34 @@ def dictionary(made: DataFrame) -> DataFrame:
     )
 
 
-def decide(docs: DataFrame) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256: one row for every row of docs."""
+def _decided(docs: DataFrame) -> DataFrame:
+    """One row for each doc_id, content and length: copies (rows), raw (the least text hash), raws (rows with it), stays, and its group."""
     made = recipes(docs)
     clean = not dictionary(made).where(~F.col("verified")).head(1)
     ids = F.col("chunks.id") if clean else F.transform(
         "chunks", lambda c: F.concat(c["id"], c["length"].cast("binary"), c["check"].cast("binary")))
-    rows = made.groupBy(ids.alias("recipe"), "text_sha256", "doc_id", "n_chars").agg(F.count("*").alias("copies"))
+    rows = made.groupBy(ids.alias("recipe"), "text_sha256", "doc_id", "n_chars", "raw").agg(F.count("*").alias("raws"))
+    rows = rows.groupBy("recipe", "text_sha256", "doc_id", "n_chars").agg(F.sum("raws").alias("copies"), F.min(F.struct("raw", "raws")).alias("least"))
     order = F.struct((-F.col("n_chars")).alias("size"), F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
     # Written, so that the join reads both sides from plain exchanges and a hot recipe can be split.
     groups = written(rows.groupBy("recipe").agg(F.min(order).alias("first"), F.sum("copies").alias("group_size")), "groups")
-    joined = rows.join(groups, "recipe")
     stays = F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("n_chars") == -F.col("first.size"))
-    return joined.select(
-        "doc_id", F.col("first.id").alias("keep_id"), "group_size", stays.alias("stays"), "text_sha256",
-        F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"),
-    ).select("doc_id", "keep_id", "group_size", (F.col("stays") & (F.col("copy") == 1)).alias("kept"), "text_sha256")
+    return rows.join(groups, "recipe").select(
+        "doc_id", F.col("first.id").alias("keep_id"), "group_size", stays.alias("stays"), "text_sha256", "copies", "least.raw", "least.raws")
+
+
+def decide(docs: DataFrame) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256: one row for every row of docs."""
+    each = _decided(docs).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return each.select("doc_id", "keep_id", "group_size", (F.col("stays") & (F.col("copy") == 1)).alias("kept"), "text_sha256")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with all their columns."""
-    kept = decide(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    sha = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), SPACE_PATTERN, ""), 256)
-    own = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
-    kept = kept.select(F.coalesce(F.col("__id").cast("string"), F.lit("none")).alias("__own"), F.col("__sha").alias("__of"))
-    joined = docs.withColumns({"__own": own, "__of": sha}).join(kept, ["__own", "__of"], "left_semi")
-    # A doc_id whose rows repeat the kept content: one of them, by the same key, so no further shuffle.
-    return joined.dropDuplicates(["__own", "__of"]).select(*docs.columns)
+    """The rows that stay, with all their columns; texts are dealt once, to meet the narrow list of what stays."""
+    keys = row_key(F.col("doc_id"), F.col("text"))
+    kept = _decided(docs).where("stays")
+    chosen = kept.select(keys["none"].alias("none"), keys["own"].alias("own"), "raw", F.col("raws").alias("copies"), F.lit(1).cast("long").alias("high"), F.lit(1).alias("most"), F.lit(0).alias("rest"))
+    return repeated(docs, keys, chosen)
 
 
 ORACLE = """
