@@ -11,7 +11,8 @@ source is sorted in one task.
 
 Defined cases: null text has size 0; null sources are one source, the last; null weights count as 1;
 fully repeated rows are drawn as rows of their own; an empty table gives no row; a source without
-words has target 0; reruns agree, since u depends on the row alone.
+words has target 0; reruns agree, since u depends on the row alone; extra columns pass through
+mixed_documents whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrafold.llm.ordering import limits, range_of
-from terrafold.llm.store import written
+from terrafold.llm.store import repeated, written
 
 CAP = 3
 WEIGHTS = (1, 2, 3)
@@ -110,10 +111,15 @@ def mix(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of the mix, each as often as it is taken, with their columns as they were."""
-    own = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
-    source = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
-    times = mix(docs, labels).groupBy(own.alias("__own"), source.alias("__of"), F.col("size").alias("__size")).agg(F.max("times").alias("__times"))
-    marked = docs.withColumns({"__own": own, "__of": source, "__size": n_words(F.col("text"))})
-    repeated = marked.join(times.where("__times > 0"), ["__own", "__of", "__size"]).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-    return repeated.select(*docs.columns)
+    """The rows of the mix, each as often as it is taken, with their columns as they were.
+
+    Rows that agree on doc_id, source and size share what mix() gives them: so many of them are taken once
+    more than the others.
+    """
+    keys = {
+        "none": F.col("doc_id").isNull(), "own": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")),
+        "of": F.coalesce(F.concat(F.lit("="), "source"), F.lit("")), "size": n_words(F.col("text"))}
+    named = mix(docs, labels).select(*[(c if k != "size" else F.col("size")).alias(k) for k, c in keys.items()], "times")
+    chosen = named.groupBy(*keys).agg(F.count("*").alias("copies"), F.max("times").alias("most"), F.min("times").alias("rest"), F.sum("times").alias("sum"))
+    high = F.when(F.col("most") == F.col("rest"), F.col("copies")).otherwise(F.col("sum") - F.col("rest") * F.col("copies"))
+    return repeated(docs, keys, chosen.withColumn("high", high).drop("sum"))
