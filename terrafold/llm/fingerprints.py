@@ -32,14 +32,15 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def sketch(text: Column, k: int = K, words: int = WORDS) -> Column:
-    """array<bigint>: the k smallest distinct shingle hashes."""
+    """array<bigint>: the k smallest distinct shingle hashes. Each word is hashed once, and a shingle from its words' hashes."""
 
-    def of(w: Column) -> Column:
-        each = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - words, F.lit(0))), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(words)]))
+    def of(h: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(0), F.greatest(F.size(h) - words, F.lit(0))), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(words)]))
         return F.slice(F.sort_array(F.array_distinct(each)), 1, k)
 
-    clean = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[\\t-\\r]", " "))
-    return F.when(clean == "", F.array().cast("array<bigint>")).otherwise(bound(F.split(clean, " +"), of))
+    clean = F.trim(F.lower(F.coalesce(text, F.lit(""))), F.lit(" \t\n\x0b\x0c\r"))
+    hashes = F.transform(F.split(clean, "[ \\t-\\r]+"), lambda w: F.xxhash64(w))
+    return F.when(clean == "", F.array().cast("array<bigint>")).otherwise(bound(hashes, of))
 
 
 def merge(a: Column, b: Column, k: int = K) -> Column:
@@ -86,7 +87,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     wrapped = starts.select("doc_id", "text", F.lit(len(bounds)).alias("part"), F.lit(2).alias("ghost"))
     if not bounds:
         return placed.union(wrapped)
-    first = F.broadcast(docs.sparkSession.createDataFrame([(b,) for b in bounds], "doc_id long"))
+    first = docs.sparkSession.range(1).select(F.explode(F.expr(f"array({','.join(f'{b}L' for b in bounds)})")).alias("doc_id"))
+    first = F.broadcast(first)  # MAX_RANGES numbers at most
     followers = slim.join(first, "doc_id", "left_semi").select("doc_id", "text", (part - 1).alias("part"), F.lit(1).alias("ghost"))
     return placed.union(followers).union(wrapped)
 
@@ -97,10 +99,10 @@ def edited_fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - quarter), F.substring("next_text", F.lit(1), quarter))
-    rows = with_next(docs).withColumn("next_text", F.lead("text").over(order))
-    rows = rows.select("doc_id", "part", "ghost", "text", n.cast("long").alias("n_chars"), edited.alias("edited"))
-    rows = rows.select("doc_id", "part", "ghost", "text", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), sketch(F.col("text"), k).alias("own"), sketch(F.col("edited"), k).alias("changed"))
-    rows = rows.withColumn("after", F.lead("own").over(order)).where("ghost = 0")
+    rows = with_next(docs).withColumn("own", sketch(F.col("text"), k))
+    rows = rows.withColumns({"next_text": F.lead("text").over(order), "after": F.lead("own").over(order)}).where("ghost = 0")
+    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "own", "after")
+    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own", "after", sketch(F.col("edited"), k).alias("changed"))
     return rows.select(
         "doc_id", "n_chars", "edited_sha256", packed(F.col("own")).alias("fingerprint"), packed(F.col("changed")).alias("edited_fingerprint"),
         resemblance(F.col("own"), F.col("changed"), k).alias("near_edited"), resemblance(F.col("own"), F.col("after"), k).alias("near_next"),
