@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from terrafold.llm.encode import encoder
 from terrafold.llm.ordering import limits, range_of
-from terrafold.llm.store import scratch, written
+from terrafold.llm.store import bounded, scratch, written
 
 FRAME_IDS, MOST_IDS = 1 << 16, 1 << 20
 DIRECTORY_MAGIC, TABLE_MAGIC, SEEKABLE_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -140,7 +140,7 @@ _MANIFEST = "part long, path string, n_ids long, n_docs long"
 
 def write(docs: DataFrame, root: str, path: str, end_id: int) -> DataFrame:
     """Write the files under root; one row per file: part, path, n_ids, n_docs (itself written)."""
-    slim = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    slim = bounded(docs).select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     bounds = limits(slim, "doc_id", ROWS_PER_FILE)
     slim = slim.withColumn("part", range_of(F.col("doc_id"), bounds)).repartition("part").sortWithinPartitions("part", "doc_id", "text")
 
@@ -154,6 +154,8 @@ def write(docs: DataFrame, root: str, path: str, end_id: int) -> DataFrame:
             w.close()
             out.close()
             final = f"{at}/part-{part:08d}.zst"
+            if where.get_file_info(final).type != fs.FileType.NotFound:
+                where.delete_file(final)  # an earlier attempt of this task; not every file system renames onto a file
             where.move(name, final)
             made.append({"part": part, "path": f"{root}/part-{part:08d}.zst", "n_ids": w.total, "n_docs": len(w.docs)})
 
