@@ -3,8 +3,9 @@
 The store is a folder of additive deltas, one sub-folder per batch: a batch's signed changes are
 summed by source, language and tokenizer version and written once. A batch id that is already
 committed (its success marker is there) is not applied again, and a batch that failed half-way is
-overwritten, so a commit can be repeated freely. Totals are sums over the deltas. A version counts
-words by a pattern, not tokens of a vocabulary.
+overwritten, so a commit can be repeated freely. Totals are sums over the committed deltas. A version
+counts words by a pattern (the two of the query, which SQL can count alike) or tokens of a vocabulary
+(vocabulary_counter).
 
 Defined cases: null source or language is a group of its own; null text has 0 tokens and counts as a
 document; a group whose documents are all gone does not appear; repeated rows count as often as they
@@ -13,9 +14,13 @@ stand; an empty batch commits nothing but its id; extra columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrafold.llm.encode import encoder
 from terrafold.llm.store import scratch, written
 
 #: Tokenizer versions by name: functions of a text column.
@@ -26,6 +31,16 @@ TOKENIZERS = {
 GROUP = ["source", "lang", "tokenizer"]
 
 
+def vocabulary_counter(path: str) -> Callable[[Column], Column]:
+    """A tokenizer version that counts the tokens of a vocabulary file (JSON of the tokenizers library); null text has none."""
+
+    @F.pandas_udf("long")
+    def count(texts: pd.Series) -> pd.Series:
+        return pd.Series([len(ids) for ids in encoder(path).encode([t or "" for t in texts])], dtype="int64")
+
+    return count
+
+
 class Rollup:
     """Totals by source, language and tokenizer version, kept under one folder."""
 
@@ -49,8 +64,11 @@ class Rollup:
         return True
 
     def totals(self) -> DataFrame:
-        kind = "source string, lang string, tokenizer string, docs long, tokens long, batch long"
-        deltas = self.spark.read.schema(kind).parquet(self.root) if self.fs.exists(self.path(self.root)) else self.spark.createDataFrame([], kind)
+        """Sums over the committed batches; what an unfinished one has left behind does not count."""
+        kind = "source string, lang string, tokenizer string, docs long, tokens long"
+        found = self.fs.globStatus(self.path(f"{self.root}/batch=*/_SUCCESS"))
+        paths = [str(x.getPath().getParent()) for x in found or []]
+        deltas = self.spark.read.schema(kind).parquet(*paths) if paths else self.spark.createDataFrame([], kind)
         sums = deltas.groupBy(*GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         return sums.where("docs != 0 or tokens != 0")
 
@@ -65,9 +83,9 @@ def revised(rows: DataFrame, old: Column, new: Column, tokenizer: str) -> DataFr
     return rows.select("source", "lang", F.lit(tokenizer).alias("tokenizer"), F.lit(0).cast("long").alias("docs"), (new - old).alias("tokens"))
 
 
-def counted(docs: DataFrame) -> DataFrame:
+def counted(docs: DataFrame, tokenizers: dict[str, Callable[[Column], Column]] = TOKENIZERS) -> DataFrame:
     """doc_id, source, lang and one count per tokenizer version; each text is read once."""
-    return written(docs.select("doc_id", "source", "lang", *[f(F.col("text")).alias(name) for name, f in TOKENIZERS.items()]), "counts")
+    return written(docs.select("doc_id", "source", "lang", *[f(F.col("text")).alias(name) for name, f in tokenizers.items()]), "counts")
 
 
 def maintain(docs: DataFrame, labels: DataFrame, root: str | None = None) -> DataFrame:

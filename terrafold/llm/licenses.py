@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrafold.llm.store import bounded
+
 RARE, SLACK = 5, 3
 
 #: The same bytes as the word pattern in the text's UTF-8: every character past 0x7F counts.
@@ -139,7 +141,7 @@ _ROW = pa.schema([
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row."""
-    slim = docs.select(F.col("doc_id").cast("long"), "text")
+    slim = bounded(docs).select(F.col("doc_id").cast("long"), "text")
     n, df = document_frequencies(slim)
     idf = {w: math.log((n + 1) / (df.get(w, 0) + 1)) for text, _ in TEMPLATES.values() for w in words_of(text.encode())}
 

@@ -72,6 +72,13 @@ def test_rollup_is_idempotent_and_signed(spark):
     store.commit(3, counts.signed(made.where("source = 'c'"), one, "words-1", -1))
     assert store.totals().where("source = 'c'").count() == 0
     store.commit(4, counts.signed(counts.counted(empty(spark)), one, "words-1", 1))
+    before = sorted(map(str, store.totals().collect()))
+    store.commit(5, counts.signed(made, one, "words-1", 1))
+    store.fs.delete(store.path(f"{store._at(5)}/_SUCCESS"), False)
+    assert not store.committed(5) and sorted(map(str, store.totals().collect())) == before
+    path = vocabulary("byte_bpe_50k.json")
+    tokens = counts.counted(df, {"bpe": counts.vocabulary_counter(path)}).agg(F.sum("bpe")).first()[0]
+    assert tokens == sum(len(Encoder(path).tokenizer.encode(r.text or "", add_special_tokens=False).ids) for r in df.collect())
     assert store.totals().where("source is null").count() == 2
 
 
@@ -267,6 +274,8 @@ def test_exact_groups_of_awkward_rows(spark):
     assert sum(r["kept"] for r in got) == len({r["text_sha256"] for r in got})
     kept = exact.keep_first(awkward(spark))
     assert kept.columns == awkward(spark).columns and kept.count() == len({r["text_sha256"] for r in got})
+    names = awkward(spark).withColumnRenamed("part", "__of").withColumn("__own", F.lit("mine"))
+    assert {r["__own"] for r in rows(exact.keep_first(names))} == {"mine"} and exact.keep_first(names).count() == kept.count()
     assert rows(exact.decide(empty(spark))) == []
 
 
@@ -321,6 +330,9 @@ def test_near_dedup_of_awkward_rows(spark):
     assert sum(r["class_size"] == 1 for r in got) >= 8
     kept = near.keep_representatives(awkward(spark).union(more))
     assert kept.columns == more.columns and kept.where("doc_id >= 20").count() == 1
+    twice = spark.createDataFrame([(1, base), (2, base.replace("word9 ", "edit ")), (2, "quite another text of its own")], "doc_id long, __own string").withColumnRenamed("__own", "text").withColumn("__own", F.lit("mine"))
+    left = rows(near.keep_representatives(twice))
+    assert sorted((r["doc_id"], r["text"] == base, r["__own"]) for r in left) == [(1, True, "mine"), (2, False, "mine")] and len(left) == 2
     assert rows(near.classify(empty(spark))) == []
 
 
@@ -471,14 +483,61 @@ def test_language_of_awkward_rows(spark):
     assert len(got) == 11 and {r["doc_id"] for r in got if r["lang_pred"] == "und"} == {1, 2, 3, 8}
     assert {r["lang_pred"] for r in rows(language.identify(awkward(spark).withColumn("lang", F.lit(None).cast("string"))))} == {"und"}
     assert rows(language.identify(empty(spark))) == []
-    text = "ab" * 40
-    whole = language.hashed_ngrams(text, 10)
-    old, language.BLOCK = language.BLOCK, 16
-    try:
-        parts = np.concatenate([language.hashed_ngrams(b, 10) for b in language.blocks(text)])
-    finally:
-        language.BLOCK = old
-    assert len(parts) >= len(whole)
+    odd = spark.createDataFrame([(1, "\u00b2\u00bd \u00b3", "en"), (2, "\u2163", "en"), (3, "\u4e2d", "en")], "doc_id long, text string, lang string")
+    assert [r["lang_pred"] for r in sorted(rows(language.identify(odd)), key=lambda r: r["doc_id"])] == ["und", "und", "en"]
+    names = awkward(spark).withColumnRenamed("size", "row").withColumnRenamed("digest", "p").withColumn("__language", F.lit("mine"))
+    kept = language.keep_identified(names, 0.0)
+    assert kept.columns == names.columns and {r["__language"] for r in rows(kept)} == {"mine"}
+
+
+def test_ngrams_stand_in_one_block_each(monkeypatch):
+    texts = ["ab" * 40, "", "Xyz \u00e9", "q"]
+
+    def counted():
+        found = Counter()
+        for row, bucket in language.hashed_ngrams(texts, 12):
+            found.update(zip(row.tolist(), bucket.tolist(), strict=True))
+        return found
+
+    whole = counted()
+    padded = [f" {t.lower()} " for t in texts]
+    assert [sum(n for (row, _), n in whole.items() if row == k) for k in range(4)] == [max(0, len(p) - 1) + max(0, len(p) - 2) for p in padded]
+    for block in (1, 2, 7, 16):
+        monkeypatch.setattr(language, "BLOCK", block)
+        assert counted() == whole
+
+
+def test_language_matches_plain_bayes(spark):
+    """Every prediction and score against naive Bayes in plain Python."""
+    bits = language.BITS
+    data = duckdb.sql(f"select doc_id, text, lang from '{SF}/documents.parquet'").fetchall()
+
+    def grams(text):
+        t, m = f" {text.lower()} ", 0xFFFFFFFF
+        for i in range(len(t) - 1):
+            pair = (ord(t[i]) * 0x9E3779B1 & m) ^ (ord(t[i + 1]) * 0x85EBCA77 & m)
+            each = [pair] if i + 2 >= len(t) else [pair, (pair * 0xC2B2AE3D & m) ^ (ord(t[i + 2]) * 0x27D4EB2F & m)]
+            for h in each:
+                yield ((h ^ (h >> 15)) * 0x2C1B3C6D & m) >> (32 - bits)
+
+    counts, n_docs = defaultdict(Counter), Counter()
+    for doc, text, lang in data:
+        if lang is not None and text is not None and zlib.crc32(str(doc).encode()) % 4 != 2:
+            counts[lang].update(grams(text))
+            n_docs[lang] += 1
+    langs = sorted(counts)
+    size = {k: sum(counts[k].values()) + language.SMOOTHING * (1 << bits) for k in langs}
+    got = {r["doc_id"]: r for r in rows(queries.op9_language_id(spark, SF))}
+    for doc, text, _ in data:
+        r = got[doc]
+        if not text or not any(c.isalpha() for c in text):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        own = Counter(grams(text))
+        n = sum(own.values())
+        mean = [(math.log(n_docs[k] / sum(n_docs.values())) + sum(c * (math.log(counts[k][h] + language.SMOOTHING) - math.log(size[k])) for h, c in own.items())) / n for k in langs]
+        e = [math.exp((x - max(mean)) * min(n, language.EFFECTIVE)) for x in mean]
+        assert r["lang_pred"] == langs[mean.index(max(mean))] and r["score"] == pytest.approx(max(e) / sum(e), abs=1e-9)
 
 
 # -- op10 -----------------------------------------------------------------------------------------
@@ -525,8 +584,19 @@ def test_mix_of_awkward_rows(spark):
     assert len(got) == 11
     check_mix(got)
     assert rows(mixing.mix(empty(spark), labels)) == []
-    out = mixing.mixed_documents(awkward(spark), labels)
-    assert out.columns == awkward(spark).columns
+    names = awkward(spark).withColumnRenamed("part", "__own").withColumnRenamed("digest", "row")
+    out = mixing.mixed_documents(names, labels)
+    assert out.columns == names.columns and out.where("row = 'x'").count() == out.count()
+
+
+def test_repeated_rows_are_mixed_one_by_one(spark):
+    docs = spark.createDataFrame([(1, "w " * 10, "a")] * 20 + [(2, "w " * 10, "b")] * 20 + [(k, "w " * 7, None) for k in range(3, 40)], "doc_id long, text string, source string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    want = Counter()
+    for r in rows(mixing.mix(docs, labels)):
+        want[r["doc_id"]] += r["times"]
+    out = Counter(r["doc_id"] for r in rows(mixing.mixed_documents(docs, labels)))
+    assert out == Counter({k: n for k, n in want.items() if n}) and 0 < want[1] % 20
 
 
 def test_better_documents_are_drawn_more_often(spark):
