@@ -1,13 +1,15 @@
 """License scans by a positional index of rare tokens.
 
-The templates' words are weighed by their inverse document frequency over the whole corpus; each
-template's RARE rarest words go into a positional index word -> (template, place). A file's words are
-looked up there, every hit votes for (template, place in file - place in template), and alignments
-that at least two distinct rare words agree on (or all, if the template has fewer) are verified: the
+Words of the templates and of the base phrases are weighed by their inverse document frequency over
+the whole corpus, and an index holds their postings, word -> (template, place). Of the licence words
+that a file has, those of highest idf are looked up: RARE for each template whose mandatory phrases
+have all their words in the file, one for each base phrase. Every hit votes for (template, place in
+file - place in template). Alignments that at least two distinct words agree on are verified: the
 template's mandatory phrases must stand inside the aligned window, SLACK words wider on either side.
+A base phrase must stand at the aligned place itself; each of its places has its rarest word, so none
+is missed.
 
-Words: A-Z are lower-cased and `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` taken. Base phrases are found at
-all their places, apart from the templates.
+Words: A-Z are lower-cased and `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` taken.
 
 Defined cases: null text counts as empty; a text without hits has 0, nulls, empty labels and score 0;
 equal rows get equal results; an empty table gives no row; extra columns are not read.
@@ -63,52 +65,62 @@ class Template:
     label: str
     words: list[bytes]
     phrases: list[list[bytes]]
-    rare: list[bytes]
+    base: bool
+    rarest: list[bytes]
+    needed: frozenset[bytes]
 
 
 class Index:
-    """Postings of the templates' rare words, and the base phrases by their first word."""
+    """Postings of the words of templates and base phrases."""
 
     def __init__(self, idf: dict[bytes, float]) -> None:
         self.templates, self.postings = [], defaultdict(list)
-        for label, (text, phrases) in sorted(TEMPLATES.items()):
-            own = words_of(text.encode())
-            rare = sorted(set(own), key=lambda w: (-idf.get(w, 0.0), w))[:RARE]
-            self.templates.append(Template(label, own, [words_of(p.encode()) for p in phrases], rare))
+        known = [(label, text, phrases, False) for label, (text, phrases) in sorted(TEMPLATES.items())]
+        for label, text, phrases, base in known + [(label, phrase, [phrase], True) for phrase, label in BASE.items()]:
+            own, parts = words_of(text.encode()), [words_of(p.encode()) for p in phrases]
+            rarest = sorted(set(own), key=lambda w: (-idf.get(w, 0.0), w))
             for place, w in enumerate(own):
-                if w in rare:
-                    self.postings[w].append((len(self.templates) - 1, place))
-        self.base = defaultdict(list)
-        for phrase, label in BASE.items():
-            own = words_of(phrase.encode())
-            self.base[own[0]].append((own, label))
-        self.watched = set(self.postings) | set(self.base)
+                self.postings[w].append((len(self.templates), place))
+            self.templates.append(Template(label, own, parts, base, rarest, frozenset(w for p in parts for w in p)))
+        self.vocabulary = set(self.postings)
+
+    def alignments(self, words: list[bytes]) -> dict[tuple[int, int], set[bytes]]:
+        """(template, place in file where it would start): the looked-up words that agree on it."""
+        present, votes = self.vocabulary.intersection(words), defaultdict(set)
+        looked = defaultdict(set)
+        for t, own in enumerate(self.templates):
+            if own.needed <= present:
+                for w in [w for w in own.rarest if w in present][: 1 if own.base else RARE]:
+                    looked[w].add(t)
+        if looked:
+            places = {w: [(t, place) for t, place in self.postings[w] if t in of] for w, of in looked.items()}
+            for i, w in enumerate(words):
+                if w in places:
+                    for t, place in places[w]:
+                        votes[t, i - place].add(w)
+        return votes
 
     def scan(self, text: bytes) -> dict:
         words = words_of(text)
-        watched = self.watched
-        hits = [(i, w) for i, w in enumerate(words) if w in watched]
-        starts, base_labels, votes = [], set(), defaultdict(set)
-        for i, w in hits:
-            for phrase, label in self.base.get(w, ()):
-                if words[i : i + len(phrase)] == phrase:
-                    starts.append(i)
-                    base_labels.add(label)
-            for t, place in self.postings.get(w, ()):
-                votes[t, i - place].add(w)
-        labels, score = set(base_labels), 0.5 if starts else 0.0
-        for (t, at), agreed in votes.items():
+        starts, base_labels, labels, score = [], set(), set(), 0.0
+        for (t, at), agreed in self.alignments(words).items():
             own = self.templates[t]
-            if len(agreed) < min(2, len(own.rare)) or own.label in labels and score == 1.0:
+            if own.base:
+                if at >= 0 and words[at : at + len(own.words)] == own.words:
+                    starts.append(at)
+                    base_labels.add(own.label)
+                    score = max(score, 0.5)
                 continue
-            window = words[max(0, at - SLACK) : at + len(own.words) + SLACK]
+            if len(agreed) < min(2, len(own.rarest)) or own.label in labels and score == 1.0:
+                continue
+            window = words[max(0, at - SLACK) : max(0, at + len(own.words) + SLACK)]
             if all(_contains(window, p) for p in own.phrases):
                 labels.add(own.label)
                 same = sum(0 <= at + k < len(words) and words[at + k] == w for k, w in enumerate(own.words))
                 score = max(score, same / len(own.words))
         return {
             "n_words": len(words), "n_base": len(starts), "first_word": min(starts, default=None), "last_word": max(starts, default=None),
-            "base_labels": ",".join(sorted(base_labels)), "labels": ",".join(sorted(labels)), "score": score}
+            "base_labels": ",".join(sorted(base_labels)), "labels": ",".join(sorted(labels | base_labels)), "score": score}
 
 
 def _contains(words: list[bytes], phrase: list[bytes]) -> bool:
@@ -116,9 +128,14 @@ def _contains(words: list[bytes], phrase: list[bytes]) -> bool:
     return any(words[i : i + n] == phrase for i in range(len(words) - n + 1))
 
 
+def licence_words() -> set[bytes]:
+    """The words of all templates and base phrases."""
+    return {w for text in [*(t for t, _ in TEMPLATES.values()), *BASE] for w in words_of(text.encode())}
+
+
 def document_frequencies(docs: DataFrame) -> tuple[int, dict[bytes, int]]:
-    """Rows, and in how many each template word stands. As many sums reach the driver as templates have words."""
-    vocabulary = {w for text, _ in TEMPLATES.values() for w in words_of(text.encode())}
+    """Rows, and in how many each licence word stands. As many sums reach the driver as there are licence words."""
+    vocabulary = licence_words()
 
     def count(batches):
         df, n = Counter(), 0
@@ -143,7 +160,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row."""
     slim = bounded(docs).select(F.col("doc_id").cast("long"), "text")
     n, df = document_frequencies(slim)
-    idf = {w: math.log((n + 1) / (df.get(w, 0) + 1)) for text, _ in TEMPLATES.values() for w in words_of(text.encode())}
+    idf = {w: math.log((n + 1) / (df.get(w, 0) + 1)) for w in licence_words()}
 
     def find(batches):
         index = Index(idf)

@@ -168,6 +168,46 @@ def test_license_base_matches_brute_force(spark, docs):
     assert hits > 5 and sum(r["score"] > 0 for r in got.values()) < len(got) / 4
 
 
+def brute_labels(text, idf):
+    """Labels and score by trying every template at every place."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
+    whole, has = f" {' '.join(w)} ", set(w)
+    labels, score = set(), 0.0
+    for phrase, label in licenses.BASE.items():
+        if f" {phrase} " in whole:
+            labels.add(label)
+            score = 0.5
+    for label, (notice, phrases) in licenses.TEMPLATES.items():
+        if not all(f" {p} " in whole for p in phrases):
+            continue
+        own = notice.split()
+        rare = sorted(set(own) & has, key=lambda x: (-idf[x], x))[: licenses.RARE]
+        for at in range(-len(own) + 1, len(w)):
+            same = [x for k, x in enumerate(own) if 0 <= at + k < len(w) and w[at + k] == x]
+            window = f" {' '.join(w[max(0, at - licenses.SLACK) : max(0, at + len(own) + licenses.SLACK)])} "
+            if len(set(same) & set(rare)) >= 2 and all(f" {p} " in window for p in phrases):
+                labels.add(label)
+                score = max(score, len(same) / len(own))
+    return ",".join(sorted(labels)), score
+
+
+def test_license_labels_match_brute_force(spark):
+    texts = [r[0] for r in duckdb.sql(f"select text from '{SF}/documents.parquet'").fetchall()]
+    notices = [t for t, _ in licenses.TEMPLATES.values()]
+    texts += [f"Intro {t.title()} and more" for t in notices] + [" ".join(notices), "all rights All Rights reserved reserved", "reserved all rights", "cc0", "by cc by 4 0 cc by"]
+    texts += [n.replace("licensed ", "").replace("the ", "") for n in notices] + [" ".join(n.split()[2:]) for n in notices] + ["public license " * 500 + "mit license"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lists = [set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.lower())) for t in texts]
+    idf = {w.decode(): math.log((len(texts) + 1) / (sum(w.decode() in x for x in lists) + 1)) for w in licenses.licence_words()}
+    got = {r["doc_id"]: r for r in rows(licenses.scan(df))}
+    for doc, text in enumerate(texts):
+        r = got[doc]
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == brute_scan(text)
+        labels, score = brute_labels(text, idf)
+        assert r["labels"] == labels and r["score"] == pytest.approx(score, abs=1e-12)
+    assert {label for r in got.values() for label in r["labels"].split(",")} >= set(licenses.TEMPLATES) | set(licenses.BASE.values())
+
+
 def test_license_scan_of_awkward_rows(spark):
     got = rows(licenses.scan(awkward(spark)))
     assert len(got) == 11 and sorted(r["n_base"] for r in got)[-1] == 2
