@@ -154,23 +154,23 @@ class Sampler:
 
 
 def sketches(docs: DataFrame, shared) -> DataFrame:
-    """doc_id, raw (hash of the text), digest (the node), weight, samples, shingles of every row, written to the shared folder."""
-    schema = pa.schema([("doc_id", pa.int64()), ("raw", pa.int64()), ("digest", pa.binary()), ("weight", pa.float64()), ("samples", pa.list_(pa.int32())), ("shingles", pa.binary())])
+    """row (unique), doc_id, raw (hash of the text), digest (the node), weight, samples, shingles of every row, written to the shared folder."""
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("raw", pa.int64()), ("digest", pa.binary()), ("weight", pa.float64()), ("samples", pa.list_(pa.int32())), ("shingles", pa.binary())])
 
     def make(batches):
         sampler = Sampler(shared.value)
         for b in batches:
             for k in range(0, b.num_rows, 256):
                 sub, out = b.slice(k, 256), []
-                for doc, raw, text in zip(sub.column("doc_id").to_pylist(), sub.column("raw").to_pylist(), sub.column("text").cast(pa.binary()), strict=True):
+                for row, doc, raw, text in zip(sub.column("row").to_pylist(), sub.column("doc_id").to_pylist(), sub.column("raw").to_pylist(), sub.column("text").cast(pa.binary()), strict=True):
                     s = shingles(text.as_py())
                     own = s.tobytes()
                     digest = hashlib.blake2b(own or b"no words in %d" % (-1 if doc is None else doc), digest_size=16).digest()
-                    out.append((doc, raw, digest, float(sampler.weigh(s)[1].sum(dtype=np.float64)), sampler.samples(s).view(np.int32) if len(s) else [], own))
+                    out.append((row, doc, raw, digest, float(sampler.weigh(s)[1].sum(dtype=np.float64)), sampler.samples(s).view(np.int32) if len(s) else [], own))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
-    slim = bounded(docs).select(F.col("doc_id").cast("long"), row_key(F.col("doc_id"), F.col("text"))["raw"].alias("raw"), "text")
-    return written(slim.mapInArrow(make, "doc_id long, raw long, digest binary, weight double, samples array<int>, shingles binary"), "sketches")
+    slim = bounded(docs).select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), row_key(F.col("doc_id"), F.col("text"))["raw"].alias("raw"), "text")
+    return written(slim.mapInArrow(make, "row long, doc_id long, raw long, digest binary, weight double, samples array<int>, shingles binary"), "sketches")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -358,7 +358,7 @@ def link(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Data
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(document_weights(bounded(docs)))
     made = sketches(docs, shared)
-    nodes = written(made.where(F.size("samples") > 0).groupBy("digest").agg(F.first("samples").alias("samples")), "nodes")
+    nodes = written(made.where(F.size("samples") > 0).groupBy("digest").agg(F.first("samples").alias("samples"), F.min("row").alias("row")), "nodes")
     keys = F.array(*[F.struct(F.lit(k).alias("band"), F.xxhash64(F.lit(k), *[F.get("samples", k * ROWS + r) for r in range(ROWS)]).alias("key")) for k in range(BANDS)])
     members = nodes.select("digest", F.explode(keys).alias("k")).select("digest", "k.band", "k.key")
     sizes = written(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
@@ -369,9 +369,10 @@ def link(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Data
     samples = nodes.select("digest", "samples")
     # Tables that joins with hot hubs read are written: their exchanges are plain, and a hot key can be split.
     some = active.select(F.col("a").alias("digest")).distinct()
-    vectors = written(made.join(some, "digest", "left_semi").groupBy("digest").agg(
-        *[F.first(c).alias(c) for c in ("weight", "samples", "shingles")]), "vectors")
-    drop(sizes, crowded, scores)
+    # One row of each node is taken by its own number, so the copies of a text are not dealt by what they share.
+    chosen = written(nodes.join(some, "digest", "left_semi").select("row"), "chosen")
+    vectors = written(made.join(chosen.hint("shuffle_hash"), "row").select("digest", "weight", "samples", "shingles"), "vectors")
+    drop(sizes, crowded, scores, chosen)
 
     @F.pandas_udf("double")
     def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
