@@ -32,3 +32,8 @@ def both(spark, tmp_path):
 def test_flagged_greenhouses_without_a_greenhouse(both):
     assert both("h12_flagged_greenhouses", [(1, 1, 1, 1, 10, "N", 1992)]) == [("None", "None", NAN)]
     assert both("h12_flagged_greenhouses", [(1, 1, 1, 1, 10, "N", 1996)])[0][1:] == ("50.0", "100.0")
+
+
+def test_percent_histogram_of_codes_alone(both):
+    assert both("percent_histogram", [(1, 1, 1, 1, 22, "N", 1992)]) == [("None",) * 4 + (NAN,)]  # 110
+    assert both("percent_histogram", [(1, 1, 1, 1, 22, "N", 1992), (2, 1, 1, 1, 10, "N", 1992)])[0][3:] == ("50.0", "100.0")
