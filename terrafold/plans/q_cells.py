@@ -332,7 +332,9 @@ def fraction_correlation(spark, d):
     t = a.select("r", "c", F.lit(1).alias("x"), F.lit(0).alias("y")).union(b.select("r", "c", F.lit(0), F.lit(1)))
     f = t.groupBy(F.floor(F.col("r") / 10), F.floor(F.col("c") / 10)).agg((F.sum("x") / 100.0).alias("x"), (F.sum("y") / 100.0).alias("y"))
     x, y = F.col("x") >= 0.1, F.col("y") >= 0.1
-    return f.agg(F.round(F.corr("x", "y"), 6).alias("r"), F.round(F.count_if(x & y) / F.nullif(F.count_if(x | y), F.lit(0)), 6).alias("jaccard"))
+    constant = (F.min("x") == F.max("x")) | (F.min("y") == F.max("y"))  # NaN; corr() would divide by 0, and a merged variance may miss 0 by rounding
+    r = F.when(constant, F.lit(float("nan"))).otherwise(G.ratio(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")))
+    return f.agg(F.round(r, 6).alias("r"), F.round(F.count_if(x & y) / F.nullif(F.count_if(x | y), F.lit(0)), 6).alias("jaccard"))
 
 
 @register("waterfall", sql("cell cell2 pct", f""", t AS (SELECT a.r, a.c, CASE WHEN b.v=255 THEN 1 WHEN b.v IS NOT NULL THEN 2 WHEN p.v>=60 THEN 3 END AS k FROM cell a LEFT JOIN cell2 b USING (r,c) LEFT JOIN pct p ON p.r=a.r AND p.c=a.c)

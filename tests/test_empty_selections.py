@@ -1,10 +1,15 @@
 """Queries over selections that are empty or constant, against their SQL with null, NaN and infinity told apart."""
 
+from datetime import datetime
+
 import duckdb
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from terrafold.plans.registry import all_oracles, all_queries
 
+COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
 NAN = "nan"
 
 
@@ -13,12 +18,12 @@ def both(spark, tmp_path):
     """A query's rows as text, after its SQL gave the same, over line items (order, part, supplier, line, quantity, flag, year)."""
 
     def rows(name, items):
-        con = duckdb.connect()
-        values = ", ".join(f"({o}::BIGINT, {p}::BIGINT, {s}::BIGINT, {n}::INT, {q}::DOUBLE, '{f}', TIMESTAMP '{y}-06-01')" for o, p, s, n, q, f, y in items)
-        con.execute(f"create table lineitem as select * from (values {values}) t(l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_returnflag, l_shipdate)")
         folder = tmp_path / str(len(list(tmp_path.iterdir())))
         folder.mkdir()
-        con.execute(f"copy lineitem to '{folder}/lineitem.parquet' (format parquet)")
+        plain = [(o, p, s, n, float(q), f, datetime(y, 6, 1)) for o, p, s, n, q, f, y in items]
+        pq.write_table(pa.table(dict(zip(COLUMNS, zip(*plain, strict=True), strict=True))), folder / "lineitem.parquet")
+        con = duckdb.connect()
+        con.execute(f"create view lineitem as select * from '{folder}/lineitem.parquet'")
         got = all_queries()[name](spark, str(folder))
         want = con.sql(all_oracles()[name])
         assert got.columns == want.columns
@@ -37,3 +42,12 @@ def test_flagged_greenhouses_without_a_greenhouse(both):
 def test_percent_histogram_of_codes_alone(both):
     assert both("percent_histogram", [(1, 1, 1, 1, 22, "N", 1992)]) == [("None",) * 4 + (NAN,)]  # 110
     assert both("percent_histogram", [(1, 1, 1, 1, 22, "N", 1992), (2, 1, 1, 1, 10, "N", 1992)])[0][3:] == ("50.0", "100.0")
+
+
+def test_correlation_of_constant_shares(both):
+    full = [(r, c, 1, 1, 10, "N", 1992) for r in range(200) for c in range(200)]
+    assert both("fraction_correlation", full) == [(NAN, "1.0")]
+    seven = [(o, p, o * p % 7, 1, 10, "N", 1992) for o in range(200) for p in range(200) if o * 7919 % 10 == 0 and p * 104729 % 10 < 7]
+    assert both("fraction_correlation", seven)[0][0] == NAN  # 0.07 in each block, against shares that differ
+    assert both("fraction_correlation", [(1, 1, 1, 1, 10, "N", 1992)]) == [("-1.0", "None")]
+    assert -1 < float(both("fraction_correlation", [(o, p, o * p % 7, 1, 10, "N", 1992) for o in range(60) for p in range(o)])[0][0]) < 1
