@@ -51,3 +51,8 @@ def test_correlation_of_constant_shares(both):
     assert both("fraction_correlation", seven)[0][0] == NAN  # 0.07 in each block, against shares that differ
     assert both("fraction_correlation", [(1, 1, 1, 1, 10, "N", 1992)]) == [("-1.0", "None")]
     assert -1 < float(both("fraction_correlation", [(o, p, o * p % 7, 1, 10, "N", 1992) for o in range(60) for p in range(o)])[0][0]) < 1
+
+
+def test_density_properties_of_codes_alone(both):
+    assert both("a17_density_properties", [(1, 1, 1, 1, 22, "N", 1992)]) == [("None", "0.0", "None", NAN)]  # 110
+    assert both("a17_density_properties", [(1, 1, 1, 1, 10, "N", 1992)])[0][2:] == ("93.0", "100.0")
