@@ -7,6 +7,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
+from terrafold.plans import layers
 from terrafold.plans.registry import all_oracles, all_queries
 
 COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
@@ -56,3 +57,12 @@ def test_correlation_of_constant_shares(both):
 def test_density_properties_of_codes_alone(both):
     assert both("a17_density_properties", [(1, 1, 1, 1, 22, "N", 1992)]) == [("None", "0.0", "None", NAN)]  # 110
     assert both("a17_density_properties", [(1, 1, 1, 1, 10, "N", 1992)])[0][2:] == ("93.0", "100.0")
+
+
+def test_provenance_without_one_of_the_classes(both, spark):
+    dated, undated = [(o, p, 1, 1, 10, "N", 1992) for o in range(9) for p in range(9)], [(o, p, 1, 1, 10, "R", 1992) for o in range(9, 18) for p in range(9)]
+    assert [x == "None" for x in both("provenance_summary", dated)[0]] == [False, True, True]
+    assert [x == "None" for x in both("provenance_summary", undated)[0]] == [True, False, True]
+    assert both("provenance_summary", dated + undated)[0][2] == "50.0"
+    assert both("provenance_summary", [dated[0], undated[0]]) == [("0.0", "0.0", NAN)]  # each rounds to 0
+    assert tuple(layers.dated_share(spark.createDataFrame([(0, c, 93) for c in range(100)], "r int, c int, v int")).first())[1:] == (0.0, 100.0)
