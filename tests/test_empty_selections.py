@@ -11,7 +11,7 @@ from terrafold.plans import layers
 from terrafold.plans.registry import all_oracles, all_queries
 
 COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
-NAN = "nan"
+NAN, INF = "nan", "inf"
 
 
 @pytest.fixture
@@ -66,3 +66,13 @@ def test_provenance_without_one_of_the_classes(both, spark):
     assert both("provenance_summary", dated + undated)[0][2] == "50.0"
     assert both("provenance_summary", [dated[0], undated[0]]) == [("0.0", "0.0", NAN)]  # each rounds to 0
     assert tuple(layers.dated_share(spark.createDataFrame([(0, c, 93) for c in range(100)], "r int, c int, v int")).first())[1:] == (0.0, 100.0)
+
+
+def test_change_areas_of_groups_that_were_not_built(both):
+    # 93 % 6 = 3, 96 % 6 = 0 and 97 % 6 = 1 stand for unchanged_built, unchanged_non_built and new_built.
+    south = next(o for o in range(200) if o * 7919 % 200 >= 100)
+    rates = lambda *years: [r[-2:] for r in both("a14_change_areas", [(0, p, 1, 1, 10, "N", y) for p, y in enumerate(years)])]
+    assert rates(1995) == [(NAN, NAN)]
+    assert rates(1995, 1996) == [(NAN, INF)]
+    assert rates(1992, 1996) == [("0.0", "33.333")]
+    assert len(both("a14_change_areas", [(0, 0, 1, 1, 10, "N", 1995), (south, 0, 1, 1, 10, "N", 1996)])) == 2
