@@ -76,3 +76,12 @@ def test_change_areas_of_groups_that_were_not_built(both):
     assert rates(1995, 1996) == [(NAN, INF)]
     assert rates(1992, 1996) == [("0.0", "33.333")]
     assert len(both("a14_change_areas", [(0, 0, 1, 1, 10, "N", 1995), (south, 0, 1, 1, 10, "N", 1996)])) == 2
+
+
+def test_layer_density_without_a_percentage_on_land(both):
+    land = [(o, p) for o in range(200) for p in range(200) if o * 7919 % 200 in range(110, 130) and p * 104729 % 200 in range(120, 150)]
+    items = lambda q: [(o, p, 1, 1, q, "N", 1992) for o, p in land]
+    assert both("layer_density", items(22)) == [("None",)]  # 110
+    assert both("layer_density", items(24)) == [("0.0",)]  # 0
+    assert float(both("layer_density", items(20) + items(10))[0][0]) > 0.04
+    assert both("layer_density", [(0, 0, 1, 1, 10, "N", 1992)]) == [("None",)]
