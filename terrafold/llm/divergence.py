@@ -1,10 +1,11 @@
 """Source divergence audit: how far each source's words lie from those of other sources of its language.
 
 Sort-based streaming. A task counts terms over blocks of its documents; the partial counts are dealt by
-(lang, term), sorted by lang, term, source and document (a block's first one) and read as runs. The first
-scan keeps the terms of enough documents; their counts give each group (lang, source) its size N and each
-language its number of terms V. The second scan reads the kept counts as runs of (lang, term) and emits
-partial sums of pairs of sources and the terms that a source uses more than its language does.
+(lang, term), sorted by term, lang, source and document (a block's first one; a term's first bytes tell
+rows apart sooner than a language does) and read as runs. The first scan keeps the terms of enough
+documents; their counts give each group (lang, source) its size N and each language its number of terms V.
+The second scan reads the kept counts as runs of (lang, term) and emits partial sums of pairs of sources
+and the terms that a source uses more than its language does.
 
 p of a group and term is 1 + floor(10^9 (count + 1) / (N + V)), in integers, and pair (g, h) sums
 floor((p - q)^2 / q) over all V terms. Most counts are 0, so with p(0) of a group written a and
@@ -25,39 +26,29 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrafold.llm.shingles import blocks
 from terrafold.llm.store import bounded, written
 
 SCALE = 1_000_000_000
 LEAST_DOCS, TOP = 3, 200
-#: Counts that a task holds before it lets them go; a pair table's cells before its sums are let go.
-HELD, CELLS = 200_000, 1 << 20
-_BLOCK = 1 << 20
+#: Counts that a task holds before it lets them go; a pair table's cells; rows that a scan takes at once.
+HELD, CELLS, ROWS = 400_000, 1 << 20, 1 << 16
 _TERM, _GAP = re.compile(rb"[a-z\x80-\xff]+"), re.compile(rb"[^a-z\x80-\xff]")
 _PARTIAL = pa.schema([("lang", pa.string()), ("term", pa.string()), ("source", pa.string()), ("document", pa.int64()), ("df", pa.int64()), ("n", pa.int64())])
 _KEPT = pa.schema([("lang", pa.string()), ("term", pa.string()), ("source", pa.string()), ("n", pa.int64()), ("head", pa.int64())])
 _FOUND = pa.schema([("lang", pa.string()), ("source", pa.string()), ("item", pa.string()), ("pair", pa.bool_()), ("value", pa.int64())])
 
 
-def terms(data: bytes) -> Counter:
-    """Counts of the terms of a text, as bytes in lower case (A-Z); a long text is read in blocks."""
-    data, out, at = data.lower(), Counter(), 0
-    while at < len(data):
-        found = _GAP.search(data, at + _BLOCK) if at + _BLOCK < len(data) else None
-        end = found.start() if found else len(data)
-        out.update(_TERM.findall(data[at:end]))
-        at = end
-    return out
-
-
 def _partials(batches) -> Iterator[pa.RecordBatch]:
-    """Counts by group and term over blocks of documents, each block at most HELD counts and a document."""
+    """Counts by group and term over blocks of documents; a block ends once it holds HELD counts."""
     held, size, first = {}, 0, None
 
     def let_go() -> Iterator[pa.RecordBatch]:
@@ -65,71 +56,86 @@ def _partials(batches) -> Iterator[pa.RecordBatch]:
             names = list(n)
             for k in range(0, len(names), 20_000):
                 some = names[k : k + 20_000]
-                m = len(some)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([lang] * m, pa.string()), pa.array(some, pa.binary()).cast(pa.string()), pa.array([source] * m, pa.string()),
-                    pa.array([first] * m, pa.int64()), pa.array([df[t] for t in some], pa.int64()), pa.array([n[t] for t in some], pa.int64())], schema=_PARTIAL)
+                    _same(lang, len(some)), pa.array(some, pa.binary()).cast(pa.string()), _same(source, len(some)), pa.array(np.full(len(some), first)),
+                    pa.array([df[t] for t in some], pa.int64()), pa.array([n[t] for t in some], pa.int64())], schema=_PARTIAL)
 
     for b in batches:
         for doc, lang, source, text in zip(*(b.column(k).to_pylist() for k in range(3)), b.column(3).cast(pa.binary()), strict=True):
             first = doc if first is None else first
             df, n = held.setdefault((lang, source), (Counter(), Counter()))
-            found = terms(text.as_py() or b"")
-            size -= len(n)
-            df.update(found.keys())
-            n.update(found)
-            size += len(n)
+            seen, before = set(), len(n)
+            for block in blocks(text.as_py().lower(), _GAP):
+                found = _TERM.findall(block)
+                n.update(found)
+                seen.update(found)
+            df.update(seen)
+            size += len(n) - before
             if size > HELD:
                 yield from let_go()
                 held, size, first = {}, 0, None
     yield from let_go()
 
 
-def _runs(batches, keys: int):
-    """Slices of sorted batches with the same leading key columns: (key, batch slice), a run that goes on in the next batch in several."""
+def _same(value: str, n: int) -> pa.Array:
+    return pa.repeat(pa.scalar(value, pa.string()), n)
+
+
+def _changes(t: pa.Table, keys: tuple[str, ...]) -> np.ndarray:
+    """Where rows differ from the row before them in one of the columns; the first row does."""
+    out = np.ones(t.num_rows, bool)
+    for c in keys:
+        column = t[c].combine_chunks()
+        part = pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)
+        out[1:] = part if c == keys[0] else out[1:] | part
+    return np.flatnonzero(out)
+
+
+def _runs(batches, columns: list[str], shorten: Callable[[pa.Table], pa.Table]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole runs of (term, lang), and where the runs begin, from sorted batches.
+
+    The last run of a table waits for the next batches, shortened, so that a long run takes no more room
+    than it has sources.
+    """
+    held, size, rest = [], 0, None
+
+    def whole() -> pa.Table:
+        now = pa.Table.from_batches(held).select(columns)
+        return shorten(now if rest is None else pa.concat_tables([rest, now]))
+
     for b in batches:
-        if not b.num_rows:
-            continue
-        cut = np.zeros(b.num_rows, bool)
-        cut[0] = True
-        for k in range(keys):
-            codes = b.column(k).dictionary_encode().indices.to_numpy()
-            cut[1:] |= codes[1:] != codes[:-1]
-        at = np.flatnonzero(cut)
-        heads = list(zip(*(b.column(k).take(pa.array(at)).to_pylist() for k in range(keys)), strict=True))
-        for key, lo, hi in zip(heads, at.tolist(), [*at[1:].tolist(), b.num_rows], strict=True):
-            yield key, b, lo, hi
+        held.append(b)
+        size += b.num_rows
+        if size >= ROWS:
+            t = whole()
+            at = _changes(t, ("term", "lang"))
+            if at[-1]:
+                yield t.slice(0, at[-1]), at[:-1]
+            held, size, rest = [], 0, t.slice(at[-1])
+    if size or rest is not None:
+        t = whole() if held else rest
+        if t.num_rows:
+            yield t, _changes(t, ("term", "lang"))
+
+
+def _by_source(t: pa.Table) -> pa.Table:
+    """Sums of df and n over rows of the same term, language and source."""
+    if not t.num_rows:
+        return t
+    at = _changes(t, ("term", "lang", "source"))
+    sums = [pa.array(np.add.reduceat(t[c].to_numpy(), at)) for c in ("df", "n")]
+    return pa.table([*(t[c].take(pa.array(at)) for c in ("lang", "term", "source")), *sums], names=["lang", "term", "source", "df", "n"])
 
 
 def _kept(least: int):
     """Sorted partial counts in, the counts by source of every term of at least that many documents out."""
 
     def run(batches):
-        key, df, found, out = None, 0, {}, []
-
-        def close():
-            if key is not None and df >= least:
-                out.extend((*key, source, n, int(k == 0)) for k, (source, n) in enumerate(found.items()))
-
-        def flush(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _KEPT, strict=True)], schema=_KEPT)
-
-        columns = None
-        for now, b, lo, hi in _runs(batches, 2):
-            if columns is None or columns[0] is not b:
-                columns = (b, b.column(2).to_pylist(), b.column(4).to_pylist(), b.column(5).to_pylist())
-            if now != key:
-                close()
-                key, df, found = now, 0, {}
-                if len(out) >= 20_000:
-                    yield flush(out)
-                    out.clear()
-            for k in range(lo, hi):
-                df += columns[2][k]
-                found[columns[1][k]] = found.get(columns[1][k], 0) + columns[3][k]
-        close()
-        if out:
-            yield flush(out)
+        for t, at in _runs(batches, ["lang", "term", "source", "df", "n"], _by_source):
+            enough = np.repeat(np.add.reduceat(t["df"].to_numpy(), at) >= least, np.diff(at, append=t.num_rows))
+            head = np.zeros(t.num_rows, np.int64)
+            head[at] = 1
+            yield from t.drop_columns("df").append_column("head", pa.array(head)).filter(pa.array(enough)).cast(_KEPT).to_batches()
 
     return run
 
@@ -142,7 +148,7 @@ def kept_counts(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     slim = bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text("lang").alias("lang"), text("source").alias("source"), text("text").alias("text"))
     partial = slim.mapInArrow(_partials, "lang string, term string, source string, document long, df long, n long")
-    dealt = partial.repartition("lang", "term").sortWithinPartitions("lang", "term", "source", "document")
+    dealt = partial.repartition("lang", "term").sortWithinPartitions("term", "lang", "source", "document")
     return written(dealt.mapInArrow(_kept(least_docs), "lang string, term string, source string, n long, head long"), "terms")
 
 
@@ -171,86 +177,87 @@ def _apart(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return d * d // q
 
 
+def _share(n: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """1 + floor(10^9 (n + 1) / total) by long division in base 1000, so that no product leaves 64 bits."""
+    out, rest = np.zeros(len(n), np.int64), n + 1
+    for _ in range(3):
+        rest = rest * 1000
+        out, rest = out * 1000 + rest // total, rest % total
+    return out + 1
+
+
+def _squares(at: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows within each run that begins at at and has n rows, as two index arrays of about CELLS pairs."""
+    ends = np.cumsum(n * n)
+    lo = 0
+    while lo < len(at):
+        hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + CELLS, "right"))
+        if hi > lo:
+            k = n[lo:hi]
+            square = k * k
+            within = np.arange(square.sum()) - np.repeat(np.cumsum(square) - square, square)
+            wide, begin = np.repeat(k, square), np.repeat(at[lo:hi], square)
+            yield begin + within // wide, begin + within % wide
+            lo = hi
+        else:  # the square of one large run comes in strips
+            rows, step = at[lo] + np.arange(n[lo]), max(1, CELLS // int(n[lo]))
+            for k in range(0, len(rows), step):
+                strip = rows[k : k + step]
+                yield np.repeat(strip, len(rows)), np.tile(rows, len(strip))
+            lo += 1
+
+
 class _Pairs:
-    """Sums of one language's pairs of sources that share terms; what grows past CELLS is let go."""
-
-    def __init__(self, lang: str) -> None:
-        self.lang, self.at, self.sums = lang, {}, np.zeros((8, 8), np.int64)
-
-    def add(self, names: list[str], p: np.ndarray, a: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if len(names) ** 2 > CELLS:  # a term of very many sources: its square goes out in strips
-            step = max(1, CELLS // len(names))
-            for k in range(0, len(names), step):
-                yield self._rows(names[k : k + step], names, self._joint(p[k : k + step], a[k : k + step], p, a))
-            return
-        where = [self.at.setdefault(x, len(self.at)) for x in names]
-        while len(self.at) > len(self.sums):
-            self.sums = np.pad(self.sums, (0, len(self.sums)))
-        self.sums[np.ix_(where, where)] += self._joint(p, a, p, a)
-        if len(self.at) ** 2 > CELLS:
-            yield self.close()
-
-    @staticmethod
-    def _joint(p, a, q, b):
-        p, a = p[:, None], a[:, None]
-        return _apart(p, q) - _apart(p, b) - _apart(a, q) + _apart(a, b)
-
-    def _rows(self, left: list[str], right: list[str], sums: np.ndarray) -> pa.RecordBatch:
-        i, j = np.nonzero(sums)
-        i, j = (x.tolist() for x in (i, j))
-        at = [(x, y, int(sums[k, m])) for k, m in zip(i, j, strict=True) if (x := left[k]) != (y := right[m])]
-        return pa.RecordBatch.from_arrays([
-            pa.array([self.lang] * len(at), pa.string()), pa.array([x[0] for x in at], pa.string()), pa.array([x[1] for x in at], pa.string()),
-            pa.array([True] * len(at)), pa.array([x[2] for x in at], pa.int64())], schema=_FOUND)
+    """Sums of pairs of groups that share terms; they are let go once there are more than CELLS."""
+
+    def __init__(self) -> None:
+        self.sums: Counter = Counter()
+
+    def add(self, names: list[tuple[str, str]], group: np.ndarray, at: np.ndarray, p: np.ndarray, a: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Rows by runs that begin at at; group: the index in names of each row's (lang, source)."""
+        n, m = np.diff(at, append=len(p)), len(names)
+        for x, y in _squares(at[n > 1], n[n > 1]):
+            value = _apart(p[x], p[y]) - _apart(p[x], a[y]) - _apart(a[x], p[y]) + _apart(a[x], a[y])
+            code = group[x] * m + group[y]
+            if m * m > CELLS:
+                found, code = np.unique(code, return_inverse=True)
+                sums = np.zeros(len(found), np.int64)
+            else:
+                found, sums = None, np.zeros(m * m, np.int64)
+            np.add.at(sums, code, value)
+            some = np.flatnonzero(sums)
+            for pair, value in zip((some if found is None else found[some]).tolist(), sums[some].tolist(), strict=True):
+                if pair // m != pair % m:
+                    self.sums[(*names[pair // m], names[pair % m][1])] += value
+            if len(self.sums) > CELLS:
+                yield self.close()
 
     def close(self) -> pa.RecordBatch:
-        names = list(self.at)
-        out = self._rows(names, names, self.sums[: len(names), : len(names)])
-        self.__init__(self.lang)
-        return out
+        keys, values = list(self.sums), list(self.sums.values())
+        self.sums.clear()
+        names = [pa.array([x[k] for x in keys], pa.string()) for k in range(3)]
+        return pa.RecordBatch.from_arrays([*names, pa.array([True] * len(keys), pa.bool_()), pa.array(values, pa.int64())], schema=_FOUND)
 
 
 def _found(batches) -> Iterator[pa.RecordBatch]:
-    """Runs of (lang, term) over sorted rows lang, term, source, n, p, a, lang_size, v: partial pair sums, and terms above the language's share."""
-    pairs, key, names, n, p, a, most, out = None, None, [], [], [], [], 0, []
-
-    def close() -> Iterator[pa.RecordBatch]:
-        nonlocal pairs
-        if key is None:
-            return
-        lang, term = key
-        if pairs is None or pairs.lang != lang:
-            if pairs is not None:
-                yield pairs.close()
-            pairs = _Pairs(lang)
-        q = 1 + SCALE * (sum(n) + 1) // most
-        out.extend((lang, source, term, False, (x - q) ** 2 // q) for source, x in zip(names, p, strict=True) if x > q)
-        if len(names) > 1:
-            yield from pairs.add(names, np.array(p, np.int64), np.array(a, np.int64))
-
-    def flush() -> pa.RecordBatch:
-        done = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _FOUND, strict=True)], schema=_FOUND)
-        out.clear()
-        return done
-
-    columns = None
-    for now, b, lo, hi in _runs(batches, 2):
-        if columns is None or columns[0] is not b:
-            columns = (b, *(b.column(k).to_pylist() for k in range(2, 8)))
-        if now != key:
-            yield from close()
-            key, names, n, p, a, most = now, [], [], [], [], columns[5][lo] + columns[6][lo]
-            if len(out) >= 20_000:
-                yield flush()
-        names += columns[1][lo:hi]
-        n += columns[2][lo:hi]
-        p += columns[3][lo:hi]
-        a += columns[4][lo:hi]
-    yield from close()
-    if pairs is not None:
-        yield pairs.close()
-    if out:
-        yield flush()
+    """Runs of (term, lang) over sorted rows lang, term, source, n, p, a, lang_size, v: partial pair sums, and terms above the language's share."""
+    pairs = _Pairs()
+    for t, at in _runs(batches, ["lang", "term", "source", "n", "p", "a", "lang_size", "v"], lambda t: t):
+        n, p, a = (t[c].to_numpy() for c in ("n", "p", "a"))
+        total = t["lang_size"].to_numpy()[at] + t["v"].to_numpy()[at]
+        q = np.repeat(_share(np.add.reduceat(n, at), total), np.diff(at, append=len(n)))
+        above = np.flatnonzero(p > q)
+        some = t.select(["lang", "source", "term"]).take(pa.array(above))
+        value = pa.array(_apart(p[above], q[above]))
+        yield from pa.table([some["lang"], some["source"], some["term"], pa.array(np.zeros(len(above), bool)), value], schema=_FOUND).to_batches()
+        named = pa.table([t["lang"], t["source"]], names=["lang", "source"])
+        codes = [named[c].combine_chunks().dictionary_encode() for c in ("lang", "source")]
+        both = codes[0].indices.to_numpy().astype(np.int64) * len(codes[1].dictionary) + codes[1].indices.to_numpy()
+        groups_in, group = np.unique(both, return_inverse=True)
+        langs, sources = (c.dictionary.to_pylist() for c in codes)
+        names = [(langs[x // len(sources)], sources[x % len(sources)]) for x in groups_in.tolist()]
+        yield from pairs.add(names, group, at, p, a)
+    yield pairs.close()
 
 
 def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP) -> DataFrame:
@@ -258,7 +265,7 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP) -> Data
     kept = kept_counts(docs, least_docs)
     of = groups(docs, kept)
     each = kept.drop("head").join(of, ["lang", "source"]).withColumn("p", share("n", "size", "v")).select("lang", "term", "source", "n", "p", "a", "lang_size", "v")
-    runs = each.repartition("lang", "term").sortWithinPartitions("lang", "term", "source")
+    runs = each.repartition("lang", "term").sortWithinPartitions("term", "lang", "source")
     found = written(runs.mapInArrow(_found, "lang string, source string, item string, pair boolean, value long"), "found")
     # One-sided sums: x has the counts, y is another source; (x, y) and (y, x) both need them.
     wide = "decimal(38,0)"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrafold.llm import binary, chat, counts, divergence, exact, fingerprints, language, licenses, mixing, near, packing, resample
+from terrafold.llm import binary, chat, counts, divergence, exact, fingerprints, language, licenses, mixing, near, packing, repeats, resample
 from terrafold.llm.encode import vocabulary
 from terrafold.llm.store import documents
 
@@ -52,6 +52,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.dedup(documents(spark, sf_dir))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -62,11 +66,12 @@ def op13_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_fingerprints, op3_license_scans, op4_chat_formatting, op5_packing, op6_exact_dedup,
-    op7_minhash_near_dedup, op8_token_binary, op9_language_id, op10_mixing, op12_importance_resampling, op13_divergence_audit)}
+    op7_minhash_near_dedup, op8_token_binary, op9_language_id, op10_mixing, op11_substring_dedup, op12_importance_resampling, op13_divergence_audit)}
 
 ORACLES = {
     "op1_token_counts": counts.ORACLE,
     "op4_chat_formatting": chat.ORACLE,
     "op6_exact_dedup": exact.ORACLE,
+    "op11_substring_dedup": repeats.ORACLE,
     "op13_divergence_audit": divergence.ORACLE,
 }

@@ -33,33 +33,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrafold.llm.ordering import limits, range_of
+from terrafold.llm.shingles import blocks
 from terrafold.llm.store import bounded, written
 
 BUCKETS = 10000
 LEAST_WORDS, PER_CENT, SEED = 20, 25, 7
 ROWS_PER_RANGE = 65536
-_BLOCK = 1 << 20
 _WORD, _GAP = re.compile(rb"[0-9a-z\x80-\xff]+"), re.compile(rb"[^0-9a-z\x80-\xff]")
 
 
-def blocks(data: bytes) -> Iterator[bytes]:
-    """The text in lower case (A-Z), in pieces of about a megabyte that end between words."""
-    at, n = 0, len(data)
-    data = data.lower()
-    while at < n:
-        found = _GAP.search(data, at + _BLOCK) if at + _BLOCK < n else None
-        end = found.start() if found else n
-        yield data[at:end]
-        at = end
-
-
 def features(data: bytes, n_buckets: int = BUCKETS) -> Iterator[np.ndarray]:
     """Buckets of all words and pairs of neighbouring words, block by block: words first, then as many pairs as there are.
 
     A checksum goes on where another ended, so a pair takes its first word's checksum, a space and the second word.
     """
     last: bytes | None = None
-    for block in blocks(data):
+    for block in blocks(data.lower(), _GAP):
         words = _WORD.findall(block)
         if not words:
             continue

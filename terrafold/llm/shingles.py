@@ -6,6 +6,9 @@ of fewer words than a shingle takes has one shingle of all its words; a text wit
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 
 WORDS = 5
@@ -32,8 +35,21 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """A 64-bit hash of each word, in order: differences of a running polynomial sum, scaled back to the word's start."""
+def blocks(data: bytes, gap: re.Pattern) -> Iterator[bytes]:
+    """The bytes in pieces of about a megabyte, each ending before a byte that gap matches."""
+    at = 0
+    while at < len(data):
+        found = gap.search(data, at + _BLOCK) if at + _BLOCK < len(data) else None
+        end = found.start() if found else len(data)
+        yield data[at:end]
+        at = end
+
+
+def word_hashes(data: bytes, is_word: np.ndarray = _IS_WORD, fold: bool = True) -> np.ndarray:
+    """A 64-bit hash of each word, in order: differences of a running polynomial sum, scaled back to the word's start.
+
+    is_word tells the bytes of words (1) from others (0); fold lower-cases A-Z first.
+    """
     if not _tables:
         _tables.extend([_powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))])
     out, at, n = [], 0, len(data)
@@ -41,11 +57,11 @@ def word_hashes(data: bytes) -> np.ndarray:
         end = min(n, at + _BLOCK)
         if end < n:  # at a word's end, unless one word fills the block
             back = end
-            while back > at and _IS_WORD[data[back - 1] | (0x20 if 0x41 <= data[back - 1] <= 0x5A else 0)]:
+            while back > at and is_word[data[back - 1] | (0x20 if fold and 0x41 <= data[back - 1] <= 0x5A else 0)]:
                 back -= 1
             end = back if back > at else end
-        a = np.frombuffer(data[at:end].lower(), np.uint8)
-        edges = np.flatnonzero(np.diff(_IS_WORD[a], prepend=np.int8(0), append=np.int8(0)))
+        a = np.frombuffer(data[at:end].lower() if fold else data[at:end], np.uint8)
+        edges = np.flatnonzero(np.diff(is_word[a], prepend=np.int8(0), append=np.int8(0)))
         starts, ends = edges[::2], edges[1::2]
         sums = np.zeros(len(a) + 1, np.uint64)
         np.cumsum((a.astype(np.uint64) + np.uint64(1)) * _tables[0][: len(a)], out=sums[1:])

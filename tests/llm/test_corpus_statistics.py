@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,7 +98,7 @@ def test_features_of_blocks_are_those_of_the_whole_text():
     want = np.zeros(10000, np.int64)
     for x, n in Counter(w + pairs).items():
         want[zlib.crc32(x.encode()) % 10000] += n
-    assert len(list(resample.blocks(text))) > 2 and (got == want).all()
+    assert len(list(resample.features(text))) > 2 and (got == want).all()
 
 
 def test_ranks_split_a_hot_score_and_repeated_rows(spark):
@@ -150,15 +151,32 @@ def test_audit_of_awkward_rows(spark, least, monkeypatch):
     assert divergence.audit(empty(spark)).collect() == []
 
 
-def test_audit_in_small_blocks_and_strips(spark, monkeypatch):
-    """Counts let go after every document, pair tables after every term, and squares in strips give the same sums."""
+def test_audit_in_small_steps(spark, monkeypatch):
+    """Blocks of a document, scans of a few rows, squares in strips and pair sums let go at once give the same result."""
     rows = [(f"alpha beta {'gamma ' * (k % 7)} w{k % 5} {'xyz'[k % 3]}", "en" if k % 11 else "fr", f"s{k % 13}") for k in range(200)]
     df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "doc_id long, text string, lang string, source string").repartition(3)
-    of = lambda b: [tuple(r.values()) for r in b.to_pylist()]
-    a = divergence._Pairs("en")
-    p, q = np.array([5, 9, 1], np.int64), np.array([1, 2, 1], np.int64)
-    assert list(a.add(["x", "y", "z"], p, q)) == []
-    whole = sorted(of(a.close()))
-    monkeypatch.setattr(divergence, "CELLS", 4)
-    strips = [x for b in divergence._Pairs("en").add(["x", "y", "z"], p, q) for x in of(b)]
-    assert sorted(strips) == whole and tuples(divergence.audit(df)) == brute_audit(rows)
+    docs = [r.asDict() for r in df.collect()]
+    batches = pa.Table.from_pylist(docs).select(["doc_id", "lang", "source", "text"]).to_batches()
+    monkeypatch.setattr(divergence, "HELD", 5)
+    partial = pa.Table.from_batches(divergence._partials(batches)).sort_by([(c, "ascending") for c in ("term", "lang", "source", "document")])
+    monkeypatch.setattr(divergence, "ROWS", 7)
+    kept = pa.Table.from_batches(divergence._kept(3)(partial.to_batches(max_chunksize=3)))
+    assert kept.num_rows and sorted(map(str, kept.to_pylist())) == sorted(str(r.asDict()) for r in divergence.kept_counts(df).collect())
+    names, group = [("en", c) for c in "xyz"], np.array([0, 1, 2, 0, 2])
+    p, a, at = np.array([5, 9, 1, 4, 7], np.int64), np.array([1, 2, 1, 1, 1], np.int64), np.array([0, 3])
+    whole = divergence._Pairs()
+    assert list(whole.add(names, group, at, p, a)) == []
+    want = {tuple(list(r.values())[:3]): r["value"] for r in whole.close().to_pylist()}
+    for cells in (1, 2, 5, 100):
+        monkeypatch.setattr(divergence, "CELLS", cells)
+        pairs, found = divergence._Pairs(), Counter()
+        for b in [*pairs.add(names, group, at, p, a), pairs.close()]:
+            for r in b.to_pylist():
+                found[tuple(list(r.values())[:3])] += r["value"]
+        assert {k: v for k, v in found.items() if v} == {k: v for k, v in want.items() if v}
+    assert tuples(divergence.audit(df)) == brute_audit(rows)
+
+
+def test_shares_of_huge_counts():
+    n, total = np.array([0, 10**12, 9 * 10**14, 7], np.int64), np.array([3, 10**13 + 7, 9 * 10**14 + 1, 9], np.int64)
+    assert divergence._share(n, total).tolist() == [1 + 10**9 * (x + 1) // y for x, y in zip(n.tolist(), total.tolist(), strict=True)]
