@@ -45,14 +45,57 @@ def compact_loss(before: DataFrame, after: DataFrame) -> DataFrame:
     return sums.select(km2(F.col("l")).alias("lost_km2"), km2(F.col("k")).alias("compact_km2"), _share(F.col("l") - F.col("k"), F.col("l")).alias("isolated_pct"))
 
 
-def product_agreement(a: DataFrame, b: DataFrame, tolerance: int = 5) -> DataFrame:
-    """class, n, km2, share_pct of cells of either product: agree within tolerance years, earlier, later, undated, none in b, omitted by a."""
+def product_agreement(product: DataFrame, register: DataFrame, first: int, tolerance: int = 5) -> DataFrame:
+    """One row: how a register's years (states, dated cells) stand to a product whose dates begin at first.
+
+    What the product has at first is its baseline: base_km2, and the shares of it where the register has a
+    year up to first, a later one, or none. What it dates later: later_km2, and the shares where the register
+    agrees within tolerance years, is earlier, later, or has none. Each group's shares are of that group
+    (1 place, NaN if it is empty); never_km2 is what the register has up to first and the product not at all.
+    """
     v, w = F.col("v"), F.col("w")
-    kind = (
-        F.when(v.isNull(), "omitted").when(w.isNull(), "none").when((v == UNDATED) | (w == UNDATED), "undated")
-        .when(F.abs(v - w) <= tolerance, "agree").when(v < w, "earlier").otherwise("later"))
-    rows = a.select(*KEY, "v").join(b.select(*KEY, F.col("v").alias("w")), KEY, "full_outer").groupBy(kind.alias("class")).agg(F.count("*").alias("n"), F.sum(_a()).alias("m2"))
-    return rows.select("class", "n", km2(F.col("m2")).alias("km2"), F.round(100 * F.col("m2") / F.sum("m2").over(Window.partitionBy()), 4).alias("share_pct"))
+    seen = product.where(is_dated(F.col("v"))).select(*KEY, "v").join(register.where(is_dated(F.col("v"))).select(*KEY, F.col("v").alias("w")), KEY, "full_outer")
+    groups = {
+        "base": (v == first, {"upto": w <= first, "after": w > first, "none": w.isNull()}),
+        "later": (v > first, {"agree": F.abs(w - v) <= tolerance, "earlier": w < v - tolerance, "later": w > v + tolerance, "none": w.isNull()})}
+    sums = {f"{g}_{k}": _area(here & cond) for g, (here, kinds) in groups.items() for k, cond in {"km2": F.lit(True), **kinds}.items()}
+    t = seen.agg(*[x.alias(name) for name, x in sums.items()], _area(v.isNull() & (w <= first)).alias("never_km2"))
+    share = lambda g, k: F.round(ratio(100 * F.col(f"{g}_{k}"), F.col(f"{g}_km2")), 1).alias(f"{g}_{k}_pct")
+    return t.select(*[x for g, (_, kinds) in groups.items() for x in (F.round(f"{g}_km2", 2).alias(f"{g}_km2"), *[share(g, k) for k in kinds])], F.round("never_km2", 2).alias("never_km2"))
+
+
+def grid_agreement(a: DataFrame, b: DataFrame, zone: DataFrame, k: int, least: float = 0.1) -> DataFrame:
+    """One row: r, the correlation of both products' shares of the zone's k x k blocks, and jaccard of the blocks with a share of least or more (3 places).
+
+    A block is the zone's if its centre cell is; blocks that neither product touches count with shares of 0,
+    since they agree. r is NaN where a share does not vary, jaccard where no block has enough.
+    """
+    block = [F.floor(F.col(x) / k).alias(f"b{x}") for x in KEY]
+    inside = zone.select(*KEY).distinct()
+    mine = [t.select(*KEY).distinct().join(inside, KEY, "left_semi").select(*block, F.lit(i).alias("x"), F.lit(1 - i).alias("y")) for i, t in ((1, a), (0, b))]
+    centres = inside.where((F.col("r") % k == k // 2) & (F.col("c") % k == k // 2)).select(*block, F.lit(True).alias("own"))
+    parts = mine[0].union(mine[1]).groupBy("br", "bc").agg(*[(F.sum(s) / float(k * k)).alias(s) for s in ("x", "y")])
+    f = centres.join(parts, ["br", "bc"], "left").select(*[F.coalesce(s, F.lit(0.0)).alias(s) for s in ("x", "y")])
+    x, y = F.col("x") >= least, F.col("y") >= least
+    # NaN without spread; corr() would divide by 0, and a merged variance may miss 0 by rounding.
+    constant = (F.min("x") == F.max("x")) | (F.min("y") == F.max("y"))
+    r = F.when(constant | (F.count("*") == 0), F.lit(float("nan"))).otherwise(ratio(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")))
+    return f.agg(F.round(r, 3).alias("r"), F.round(ratio(F.count_if(x & y), F.count_if(x | y)), 3).alias("jaccard"))
+
+
+def percent_report(percent: DataFrame, confidence: DataFrame, zones: DataFrame, low: int = 80) -> DataFrame:
+    """zone, sealed_km2, ge30_km2, ge50_km2 (2 places), mean_confidence, low_pct (1 place) of the zone's cells with a percentage up to 100.
+
+    A cell without a percentage has 0. Confidence is that of the same cells where it is at most 100, zeros
+    included; without any its figures are NaN.
+    """
+    named = zones.select("zone", *KEY).distinct()
+    seen = named.join(percent.select(*KEY, "v"), KEY, "left").join(confidence.where("v <= 100").select(*KEY, F.col("v").alias("sure")), KEY, "left")
+    v, sure = F.coalesce("v", F.lit(0)), F.col("sure")
+    t = seen.where(v <= 100).groupBy("zone").agg(
+        F.round(F.sum(v / 100 * _a()) / 1e6, 2).alias("sealed_km2"), F.round(_area(v >= 30), 2).alias("ge30_km2"), F.round(_area(v >= 50), 2).alias("ge50_km2"),
+        F.count("sure").alias("n"), F.sum("sure").alias("s"), F.count_if(sure < low).alias("low"))
+    return t.select("zone", "sealed_km2", "ge30_km2", "ge50_km2", F.round(ratio(F.coalesce("s", F.lit(0)), F.col("n")), 1).alias("mean_confidence"), F.round(ratio(100.0 * F.col("low"), F.col("n")), 1).alias("low_pct"))
 
 
 def cell_test(reference: DataFrame, product: DataFrame, by: int) -> DataFrame:
@@ -104,29 +147,36 @@ def growth_report(cells: DataFrame, years: list[int]) -> DataFrame:
     return e.withColumn("growth_pct", F.round(100 * (F.col(f"km2_{years[-1]}") / F.nullif(F.col(f"km2_{years[0]}"), F.lit(0.0)) - 1), 1))
 
 
-#: Classes of a change product, by code.
+# Classes of a change product, by code.
 CHANGES = {0: "unchanged_non_built", 1: "new_built", 2: "loss_built", 10: "unchanged_built", 11: "increased_density", 12: "decreased_density"}
 
 
 def change_areas(cells: DataFrame, pixel_km2: float, years: int) -> DataFrame:
-    """group, km2 per change class, built before and after, loss and gain in per cent a year (NaN or infinite where nothing was built). cells: group, v; pixels of an equal-area grid."""
+    """group, km2 per change class, built before and after, loss and gain in per cent a year (NaN where nothing was built before). cells: group, v; pixels of an equal-area grid."""
     per_class = [F.round(F.count_if(F.col("v") == code) * pixel_km2, 3).alias(f"{name}_km2") for code, name in CHANGES.items()]
     n = lambda *codes: F.count_if(F.col("v").isin(*codes)) * F.lit(pixel_km2)
     rows = cells.groupBy("group").agg(*per_class, n(10, 2, 11, 12).alias("first"), n(10, 1, 11, 12).alias("last"), n(2).alias("loss"), n(1).alias("gain"))
-    yearly = lambda part: F.round(ratio(100 * F.col(part), F.col("first")) / years, 3)
+    yearly = lambda part: F.round(F.when(F.col("first") > 0, 100 * F.col(part) / F.col("first") / years).otherwise(float("nan")), 3)
     return rows.select(
         "group", *[f"{name}_km2" for name in CHANGES.values()], F.round("first", 2).alias("built_first_km2"), F.round("last", 2).alias("built_last_km2"),
         yearly("loss").alias("loss_pct_year"), yearly("gain").alias("gain_pct_year"))
 
 
-def density_properties(percent: DataFrame, greenhouse: DataFrame, confidence: DataFrame, low: int = 80, empty: float | None = 0.0) -> DataFrame:
-    """sealed_km2 with greenhouses (empty if there is no percentage) and without, mean of the confidence above 0 (null without any), share of it below low (NaN without any)."""
-    with_green = percent.join(greenhouse.select(*KEY, F.lit(1).alias("green")).distinct(), KEY, "left").join(confidence.select(*KEY, F.col("v").alias("sure")), KEY, "left")
-    sealed = F.col("v") / 100 * _a()
-    held = F.col("sure") > 0
-    return with_green.agg(
-        km2(F.coalesce(F.sum(sealed), F.lit(empty).cast("double"))).alias("sealed_with_km2"), km2(F.coalesce(F.sum(F.when(F.col("green").isNull(), sealed)), F.lit(0.0))).alias("sealed_km2"),
-        F.round(F.avg(F.when(held, F.col("sure"))), 6).alias("mean_confidence"), F.round(ratio(100.0 * F.count_if(held & (F.col("sure") < low)), F.count_if(held)), 4).alias("low_pct"))
+def density_properties(percent: DataFrame, greenhouse: DataFrame, confidence: DataFrame, land: DataFrame, low: int = 80) -> DataFrame:
+    """One row over land: sealed_km2 without greenhouses and sealed_with_km2 (3 places, 0 without any), mean_confidence (1 place), low_pct (2 places).
+
+    Percentages and confidence above 100 are codes and count as 0. The mean is over land with a confidence
+    above 0 (null without any), whether or not anything is sealed there; low_pct is the share of all land,
+    of one cell at least, whose confidence is above 0 and below low.
+    """
+    seen = land.select(*KEY).distinct().join(percent.where("v <= 100").select(*KEY, "v"), KEY, "left").join(
+        greenhouse.select(*KEY, F.lit(1).alias("green")).distinct(), KEY, "left").join(
+        confidence.where("v between 1 and 100").select(*KEY, F.col("v").alias("sure")), KEY, "left")
+    sealed = F.coalesce("v", F.lit(0)) / 100 * _a()
+    total = lambda x: F.round(F.coalesce(F.sum(x), F.lit(0.0)) / 1e6, 3)
+    return seen.agg(
+        total(sealed).alias("sealed_with_km2"), total(F.when(F.col("green").isNull(), sealed)).alias("sealed_km2"),
+        F.round(F.avg("sure"), 1).alias("mean_confidence"), F.round(100.0 * F.count_if(F.col("sure") < low) / F.greatest(F.count("*"), F.lit(1)), 2).alias("low_pct"))
 
 
 def with_building(cells: DataFrame, buildings: DataFrame) -> DataFrame:

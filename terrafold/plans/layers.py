@@ -63,22 +63,19 @@ def loss_events(changes: DataFrame) -> DataFrame:
     return changes.groupBy("period", "v").agg(km2(F.sum(row_area(F.col("r")))).alias("km2"))
 
 
-def headline(layer: DataFrame, encoding: str, empty: float | None = 0.0) -> DataFrame:
-    """One figure per layer: area of what is built, or of the percentage, or the amount itself; empty if the layer has no cell."""
+def headline(layer: DataFrame, encoding: str) -> DataFrame:
+    """One figure per layer: area of what is built, or of the percentage, or the amount itself; 0 if the layer has no cell."""
     a = row_area(F.col("r"))
     total = {"year": F.sum(a), "epoch": F.sum(a), "binary": F.sum(a), "percent": F.sum(F.col("v") / 100 * a), "amount": F.sum(F.col("v").cast("double"))}[encoding]
-    return layer.agg(km2(F.coalesce(total, F.lit(empty).cast("double"))).alias("km2"))
+    return layer.agg(km2(F.coalesce(total, F.lit(0.0))).alias("km2"))
 
 
-def dated_share(layer: DataFrame, empty: float | None = 0.0) -> DataFrame:
-    """dated_km2, undated_km2 (3 places; empty where a class has no cell), and the dated share of these rounded areas (1 place).
-
-    The share is null if nothing is built or an area is null, NaN if both areas round to 0.
-    """
+def dated_share(layer: DataFrame) -> DataFrame:
+    """dated_km2, undated_km2 (3 places; 0 where a class has no cell), and the dated share of these rounded areas (1 place; NaN if both are 0)."""
     a = row_area(F.col("r"))
-    part = lambda dated: F.round(F.coalesce(F.sum(F.when((F.col("v") != UNDATED) == dated, a)), F.lit(empty).cast("double")) / 1e6, 3)
-    areas = layer.where("v > 0").agg(part(True).alias("dated_km2"), part(False).alias("undated_km2"), F.count("*").alias("n"))
-    share = F.when(F.col("n") > 0, ratio(100 * F.col("dated_km2"), F.col("dated_km2") + F.col("undated_km2")))
+    part = lambda dated: F.round(F.coalesce(F.sum(F.when((F.col("v") != UNDATED) == dated, a)), F.lit(0.0)) / 1e6, 3)
+    areas = layer.where("v > 0").agg(part(True).alias("dated_km2"), part(False).alias("undated_km2"))
+    share = ratio(100 * F.col("dated_km2"), F.col("dated_km2") + F.col("undated_km2"))
     return areas.select("dated_km2", "undated_km2", F.round(share, 1).alias("dated_share_pct"))
 
 

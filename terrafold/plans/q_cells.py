@@ -311,10 +311,16 @@ def compact_loss(spark, d):
     return N.compact_loss(*two(spark, d))
 
 
-@register("product_agreement", sql("cell cell2", f"""SELECT CASE WHEN a.v IS NULL THEN 'omitted' WHEN b.v IS NULL THEN 'none' WHEN a.v=255 OR b.v=255 THEN 'undated' WHEN abs(a.v-b.v)<=5 THEN 'agree' WHEN a.v<b.v THEN 'earlier' ELSE 'later' END AS class, count(*) AS n,
-round(sum({A})/1e6,6) AS km2, round(100*sum({A})/sum(sum({A})) OVER (),4) AS share_pct FROM cell a FULL JOIN cell2 b USING (r,c) GROUP BY 1"""))
+_SHARES = {"base": ("v=93", {"upto": "w<=93", "after": "w>93", "none": "w IS NULL"}), "later": ("v>93", {"agree": "abs(w-v)<=5", "earlier": "w<v-5", "later": "w>v+5", "none": "w IS NULL"})}
+_WITHIN = lambda cond: f"coalesce(sum({A}) FILTER (WHERE {cond}),0)/1e6"
+
+
+@register("product_agreement", sql("cell cell2", """, t AS (SELECT r, c, a.v, b.v AS w FROM (SELECT * FROM cell WHERE v<>255) a FULL JOIN (SELECT * FROM cell2 WHERE v<>255) b USING (r,c)) SELECT """ + ", ".join(
+    f"round({_WITHIN(g)},2) AS {n}_km2, " + ", ".join(f"round(CASE WHEN count(*) FILTER (WHERE {g})=0 THEN 'NaN'::DOUBLE ELSE 100*{_WITHIN(f'{g} AND {c}')}/({_WITHIN(g)}) END,1) AS {n}_{k}_pct" for k, c in kinds.items()) for n, (g, kinds) in _SHARES.items())
+    + f", round({_WITHIN('v IS NULL AND w<=93')},2) AS never_km2 FROM t"))
 def product_agreement(spark, d):
-    return N.product_agreement(*two(spark, d), 5)
+    """The first year of the test tables stands for the baseline."""
+    return N.product_agreement(*two(spark, d), 93, 5)
 
 
 @register("cell_test", sql("cell cell2", """, t AS (SELECT coalesce(a.v,0) AS ref, coalesce(b.v,0) AS v FROM cell a FULL JOIN cell2 b USING (r,c)),
@@ -325,16 +331,14 @@ def cell_test(spark, d):
     return N.cell_test(a, b, 98)
 
 
-@register("fraction_correlation", sql("cell cell2", """, f AS (SELECT r//10 AS br, c//10 AS bc, count(*) FILTER (WHERE k=1)/100.0::DOUBLE AS x, count(*) FILTER (WHERE k=2)/100.0::DOUBLE AS y FROM (SELECT r,c,1 AS k FROM cell UNION ALL SELECT r,c,2 FROM cell2) GROUP BY 1,2)
-SELECT round(corr(x,y),6) AS r, round(count(*) FILTER (WHERE x>=0.1 AND y>=0.1)/nullif(count(*) FILTER (WHERE x>=0.1 OR y>=0.1),0)::DOUBLE,6) AS jaccard FROM f"""))
+@register("fraction_correlation", sql("cell cell2 zone", """, land AS (SELECT DISTINCT r, c FROM zone), own AS (SELECT r//10 AS br, c//10 AS bc FROM land WHERE r%10=5 AND c%10=5),
+p AS (SELECT r//10 AS br, c//10 AS bc, count(*) FILTER (WHERE k=1)/100.0::DOUBLE AS x, count(*) FILTER (WHERE k=2)/100.0::DOUBLE AS y FROM (SELECT r,c,1 AS k FROM cell UNION ALL SELECT r,c,2 FROM cell2) SEMI JOIN land USING (r,c) GROUP BY 1,2),
+f AS (SELECT coalesce(x,0) AS x, coalesce(y,0) AS y FROM own LEFT JOIN p USING (br,bc)), s AS (SELECT count(*) FILTER (WHERE x>=0.1 AND y>=0.1) AS b, count(*) FILTER (WHERE x>=0.1 OR y>=0.1) AS e,
+CASE WHEN count(*)=0 OR min(x)=max(x) OR min(y)=max(y) THEN 'NaN'::DOUBLE ELSE corr(x,y) END AS r FROM f)
+SELECT round(r,3) AS r, round(CASE WHEN e=0 THEN 'NaN'::DOUBLE ELSE b/e::DOUBLE END,3) AS jaccard FROM s"""))
 def fraction_correlation(spark, d):
     a, b = two(spark, d)
-    t = a.select("r", "c", F.lit(1).alias("x"), F.lit(0).alias("y")).union(b.select("r", "c", F.lit(0), F.lit(1)))
-    f = t.groupBy(F.floor(F.col("r") / 10), F.floor(F.col("c") / 10)).agg((F.sum("x") / 100.0).alias("x"), (F.sum("y") / 100.0).alias("y"))
-    x, y = F.col("x") >= 0.1, F.col("y") >= 0.1
-    constant = (F.min("x") == F.max("x")) | (F.min("y") == F.max("y"))  # NaN; corr() would divide by 0, and a merged variance may miss 0 by rounding
-    r = F.when(constant, F.lit(float("nan"))).otherwise(G.ratio(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")))
-    return f.agg(F.round(r, 6).alias("r"), F.round(F.count_if(x & y) / F.nullif(F.count_if(x | y), F.lit(0)), 6).alias("jaccard"))
+    return N.grid_agreement(a, b, P.rasterise(D.vertices(spark)), 10)
 
 
 @register("waterfall", sql("cell cell2 pct", f""", t AS (SELECT a.r, a.c, CASE WHEN b.v=255 THEN 1 WHEN b.v IS NOT NULL THEN 2 WHEN p.v>=60 THEN 3 END AS k FROM cell a LEFT JOIN cell2 b USING (r,c) LEFT JOIN pct p ON p.r=a.r AND p.c=a.c)

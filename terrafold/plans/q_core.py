@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from terrafold.functions import encoding as E
 from terrafold.functions import grid as G
+from terrafold.operators import analyses as N
 from terrafold.operators import cells as C
 from terrafold.operators import series as T
 from terrafold.operators import spans as P
@@ -113,20 +114,21 @@ def histogram_stats(spark, d):
     return h.agg(G.km2(F.sum("m2")).alias("built_km2"), part(v != 255).alias("dated_km2"), part(v == 255).alias("undated_km2"), part(v <= 97).alias("by_1996_km2"))
 
 
-@register("percent_histogram", sql("pct", f"SELECT round(sum({A}*v/100.0)/1e6,6) sealed_km2, round(sum({A}) FILTER (WHERE v>=30)/1e6,6) ge30_km2, round(sum({A}) FILTER (WHERE v>=50)/1e6,6) ge50_km2, round(avg(v),6) mean_pct, round(100.0*count(*) FILTER (WHERE v<80)/count(*),4) below80_pct FROM pct WHERE v BETWEEN 1 AND 100"))
+@register("percent_histogram", sql("pct conf zone", f"""
+, t AS (SELECT z.zone, z.r, coalesce(p.v, 0) AS v, c.v AS sure FROM zone z LEFT JOIN pct p ON p.r=z.r AND p.c=z.c LEFT JOIN conf c ON c.r=z.r AND c.c=z.c AND c.v<=100 WHERE coalesce(p.v, 0)<=100)
+SELECT zone, round(sum({A}*v/100.0)/1e6,2) AS sealed_km2, round(coalesce(sum({A}) FILTER (WHERE v>=30),0)/1e6,2) AS ge30_km2, round(coalesce(sum({A}) FILTER (WHERE v>=50),0)/1e6,2) AS ge50_km2,
+round(coalesce(avg(sure)::DOUBLE,'NaN'::DOUBLE),1) AS mean_confidence, round(CASE WHEN count(sure)=0 THEN 'NaN'::DOUBLE ELSE 100.0::DOUBLE*count(*) FILTER (WHERE sure<80)/count(sure) END,1) AS low_pct FROM t GROUP BY 1"""))
 def percent_histogram(spark, d):
-    v, a = F.col("v"), G.row_area(F.col("r"))
-    rows = D.percents(spark, d).withColumn("v", E.clean_percent(v)).where("v > 0")
-    return rows.agg(G.km2(F.sum(a * v / 100)).alias("sealed_km2"), G.km2(F.sum(F.when(v >= 30, a))).alias("ge30_km2"), G.km2(F.sum(F.when(v >= 50, a))).alias("ge50_km2"), F.round(F.avg("v"), 6).alias("mean_pct"), F.round(G.ratio(100.0 * F.count_if(v < 80), F.count("*")), 4).alias("below80_pct"))
+    return N.percent_report(D.percents(spark, d), D.confidences(spark, d), P.rasterise(D.vertices(spark)))
 
 
 @register("provenance_summary", sql("cell", f"""
-, m AS (SELECT round(sum({A}) FILTER (WHERE v<>255)/1e6,3) AS d, round(sum({A}) FILTER (WHERE v=255)/1e6,3) AS u FROM cell)
-SELECT d AS dated_km2, u AS undated_km2, round(100*d/(d+u),1) AS dated_share_pct FROM m"""))
+, m AS (SELECT round(coalesce(sum({A}) FILTER (WHERE v<>255),0)/1e6,3) AS d, round(coalesce(sum({A}) FILTER (WHERE v=255),0)/1e6,3) AS u FROM cell)
+SELECT d AS dated_km2, u AS undated_km2, round(CASE WHEN d+u=0 THEN 'NaN'::DOUBLE ELSE 100*d/(d+u) END,1) AS dated_share_pct FROM m"""))
 def provenance_summary(spark, d):
     from terrafold.plans.layers import dated_share
 
-    return dated_share(D.cells(spark, d), None)
+    return dated_share(D.cells(spark, d))
 
 
 @register("forward_fill", sql("series", """

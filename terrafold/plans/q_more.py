@@ -216,10 +216,10 @@ def layer_buildings(spark, d):
     return L.buildings_dated(years, D.vertices(spark), D.cells(spark, d))
 
 
-@register("layer_density", sql("pct zone", f", land AS (SELECT DISTINCT r, c FROM zone) SELECT round(sum(v/100.0*{A})/1e6,6) AS km2 FROM pct SEMI JOIN land USING (r,c) WHERE v<=100"))
+@register("layer_density", sql("pct zone", f", land AS (SELECT DISTINCT r, c FROM zone) SELECT round(coalesce(sum(v/100.0*{A}),0)/1e6,6) AS km2 FROM pct SEMI JOIN land USING (r,c) WHERE v<=100"))
 def layer_density(spark, d):
     land = P.rasterise(D.vertices(spark)).select("r", "c").distinct()
-    return L.headline(L.density_current(D.percents(spark, d).where("v <= 100"), land, 0), "percent", None)
+    return L.headline(L.density_current(D.percents(spark, d).where("v <= 100"), land, 0), "percent")
 
 
 @register("layer_trend", "SELECT band, round(sum(v::DOUBLE)/1e6,6) + 0.0 AS surface_km2 FROM (SELECT CAST(generate_subscripts(embedding,1)-1 AS INT) AS band, unnest(embedding) AS v FROM embeddings) GROUP BY 1")

@@ -211,19 +211,24 @@ def growth_report(spark, d):
 _CH = "ch AS (SELECT CASE WHEN r<100 THEN 'north' ELSE 'south' END AS g, list_extract([0,1,2,10,11,12], CAST(v%6+1 AS INT)) AS v FROM cell)"
 
 
-@register("a14_change_areas", sql("cell", f""", {_CH} SELECT g AS "group", """ + ", ".join(f"round(count(*) FILTER (WHERE v={k})*0.0004::DOUBLE,3) AS {n}_km2" for k, n in N.CHANGES.items()) + """, round(count(*) FILTER (WHERE v IN (10,2,11,12))*0.0004::DOUBLE,2) AS built_first_km2, round(count(*) FILTER (WHERE v IN (10,1,11,12))*0.0004::DOUBLE,2) AS built_last_km2,
-round(100*(count(*) FILTER (WHERE v=2)*0.0004::DOUBLE)/(count(*) FILTER (WHERE v IN (10,2,11,12))*0.0004::DOUBLE)/3,3) AS loss_pct_year, round(100*(count(*) FILTER (WHERE v=1)*0.0004::DOUBLE)/(count(*) FILTER (WHERE v IN (10,2,11,12))*0.0004::DOUBLE)/3,3) AS gain_pct_year FROM ch GROUP BY 1"""))
+_FIRST = "(count(*) FILTER (WHERE v IN (10,2,11,12))*0.0004::DOUBLE)"
+_RATE = lambda code: f"round(CASE WHEN {_FIRST}=0 THEN 'NaN'::DOUBLE ELSE 100*(count(*) FILTER (WHERE v={code})*0.0004::DOUBLE)/{_FIRST}/3 END,3)"
+
+
+@register("a14_change_areas", sql("cell", f""", {_CH} SELECT g AS "group", """ + ", ".join(f"round(count(*) FILTER (WHERE v={k})*0.0004::DOUBLE,3) AS {n}_km2" for k, n in N.CHANGES.items()) + f""", round({_FIRST},2) AS built_first_km2, round(count(*) FILTER (WHERE v IN (10,1,11,12))*0.0004::DOUBLE,2) AS built_last_km2,
+{_RATE(2)} AS loss_pct_year, {_RATE(1)} AS gain_pct_year FROM ch GROUP BY 1"""))
 def change_areas(spark, d):
     code = F.element_at(F.array(*[F.lit(k) for k in N.CHANGES]), (F.col("v") % 6 + 1).cast("int"))
     return N.change_areas(D.cells(spark, d).select(side().alias("group"), code.alias("v")), 0.0004, 3)
 
 
-@register("a17_density_properties", sql("pct cell2 cell", f"""SELECT round(sum(p.v/100.0::DOUBLE*{area('p.r')})/1e6,6) AS sealed_with_km2, round(coalesce(sum(p.v/100.0::DOUBLE*{area('p.r')}) FILTER (WHERE b.v IS NULL),0)/1e6,6) AS sealed_km2,
-round(avg(a.v) FILTER (WHERE a.v>0),6) AS mean_confidence, round(100.0*count(*) FILTER (WHERE a.v>0 AND a.v<100)/count(*) FILTER (WHERE a.v>0),4) AS low_pct
-FROM (SELECT * FROM pct WHERE v BETWEEN 1 AND 100) p LEFT JOIN cell2 b ON b.r=p.r AND b.c=p.c LEFT JOIN cell a ON a.r=p.r AND a.c=p.c"""))
+@register("a17_density_properties", sql("pct cell2 conf zone", f""", land AS (SELECT DISTINCT r, c FROM zone),
+t AS (SELECT z.r, coalesce(p.v,0) AS v, g.v AS green, s.v AS sure FROM land z LEFT JOIN pct p ON p.r=z.r AND p.c=z.c AND p.v<=100 LEFT JOIN cell2 g ON g.r=z.r AND g.c=z.c LEFT JOIN conf s ON s.r=z.r AND s.c=z.c AND s.v BETWEEN 1 AND 100)
+SELECT round(coalesce(sum(v/100.0::DOUBLE*{A}),0)/1e6,3) AS sealed_with_km2, round(coalesce(sum(v/100.0::DOUBLE*{A}) FILTER (WHERE green IS NULL),0)/1e6,3) AS sealed_km2,
+round(avg(sure),1) AS mean_confidence, round(100.0*count(*) FILTER (WHERE sure<80)/greatest(count(*),1),2) AS low_pct FROM t"""))
 def density_properties(spark, d):
-    """The first product's states stand for confidence, the second product's cells for greenhouses."""
-    return N.density_properties(D.percents(spark, d).where("v between 1 and 100"), D.cells2(spark, d), D.cells(spark, d), 100, None)
+    """The second product's cells stand for greenhouses."""
+    return N.density_properties(D.percents(spark, d), D.cells2(spark, d), D.confidences(spark, d), P.rasterise(D.vertices(spark)))
 
 
 @register("a22_with_building", sql("cell cell2", "SELECT CASE WHEN cell.v=255 THEN 'undated' ELSE 'dated' END AS kind, count(*) AS n, round(100.0*count(cell2.v)/count(*),4) AS with_pct FROM cell LEFT JOIN cell2 USING (r,c) GROUP BY 1"))

@@ -49,6 +49,14 @@ def percents(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.max(((F.col("l_quantity") * 5) % 120).cast("int")).alias("v"))
 
 
+def confidences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """r, c, v: a confidence in per cent, with codes above 100, on the second product's cells."""
+    return table(spark, sf_dir, "lineitem").groupBy(
+        ((F.col("l_suppkey") * 7919 + F.col("l_orderkey")) % HEIGHT).cast("int").alias("r"),
+        ((F.col("l_linenumber") * 31 + F.col("l_partkey")) % WIDTH).cast("int").alias("c"),
+    ).agg(F.min(((F.col("l_quantity") * 3 + F.col("l_linenumber")) % 130).cast("int")).alias("v"))
+
+
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """grp, key, total: cumulative order values per priority and year, with gaps and uneven ends."""
     o = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("grp"), F.year("o_orderdate").alias("key"), "o_totalprice")
@@ -73,6 +81,7 @@ SQL = {
     "cell": f"cell AS (SELECT CAST((l_orderkey*7919)%200 AS INT) AS r, CAST((l_partkey*104729)%200 AS INT) AS c, {_V} AS v FROM lineitem GROUP BY 1,2)",
     "cell2": f"cell2 AS (SELECT CAST((l_suppkey*7919+l_orderkey)%200 AS INT) AS r, CAST((l_linenumber*31+l_partkey)%200 AS INT) AS c, {_V} AS v FROM lineitem GROUP BY 1,2)",
     "pct": "pct AS (SELECT CAST((l_orderkey*7919)%200 AS INT) AS r, CAST((l_partkey*104729)%200 AS INT) AS c, max(CAST(trunc((l_quantity*5)%120) AS INT)) AS v FROM lineitem GROUP BY 1,2)",
+    "conf": "conf AS (SELECT CAST((l_suppkey*7919+l_orderkey)%200 AS INT) AS r, CAST((l_linenumber*31+l_partkey)%200 AS INT) AS c, min(CAST(trunc((l_quantity*3+l_linenumber)%130) AS INT)) AS v FROM lineitem GROUP BY 1,2)",
     "vert": "vert AS (SELECT * FROM (VALUES " + ",".join(f"('{z}',{k},{s},{x},{y})" for z, k, s, x, y in VERTICES) + ") AS t(zone, ring, seq, x, y))",
     "edge": "edge AS (SELECT zone, x::DOUBLE x1, y::DOUBLE y1, coalesce(lead(x) OVER w, first_value(x) OVER w)::DOUBLE x2, coalesce(lead(y) OVER w, first_value(y) OVER w)::DOUBLE y2 FROM vert WINDOW w AS (PARTITION BY zone, ring ORDER BY seq))",
     "series": "series AS (SELECT * FROM (SELECT grp, key, round(sum(s) OVER (PARTITION BY grp ORDER BY key), 2) AS total FROM (SELECT o_orderpriority AS grp, CAST(year(o_orderdate) AS INT) AS key, sum(o_totalprice) AS s FROM orders GROUP BY 1,2)) WHERE (key + length(grp)) % 3 != 0)",
