@@ -6,6 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from terrafold.functions import figures as Z
 from terrafold.functions import grid as G
 from terrafold.functions import text as X
 from terrafold.operators import analyses, cells, components, gates
@@ -161,11 +162,9 @@ def test_declarations_and_values(spark):
     got = {(r.doc_id, r.figure) for r in all_queries()["f10_typed_values"](spark, SF).collect()}
     assert want <= got and all(f == "3.5 km²" for _, f in got)
     js = spark.createDataFrame([("// 'no'\nconst a = 'x 5'; /* \"no\" */ b = `y`; [[[cog 'g' [[[end]]]",)], "t string")
-    assert js.select(X.quoted_strings(F.col("t"))).first()[0] == ["'x 5'", "`y`"]
-    pair = spark.createDataFrame([("<!-- [[[cog out(1) ]]] -->\n7 km²\n<!-- [[[end]]] -->",)], "t string").select(X.generated_pairs(F.col("t"))).first()[0][0]
+    assert js.select(Z.quoted_strings(F.col("t"))).first()[0] == ["'x 5'", "`y`"]
+    pair = spark.createDataFrame([("<!-- [[[cog out(1) ]]] -->\n7 km²\n<!-- [[[end]]] -->",)], "t string").select(Z.generated_pairs(F.col("t"))).first()[0][0]
     assert pair.code == "out(1)" and "7 km²" in pair.output and "end" not in pair.output
-    links = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("x", "y")], "path string, target string")
-    assert {r.path for r in X.import_closure(links, "a").collect()} == {"a", "b", "c"}
 
 
 def test_draws_are_orders(spark):
