@@ -33,18 +33,6 @@ def year_of(beginning: Column) -> Column:
     return F.when(y == 0, 0).otherwise(F.least(F.greatest(y, F.lit(1900)), F.lit(2099)))
 
 
-def building_records(text: DataFrame) -> DataFrame:
-    """year, condition, use, area per building element of GML text."""
-    one = text.select(F.explode(F.regexp_extract_all("text", F.lit(r"(?s)(<bu-ext2d:Building .*?</bu-ext2d:Building>)"), 1)).alias("b"))
-
-    def tag(name: str) -> Column:
-        return F.nullif(F.regexp_extract("b", rf"<[\w-]+:{name}[^>]*>([^<]*)<", 1), F.lit(""))
-
-    return one.select(
-        year_of(F.coalesce(tag("beginning"), F.lit(""))).alias("year"), tag("conditionOfConstruction").alias("condition"),
-        tag("currentUse").alias("use"), tag("value").cast("double").alias("area"))
-
-
 def survey_year(name: Column) -> Column:
     """The year in a file name; a name without one raises."""
     y = F.regexp_extract(name, r"((?:19|20)\d{2})", 1)

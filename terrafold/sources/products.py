@@ -119,17 +119,6 @@ def complete_zones(zones: DataFrame, expected: list[str]) -> DataFrame:
     return zones
 
 
-def buildings_of(text: DataFrame, code: str) -> DataFrame:
-    """code, year, beginning, ending, lifespan, condition, use, area, municipality of one feed's building elements."""
-    one = text.where(F.col("code") == code).select("code", F.explode(F.regexp_extract_all("text", F.lit(r"(?s)(<[\w-]+:Building\b.*?</[\w-]+:Building>)"), 1)).alias("b"))
-    tag = lambda name: F.nullif(F.regexp_extract("b", rf"<(?:[\w-]+:)?{name}\b[^>]*>([^<]*)<", 1), F.lit(""))
-    from terrafold.sources.feeds import year_of
-
-    return one.select(
-        "code", year_of(F.coalesce(tag("beginning"), F.lit(""))).alias("year"), tag("beginning").alias("beginning"), tag("end").alias("ending"), tag("beginLifespanVersion").alias("lifespan"),
-        tag("conditionOfConstruction").alias("condition"), tag("currentUse").alias("use"), tag("value").cast("double").alias("area"), F.substring("code", 1, 5).alias("municipality"))
-
-
 def extents(vertices: DataFrame, given: DataFrame) -> DataFrame:
     """code, box: the given extent (code, x0, y0, x1, y1), else that of the vertices (code, x, y), to six places."""
     own = vertices.groupBy("code").agg(F.min("x").alias("vx0"), F.min("y").alias("vy0"), F.max("x").alias("vx1"), F.max("y").alias("vy1"))

@@ -87,9 +87,6 @@ def test_tables_are_read_under_a_schema(spark, tmp_path):
         products.read_table(spark, str(tmp_path / "a.csv"), "island string, area double").collect()
     spark.createDataFrame([(0, 0, 1900, "mincoy", 0), (0, 1, 5, "bufa", 2000), (0, 1, 6, "bufa", 2001)], "r int, c int, v int, name string, year int").write.partitionBy("name", "year").parquet(str(tmp_path / "cells"))
     assert [tuple(r) for r in products.cells_of_year(spark, str(tmp_path / "cells"), "bufa", 2001).collect()] == [(0, 1, 6)]
-    text = "<bu:Building gml:id='1'><b:beginning>1985-01-01</b:beginning><b:end>2000</b:end><b:currentUse>res</b:currentUse><b:value uom='m2'>80</b:value></bu:Building><bu:Building><b:beginning>--01-01</b:beginning></bu:Building>"
-    got = products.buildings_of(spark.createDataFrame([("35001x", text), ("35002", text)], "code string, text string"), "35001x").collect()
-    assert [(r.year, r.ending, r.use, r.area, r.municipality) for r in got] == [(1985, "2000", "res", 80.0, "35001"), (0, None, None, None, "35001")]
 
 
 def test_sinks(spark, tmp_path):
