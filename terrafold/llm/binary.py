@@ -26,11 +26,11 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyarrow import fs
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrafold.llm.encode import encoder
-from terrafold.llm.ordering import limits, range_of
+from terrafold.llm.ordering import before, ranges
 from terrafold.llm.store import bounded, scratch, written
 
 FRAME_IDS, MOST_IDS = 1 << 16, 1 << 20
@@ -141,8 +141,7 @@ _MANIFEST = "part long, path string, n_ids long, n_docs long"
 def write(docs: DataFrame, root: str, path: str, end_id: int) -> DataFrame:
     """Write the files under root; one row per file: part, path, n_ids, n_docs (itself written)."""
     slim = bounded(docs).select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    bounds = limits(slim, "doc_id", ROWS_PER_FILE)
-    slim = slim.withColumn("part", range_of(F.col("doc_id"), bounds)).repartition("part").sortWithinPartitions("part", "doc_id", "text")
+    slim = ranges(slim, "doc_id", ROWS_PER_FILE).place(slim, "doc_id").repartition("part").sortWithinPartitions("part", "doc_id", "text")
 
     def files(batches):
         where, at = fs.FileSystem.from_uri(root)
@@ -153,11 +152,7 @@ def write(docs: DataFrame, root: str, path: str, end_id: int) -> DataFrame:
         def finish():
             w.close()
             out.close()
-            final = f"{at}/part-{part:08d}.zst"
-            if where.get_file_info(final).type != fs.FileType.NotFound:
-                where.delete_file(final)  # an earlier attempt of this task; not every file system renames onto a file
-            where.move(name, final)
-            made.append({"part": part, "path": f"{root}/part-{part:08d}.zst", "n_ids": w.total, "n_docs": len(w.docs)})
+            made.append({"part": part, "path": f"{root}/{name}", "n_ids": w.total, "n_docs": len(w.docs)})
 
         for b in batches:
             for k in range(0, b.num_rows, SUB_BATCH):
@@ -167,8 +162,9 @@ def write(docs: DataFrame, root: str, path: str, end_id: int) -> DataFrame:
                     if p != part:
                         if w is not None:
                             finish()
-                        part, name = p, f"{at}/.{uuid.uuid4().hex}"
-                        out = where.open_output_stream(name)
+                        # Each attempt writes a file of its own; the committed manifest names the one that counts.
+                        part, name = p, f"part-{p:010d}-{uuid.uuid4().hex}.zst"
+                        out = where.open_output_stream(f"{at}/{name}", compression=None)
                         w = Writer(out)
                     w.add(doc, np.concatenate([ids, end]))
         if w is not None:
@@ -184,11 +180,10 @@ _OUT = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa
 def read_back(manifest: DataFrame) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 of every document, from the files.
 
-    The running sum is over files: MAX_RANGES rows at most. Each file is dealt to one of as many
-    partitions by number, which adaptive execution leaves alone however short the manifest is.
+    The running sum is over files, block by block. Each file is dealt to one of as many partitions by
+    number, which adaptive execution leaves alone however short the manifest is.
     """
-    order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    placed = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(order), F.lit(0)))
+    placed = before(manifest, "n_ids", "base")
 
     def rows(batches):
         for b in batches:

@@ -19,7 +19,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrafold.llm.ordering import limits, range_of
+from terrafold.llm.ordering import following, ranges
+from terrafold.llm.store import written
 
 K = 128
 WORDS = 5
@@ -79,18 +80,20 @@ def with_next(docs: DataFrame) -> DataFrame:
     sees each row's successor, whatever the table's size. The last range is followed by the first row.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    bounds = limits(slim, "doc_id", ROWS_PER_RANGE)
+    made = ranges(slim, "doc_id", ROWS_PER_RANGE)
+    placed = made.place(slim, "doc_id")
     low = slim.agg(F.min("doc_id").alias("low"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
-    part = range_of(F.col("doc_id"), bounds)
-    placed = slim.select("doc_id", "text", part.alias("part"), F.lit(0).alias("ghost"))
     starts = slim.where(F.col("doc_id").isNull() if low.nulls else F.col("doc_id") == F.lit(low.low))
-    wrapped = starts.select("doc_id", "text", F.lit(len(bounds)).alias("part"), F.lit(2).alias("ghost"))
-    if not bounds:
-        return placed.union(wrapped)
-    first = docs.sparkSession.range(1).select(F.explode(F.expr(f"array({','.join(f'{b}L' for b in bounds)})")).alias("doc_id"))
-    first = F.broadcast(first)  # MAX_RANGES numbers at most
-    followers = slim.join(first, "doc_id", "left_semi").select("doc_id", "text", (part - 1).alias("part"), F.lit(1).alias("ghost"))
-    return placed.union(followers).union(wrapped)
+    own = placed.select("doc_id", "text", "part", F.lit(0).alias("ghost"))
+    if not made.first:
+        return own.union(starts.select("doc_id", "text", F.lit(0).cast("long").alias("part"), F.lit(2).alias("ghost")))
+    parts = written(placed.groupBy("part").agg(F.min("doc_id").alias("least")), "parts")
+    last = parts.agg(F.max("part")).first()[0]
+    links = written(following(parts, ["least"]).select("part", F.col("next_least").alias("doc_id")), "following")
+    if not made.deeper:
+        links = F.broadcast(links)  # MAX_RANGES rows of two numbers at most
+    followers = slim.join(links, "doc_id").select("doc_id", "text", "part", F.lit(1).alias("ghost"))
+    return own.union(followers).union(starts.select("doc_id", "text", F.lit(last).cast("long").alias("part"), F.lit(2).alias("ghost")))
 
 
 def edited_fingerprints(docs: DataFrame, k: int = K) -> DataFrame:

@@ -4,7 +4,8 @@ A source's target is its weight's share of all words, at most CAP times its own
 off goes to the other sources by weight. Complete epochs come first; the rest is drawn without
 replacement: each document has the exponential key -ln(u) / weight (u from a hash of the row), keys
 are sorted within the source, and documents are taken while the running sum of words stays within the
-rest. A second pass fills what is left with documents that fit into it.
+rest. A second pass fills what is left with documents that fit into it, and a last document of any size is
+taken if its source comes nearer to the target by it, the next one in the order of the keys.
 
 Running sums go by ranges of the key: sums of (source, range) first, then within one range, so no
 source is sorted in one task.
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrafold.llm.ordering import limits, range_of
+from terrafold.llm.ordering import ranges
 from terrafold.llm.store import repeated, written
 
 CAP = 3
@@ -52,49 +53,58 @@ def targets(sources: DataFrame, weights: tuple = WEIGHTS, cap: int = CAP) -> Dat
     return rows.select("source", "source_size", F.when(F.col("capped"), F.col("most")).otherwise(F.least("most", F.col("w") * F.coalesce(final["level"], F.lit(0.0)))).alias("target"))
 
 
+SAME = ["src", "doc_id", "size", "e"]
+
+
 def _running(rows: DataFrame) -> DataFrame:
-    """rows (src, e, size, ...) with before: the words of the source's rows with smaller keys."""
-    bounds = limits(rows, "e", ROWS_PER_RANGE)
-    rows = rows.withColumn("part", range_of(F.col("e"), bounds, "double"))
-    sums = rows.groupBy("src", "part").agg(F.sum("size").alias("words"))
+    """rows (SAME, copies, ...; distinct by SAME) with before: the words of the source's rows with smaller keys, all copies of them."""
+    rows = ranges(rows, "e", ROWS_PER_RANGE, "double").place(rows, "e").withColumn("words", F.col("size") * F.col("copies"))
+    sums = rows.groupBy("src", "part").agg(F.sum("words").alias("sum"))
     earlier = Window.partitionBy("src").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("src", "part", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("base"))
+    sums = sums.select("src", "part", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("base"))
     inside = Window.partitionBy("src", "part").orderBy("e", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    return rows.join(sums, ["src", "part"]).withColumn("before", F.col("base") + F.col("inner")).drop("part", "base", "inner")
+    rows = rows.withColumn("inner", F.coalesce(F.sum("words").over(inside), F.lit(0)))
+    return rows.join(sums, ["src", "part"]).withColumn("before", F.col("base") + F.col("inner")).drop("part", "base", "inner", "words")
 
 
 def draw(rows: DataFrame, weights: tuple = WEIGHTS, cap: int = CAP, seed: int = SEED) -> DataFrame:
-    """doc_id, size, source_size, target, times, taken. rows: doc_id, source, size, weight."""
+    """doc_id, source, size, source_size, target, times, taken. rows: doc_id, source, size, weight.
+
+    Equal rows differ in nothing but their number, so they are counted first, taken by number, and given
+    out again at the end.
+    """
     name = F.struct(F.col("source").isNull(), F.coalesce("source", F.lit("")))
     u = (F.shiftright(F.xxhash64(F.lit(seed), "doc_id", "source", "size"), 12) + F.lit(2.0**51) + 0.5) / F.lit(2.0**52)
-    keyed = written(rows.select("doc_id", "source", "size", F.xxhash64(name).alias("src"), (-F.log(u) / F.coalesce("weight", F.lit(1.0))).alias("e")), "keys")
-    sizes = keyed.groupBy("src").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))
+    keys = rows.select("doc_id", "source", "size", F.xxhash64(name).alias("src"), (-F.log(u) / F.coalesce("weight", F.lit(1.0))).alias("e"))
+    each = written(keys.groupBy(*SAME).agg(F.first("source").alias("source"), F.count("*").alias("copies")), "keys")
+    sizes = each.groupBy("src").agg(F.first("source").alias("source"), F.sum(F.col("size") * F.col("copies")).alias("source_size"))
     plan = targets(sizes.select("source", "source_size"), weights, cap)
     plan = written(plan.withColumn("src", F.xxhash64(name)).withColumn(
         "epochs", F.when(F.col("source_size") == 0, 0).otherwise(F.floor(F.col("target") / F.col("source_size")))).withColumn(
-        "rest", F.col("target") - F.col("epochs") * F.col("source_size")).drop("source"), "targets")
-    taken, left = None, keyed.select("doc_id", "src", "size", "e").where("size > 0")
+        "rest", F.col("target") - F.col("epochs") * F.col("source_size")), "targets")
+    taken, left = None, each.select(*SAME, "copies").where("size > 0")
     room = plan.select("src", F.col("rest").alias("room"))
     for k in range(PASSES):
         fits = left.join(room, "src").where(F.col("room") > 0)
         if k:
             fits = fits.where(F.col("size") <= F.col("room"))
-        last = F.col("before") + F.col("size") / 2 if k == PASSES - 1 else F.col("before") + F.col("size")
-        step = written(_running(fits).withColumn("chosen", last <= F.col("room")), "drawn")
-        got = step.where("chosen").select("doc_id", "src", "size", "e")
+        n = F.floor((F.col("room") - F.col("before")) / F.col("size"))
+        step = written(_running(fits).withColumn("got", F.greatest(F.lit(0), F.least(F.col("copies"), n)).cast("long")), f"pass-{k}").select(*SAME, "got")
+        got = step.where("got > 0")
         taken = got if taken is None else taken.union(got)
-        if k < PASSES - 1:
-            left = step.where("not chosen").select("doc_id", "src", "size", "e")
-            used = got.groupBy("src").agg(F.sum("size").alias("used"))
-            # Written: a table of one small row per source, whose size Spark knows when it plans the join.
-            room = written(room.join(used, "src", "left").select("src", (F.col("room") - F.coalesce("used", F.lit(0))).alias("room")), "room")
-    # Equal rows differ in nothing but their number: chosen ones are counted, and given out by position.
-    counts = taken.groupBy("src", F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "size", "e").agg(F.count("*").alias("chosen"))
-    own = Window.partitionBy("src", "id", "none", "size", "e").orderBy("doc_id")
-    ranked = keyed.withColumn("id", F.coalesce("doc_id", F.lit(0))).withColumn("none", F.col("doc_id").isNull()).withColumn("rank", F.row_number().over(own))
-    joined = ranked.join(counts, ["src", "id", "none", "size", "e"], "left").join(plan, "src")
-    times = F.col("epochs") + F.when(F.col("rank") <= F.col("chosen"), 1).otherwise(0)
+        # What is not taken stays, whether it was looked at or not.
+        both = left.select(*SAME, "copies").union(got.select(*SAME, -F.col("got")))
+        left = written(both.groupBy(*SAME).agg(F.sum("copies").alias("copies")).where("copies > 0"), f"left-{k}")
+        used = got.groupBy("src").agg(F.sum(F.col("size") * F.col("got")).alias("used"))
+        # Written: a table of one small row per source, whose size Spark knows when it plans the join.
+        room = written(room.join(used, "src", "left").select("src", (F.col("room") - F.coalesce("used", F.lit(0))).alias("room")), "room")
+    # One more of any size, if its source comes nearer to the target by it: the next one in the order of the keys.
+    nearer = left.join(room, "src").where(F.col("size") < 2 * F.col("room"))
+    last = nearer.groupBy("src").agg(F.min(F.struct("e", "doc_id", "size")).alias("next")).select("src", "next.doc_id", "next.size", "next.e", F.lit(1).cast("long"))
+    both = each.select(*SAME, "copies", F.lit(0).cast("long").alias("chosen")).union(taken.union(last).select(*SAME, F.lit(0).cast("long"), "got"))
+    counts = both.groupBy(*SAME).agg(F.sum("copies").alias("copies"), F.sum("chosen").alias("chosen"))
+    joined = counts.join(plan, "src").withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    times = F.col("epochs") + F.when(F.col("k") <= F.col("chosen"), 1).otherwise(0)
     return joined.select("doc_id", "source", "size", "source_size", "target", times.cast("int").alias("times"), (times * F.col("size")).cast("long").alias("taken"))
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrafold.llm.encode import encoder
-from terrafold.llm.ordering import limits, range_of
+from terrafold.llm.ordering import ranges
 from terrafold.llm.store import bounded
 
 SIZE = 4096
@@ -140,8 +140,7 @@ def sentence_ids(enc, end_id: int) -> np.ndarray:
 def pack(docs: DataFrame, path: str, end_id: int, size: int = SIZE) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     slim = bounded(docs).select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    bounds = limits(slim, "doc_id", ROWS_PER_STREAM)
-    slim = slim.withColumn("part", range_of(F.col("doc_id"), bounds)).repartition("part").sortWithinPartitions("part", "doc_id", "text")
+    slim = ranges(slim, "doc_id", ROWS_PER_STREAM).place(slim, "doc_id").repartition("part").sortWithinPartitions("part", "doc_id", "text")
 
     def pieces(batches):
         enc, stream = encoder(path), None

@@ -49,7 +49,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrafold.llm.ordering import limits, range_of
+from terrafold.llm.ordering import ranges
 from terrafold.llm.shingles import blocks
 from terrafold.llm.store import bounded, written
 
@@ -131,9 +131,8 @@ def draw(scored: DataFrame, per_cent: int = PER_CENT, rows_per_range: int = ROWS
     if cutoff is None:
         return scored.select(*same, null)
     chosen = fit.where(F.col("score") >= cutoff)
-    bounds = limits(chosen, "doc_id", rows_per_range)
-    part = F.when(F.col("doc_id").isNull(), len(bounds) + 1).otherwise(range_of(F.col("doc_id"), bounds))
-    each = written(chosen.groupBy(*same).agg(F.count("*").alias("copies")).withColumn("part", part), "drawn")
+    each = ranges(chosen, "doc_id", rows_per_range).place(chosen.groupBy(*same).agg(F.count("*").alias("copies")), "doc_id")
+    each = written(each.withColumn("part", F.when(F.col("doc_id").isNull(), F.lit(1 << 62)).otherwise(F.col("part"))), "drawn")
     earlier = Window.partitionBy("score").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = each.groupBy("score", "part").agg(F.sum("copies").alias("n")).select("score", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     starts = parts.join(F.broadcast(offsets), "score").select("score", "part", (F.col("above") + F.col("base")).alias("start"))  # offsets: distinct integer scores only

@@ -3,15 +3,17 @@
 import hashlib
 import math
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from terrafold.llm import binary, chat, counts, exact, fingerprints, language, licenses, mixing, near, packing, queries
+from terrafold.llm import binary, chat, counts, exact, fingerprints, language, licenses, mixing, near, ordering, packing, queries
 from terrafold.llm.encode import Encoder, vocabulary
 from terrafold.llm.ordering import limits, range_of
 from terrafold.llm.shingles import shingles, word_hashes
@@ -54,6 +56,50 @@ def test_ranges_hold_all_rows_in_order(spark):
     assert limits(df.where("k < 0"), "k", 10) == []
 
 
+@pytest.fixture
+def three_levels(monkeypatch):
+    """Ranges in levels on small tables."""
+    monkeypatch.setattr(ordering, "MAX_RANGES", 3)
+    monkeypatch.setattr(ordering, "FAN", 4)
+    monkeypatch.setattr(ordering, "BLOCK", 5)
+
+
+def test_ranges_in_three_levels(spark, three_levels):
+    df = spark.range(0, 5000).select((F.col("id") * F.col("id") - 1000).alias("k")).union(spark.range(7).select(F.lit(None).cast("long")))
+    made = ordering.ranges(df, "k", 100)
+    assert len(made.deeper) == 3 and len(made.first) == 2
+    parts = made.place(df, "k").groupBy("part").agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count("*").alias("n"))
+    listed = parts.orderBy("part").collect()
+    assert sum(r.n for r in listed) == 5007 and 30 < len(listed) <= 3 * 4**3 and max(r.n for r in listed) < 300
+    assert all(x.hi < y.lo for x, y in zip(listed, listed[1:], strict=False)) and made.place(df.where("k is null"), "k").first().part == 0
+    sums = {r.part: r.b for r in ordering.before(parts, "n", "b").collect()}
+    want, total = {}, 0
+    for r in listed:
+        want[r.part], total = total, total + r.n
+    assert sums == want
+    after = {r.part: r.next_lo for r in ordering.following(parts, ["lo"]).collect()}
+    assert after == {x.part: y.lo for x, y in zip(listed, listed[1:], strict=False)}
+    doubles = df.select((F.col("k") / 7).alias("k"))
+    assert ordering.ranges(doubles, "k", 100, "double").place(doubles, "k").select("part").distinct().count() > 30
+
+
+def test_operators_over_ranges_in_levels(spark, docs, three_levels, monkeypatch):
+    monkeypatch.setattr(fingerprints, "ROWS_PER_RANGE", 5)
+    monkeypatch.setattr(binary, "ROWS_PER_FILE", 5)
+    monkeypatch.setattr(mixing, "ROWS_PER_RANGE", 5)
+    texts = docs.text.tolist()
+    got = {r["doc_id"]: r for r in rows(queries.op2_fingerprints(spark, SF))}
+    changed = edited_texts(texts)
+    assert all(got[d]["edited_sha256"] == hashlib.sha256(changed[i].encode()).hexdigest() for i, d in enumerate(docs.doc_id)) and len(got) == len(texts)
+    back = sorted(rows(queries.op8_token_binary(spark, SF)), key=lambda r: r["doc_id"])
+    at = 0
+    for r in back:
+        assert r["start"] == at
+        at += r["n_tokens"]
+    assert [r["doc_id"] for r in back] == docs.doc_id.tolist()
+    check_mix(rows(queries.op10_mixing(spark, SF)))
+
+
 # -- op1 ------------------------------------------------------------------------------------------
 
 def test_rollup_is_idempotent_and_signed(spark):
@@ -232,6 +278,23 @@ def test_snapshots_collapse(spark):
     assert rows(chat.collapse(df.limit(0))) == []
 
 
+def test_turns_of_very_many_rows_are_split(spark):
+    """100,000 rows without conversation and turn, 20,000 equal ones among them, and a large turn between small ones."""
+    bare = spark.range(100_000).select(F.lit(None).cast("long").alias("conv_id"), F.lit(None).cast("long").alias("turn"), F.lit("user").alias("role"), F.concat(F.lit("text "), F.greatest("id", F.lit(20_000))).alias("text"))
+    some = spark.createDataFrame([(1, 0, "user", "a"), (1, 2, "user", "z"), *((1, 1, "user", f"m{k}") for k in range(300))], "conv_id long, turn long, role string, text string")
+    got = rows(chat.collapse(bare.union(some)))
+    assert max(r["n_rows"] for r in got) < 8 * chat.SEGMENT and sum(r["n_rows"] for r in got) == 100_302
+    lines = Counter(x for r in got if r["conv_id"] is None for x in r["rendered"].split("<|im_end|>\n") if x)
+    assert sum(lines.values()) == 100_000 and lines["<|im_start|>user\ntext 20000"] == 20_001 and len(lines) == 80_000 - 0
+    one = sorted((r for r in got if r["conv_id"] == 1), key=lambda r: (r["segment"], r["first_turn"], r["part"]))
+    texts = [x.split("\n")[1] for r in one for x in r["rendered"].split("<|im_end|>\n") if x]
+    assert texts[0] == "a" and texts[-1] == "z" and sorted(texts[1:-1]) == sorted(f"m{k}" for k in range(300))
+    again = rows(chat.collapse(bare.union(some).repartition(7)))
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    long = spark.createDataFrame([(5, 0, "user", LONG), (5, 1, "assistant", "y" * 1_000_000), (6, 0, "user", LONG)], "conv_id long, turn long, role string, text string")
+    assert [len(r["rendered"]) for r in rows(chat.collapse(long))] == [len(LONG) + 1_000_000 + len("<|im_start|>user\n<|im_end|>\n<|im_start|>assistant\n<|im_end|>\n")]
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_against_sql(spark, name):
     con = duckdb.connect()
@@ -639,6 +702,74 @@ def test_repeated_rows_are_mixed_one_by_one(spark):
     assert out == Counter({k: n for k, n in want.items() if n}) and 0 < want[1] % 20
 
 
+def spark_hash(*values):
+    """Spark's xxhash64 of columns: each value's bytes are hashed with the hash so far as seed, nulls change nothing."""
+    h = 42
+    for v, form in values:
+        if v is not None:
+            h = xxhash.xxh64_intdigest(v.encode() if form == "s" else struct.pack(form, v), seed=h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def brute_draw(docs, weight):
+    """(doc_id, source, size) -> times, by the definition: keys, order and prefix sums in plain Python; docs: doc_id, text, source."""
+    listed = [(d, s, len(re.findall("[^ \\t-\\r]+", t or ""))) for d, t, s in docs]
+    sizes = Counter()
+    for d, s, n in listed:
+        sizes[s] += n
+    target, out = brute_targets(sizes), Counter()
+    for s in sizes:
+        epochs = math.floor(target[s] / sizes[s]) if sizes[s] else 0
+        room = target[s] - epochs * sizes[s]
+        key = lambda d, s, n: -math.log(((spark_hash((20, "<i"), (d, "<q"), (s, "s"), (n, "<q")) >> 12) + 2.0**51 + 0.5) / 2.0**52) / weight.get(d, 1.0)
+        own = sorted((key(*x), x[0] is not None, x[0] or 0, x[2], x) for x in listed if x[1] == s)
+        left, taken = [r for r in own if r[3]], []
+        for fits in (lambda n, room: True, lambda n, room: n <= room):
+            before, rest = 0, []
+            for r in left:
+                if not fits(r[3], room):
+                    rest.append(r)
+                    continue
+                (taken if room > 0 and before + r[3] <= room else rest).append(r)
+                before += r[3]
+            room -= sum(r[3] for r in left) - sum(r[3] for r in rest)
+            left = rest
+        taken += next(([r] for r in left if r[3] < 2 * room), [])
+        for r in own:
+            out[r[4]] += epochs
+        for r in taken:
+            out[r[4]] += 1
+    return out
+
+
+def test_mix_equals_a_brute_force_draw(spark):
+    at = "/root/testdata/sf0.01"
+    docs = duckdb.sql(f"select doc_id, text, source from '{at}/documents.parquet'").fetchall()
+    labels = duckdb.sql(f"select doc_id, max(quality) as q from '{at}/labels.parquet' group by doc_id").fetchall()
+    want = brute_draw(docs, {d: {1: 2.0, 0: 0.5}.get(q, 1.0) for d, q in labels})
+    got = Counter()
+    for r in rows(queries.op10_mixing(spark, at)):
+        got[r["doc_id"], r["source"], r["size"]] += r["taken"] // max(1, r["size"]) if r["size"] else 0
+    assert {k: n for k, n in got.items() if n} == {k: n for k, n in want.items() if n and k[2]}
+
+
+def test_a_last_document_brings_the_sum_nearer(spark):
+    """One document of 100 words against a target of 66.7: taken once (33.3 off), not left out (66.7 off)."""
+    words = lambda n: "w " * n
+    docs = spark.createDataFrame([(1, words(100), "a")] + [(k, words(50), "b") for k in range(2, 4)], "doc_id long, text string, source string")
+    got = rows(mixing.mix(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int")))
+    one = next(r for r in got if r["doc_id"] == 1)
+    assert one["target"] == pytest.approx(200 / 3) and one["taken"] == 100
+    assert queries.op10_mixing(spark, SF).columns[:5] == ["doc_id", "size", "source_size", "target", "taken"]
+
+
+def test_very_many_equal_rows_are_mixed(spark):
+    docs = spark.range(100_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("one two three").alias("text"), F.lit("a").alias("source")).union(spark.createDataFrame([(1, "x " * 90_000, "b")], "doc_id long, text string, source string"))
+    got = mixing.mix(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    sums = {r.source: r for r in got.groupBy("source").agg(F.count("*").alias("n"), F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()}
+    assert sums["a"].n == 100_000 and abs(sums["a"].taken - sums["a"].target) <= 1.5 and sums["a"].target == 130_000
+
+
 def test_better_documents_are_drawn_more_often(spark):
     df = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.lit(1).cast("long").alias("size"), F.when(F.col("id") % 2 == 0, 2.0).otherwise(0.5).alias("weight"))
     df = df.union(spark.range(4000, 4100).select("id", F.lit("b"), F.lit(100).cast("long"), F.lit(1.0)))
