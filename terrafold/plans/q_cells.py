@@ -182,15 +182,17 @@ def compact_only(spark, d):
     return K.compact_only(D.cells(spark, d).select("r", "c"))
 
 
-@register("rasterise_oldest", sql("zone", """, y AS (SELECT zone, CASE zone WHEN 'tri' THEN 80 WHEN 'box' THEN 255 ELSE 91 END AS v FROM (SELECT DISTINCT zone FROM vert)) SELECT r, c, min(v) AS v FROM zone JOIN y USING (zone) GROUP BY 1,2"""))
+@register("rasterise_oldest", sql("parcel", "SELECT r, c, CAST(min(CASE WHEN k%7=0 THEN 255 ELSE 80+k%20 END) AS INT) AS v FROM parcel GROUP BY 1,2"))
 def rasterise_oldest(spark, d):
-    years = spark.createDataFrame([("tri", 80), ("box", 255), ("ring", 91)], "zone string, v int")
-    return P.year_first_built(years, D.vertices(spark))
+    """A polygon per supplier, some undated; where they overlap the oldest date stands."""
+    k = F.col("s_suppkey")
+    years = D.table(spark, d, "supplier").select(F.concat(F.lit("p"), k.cast("string")).alias("zone"), F.when(k % 7 == 0, 255).otherwise(80 + k % 20).cast("int").alias("v"))
+    return P.year_first_built(years, D.parcels(spark, d))
 
 
-@register("rasterise_binary", sql("zone", "SELECT DISTINCT r, c FROM zone"))
+@register("rasterise_binary", sql("parcel", "SELECT DISTINCT r, c FROM parcel"))
 def rasterise_binary(spark, d):
-    return P.rasterise(D.vertices(spark)).select("r", "c").distinct()
+    return P.rasterise(D.parcels(spark, d)).select("r", "c").distinct()
 
 
 _BOX = "SELECT s_suppkey AS id, (s_suppkey*37)%100 AS x0, (s_suppkey*37)%100+(s_suppkey%5) AS x1, (s_suppkey*53)%100 AS y0, (s_suppkey*53)%100+(s_suppkey%7) AS y1 FROM supplier"

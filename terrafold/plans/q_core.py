@@ -54,9 +54,9 @@ def zone_series_by_year(spark, d):
     return every.join(hist, ["zone", "year"], "left").select("zone", "year", G.km2(run).alias("built_km2"))
 
 
-@register("zone_span_area", sql("zone", f"SELECT zone, count(*) pixels, round(sum({A})/1e6,6) km2 FROM zone GROUP BY 1"))
+@register("zone_span_area", sql("parcel", f"SELECT zone, count(*) pixels, round(sum({A})/1e6,6) km2 FROM parcel GROUP BY 1"))
 def zone_span_area(spark, d):
-    s = P.spans(D.vertices(spark))
+    s = P.spans(D.parcels(spark, d))
     return s.groupBy("zone").agg(F.sum(F.col("c1") - F.col("c0") + 1).cast("long").alias("pixels"), G.km2(F.sum((F.col("c1") - F.col("c0") + 1) * G.row_area(F.col("r")))).alias("km2"))
 
 
@@ -199,11 +199,13 @@ def archipelago_stats(spark, d):
     return last.agg(F.round(F.sum("last"), 2).alias("total"), F.min("first_key").alias("first_key"))
 
 
-@register("pixel_facts", f"SELECT CAST(lat AS INT) AS lat, round({D.PX}*111132*{D.PX}*111320*cos(radians(lat)),6) m2, round({D.PX}*111320*cos(radians(lat)),6) width_m, round(100*(100/({D.PX}*111132*{D.PX}*111320*cos(radians(lat)))-1),6) overstated_pct FROM range(27,30) t(lat)")
+@register("pixel_facts", f"WITH t AS (SELECT c_custkey AS id, 27 + (c_custkey % 2000) / 1000.0::DOUBLE AS lat FROM customer) SELECT id, round({D.PX}*111132*{D.PX}*111320*cos(radians(lat)),6) m2, round({D.PX}*111320*cos(radians(lat)),6) width_m, round(100*(100/({D.PX}*111132*{D.PX}*111320*cos(radians(lat)))-1),6) overstated_pct FROM t")
 def pixel_facts(spark, d):
+    """What a pixel measures where each customer is, and by how much a nominal one overstates it."""
     lat = F.col("lat")
     m2 = G.pixel_area(lat)
-    return spark.range(27, 30).select(F.col("id").cast("int").alias("lat")).select("lat", F.round(m2, 6).alias("m2"), F.round(F.lit(G.PIXEL * G.EAST_M) * F.cos(F.radians(lat)), 6).alias("width_m"), F.round(100 * (100 / m2 - 1), 6).alias("overstated_pct"))
+    t = D.table(spark, d, "customer").select(F.col("c_custkey").alias("id"), (27 + (F.col("c_custkey") % 2000) / 1000.0).alias("lat"))
+    return t.select("id", F.round(m2, 6).alias("m2"), F.round(F.lit(G.PIXEL * G.EAST_M) * F.cos(F.radians(lat)), 6).alias("width_m"), F.round(100 * (100 / m2 - 1), 6).alias("overstated_pct"))
 
 
 @register("snapped_boxes", f"""SELECT c_custkey, CAST(floor((x0+180.00001488697754)/{D.PX}) AS BIGINT) AS first, CAST(ceil((x1+180.00001488697754)/{D.PX}) - floor((x0+180.00001488697754)/{D.PX}) AS BIGINT) AS n
@@ -230,9 +232,11 @@ def interpolated_area(spark, d):
     return D.cells(spark, d).select("r").distinct().select("r", F.round(G.interpolated([80, 82, 84, 86], 0.0, 50.0, F.col("r").cast("double")), 6).alias("m2"))
 
 
-@register("row_areas", f"SELECT CAST(r AS INT) AS r, round({area('r')},6) m2 FROM range(200) t(r)")
+@register("row_areas", sql("cell", f"SELECT r, round({area('r')},6) m2, round(count(*)*{area('r')},6) built_m2 FROM cell GROUP BY r"))
 def row_areas(spark, d):
-    return spark.range(200).select(F.col("id").cast("int").alias("r")).select("r", F.round(G.row_area(F.col("r")), 6).alias("m2"))
+    """The pixel of every row that has cells, and what is built in the row."""
+    m2 = G.row_area(F.col("r"))
+    return D.cells(spark, d).groupBy("r").agg(F.count("*").alias("n")).select("r", F.round(m2, 6).alias("m2"), F.round(F.col("n") * m2, 6).alias("built_m2"))
 
 
 @register("render_classes", sql("cell", "SELECT r, c, CASE WHEN v=255 THEN 'undated' WHEN v+1899<1996 THEN 'before' WHEN v+1899>1999 THEN 'after' ELSE 'window' END AS class FROM cell"))

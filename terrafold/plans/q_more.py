@@ -58,12 +58,18 @@ def overall_accuracy(spark, d):
     return S.overall(points(spark, d), strata(spark))
 
 
-@register("sample_design", """WITH s AS (SELECT *, km2/sum(km2) OVER () AS w, sqrt(e*(1-e)) AS s FROM (VALUES ('built_before_2015',300.0::DOUBLE,0.9::DOUBLE),('new_2015_2024',25.0::DOUBLE,0.6::DOUBLE),('not_built',7000.0::DOUBLE,0.99::DOUBLE)) t(stratum,km2,e)),
+@register("sample_design", sql("cell", f"""
+, g AS (SELECT CASE WHEN v=255 THEN 'undated' WHEN v<=96 THEN 'built_before' ELSE 'new' END AS stratum, sum({A})/1e6 AS km2 FROM cell GROUP BY 1),
+s AS (SELECT *, km2/sum(km2) OVER () AS w, sqrt(e*(1-e)) AS s FROM (SELECT stratum, km2, CASE stratum WHEN 'undated' THEN 0.99::DOUBLE WHEN 'new' THEN 0.6::DOUBLE ELSE 0.9::DOUBLE END AS e FROM g)),
 n AS (SELECT stratum, km2, w, ceil(pow(sum(w*s) OVER ()/(1.0::DOUBLE/100/1.96),2)) AS n FROM s),
-u AS (SELECT stratum, km2, n::BIGINT AS n_formula, greatest(round_even(n*w,0),100)::BIGINT AS usable FROM n) SELECT *, ceil(usable/0.8)::BIGINT AS draw FROM u""")
+u AS (SELECT stratum, round(km2,6) AS km2, n::BIGINT AS n_formula, greatest(round_even(n*w,0),100)::BIGINT AS usable FROM n) SELECT *, ceil(usable/0.8)::BIGINT AS draw FROM u"""))
 def sample_design(spark, d):
-    rows = [("built_before_2015", 300.0, 0.9), ("new_2015_2024", 25.0, 0.6), ("not_built", 7000.0, 0.99)]
-    return S.design(spark.createDataFrame(rows, "stratum string, km2 double, expected double"))
+    """Strata of the mapped cells, by what the map says of them."""
+    v = F.col("v")
+    kind = F.when(v == 255, "undated").when(v <= 96, "built_before").otherwise("new")
+    strata = D.cells(spark, d).groupBy(kind.alias("stratum")).agg((F.sum(G.row_area(F.col("r"))) / 1e6).alias("km2"))
+    expected = F.when(F.col("stratum") == "undated", 0.99).when(F.col("stratum") == "new", 0.6).otherwise(0.9)
+    return S.design(strata.withColumn("expected", expected)).withColumn("km2", F.round("km2", 6))
 
 
 @register("stratified_draw")

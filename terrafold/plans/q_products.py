@@ -58,11 +58,12 @@ def epoch_tiles(spark, d):
     return R.all_of([R.epoch_tiles(boxes(spark, d), e) for e in R.EPOCHS])
 
 
-@register("s4_tile_boxes", "SELECT CAST(r AS INT) AS row, CAST(c AS INT) AS col, round(-180.00791656502537::DOUBLE+10*(c-1),9) AS lon_min, round(89.09958341912107::DOUBLE-10*(r-1)-10,9) AS lat_min, round(-180.00791656502537::DOUBLE+10*c,9) AS lon_max, round(89.09958341912107::DOUBLE-10*(r-1),9) AS lat_max FROM range(5,9) a(r), range(15,19) b(c)")
+@register("s4_tile_boxes", "SELECT r AS row, c AS col, n, round(-180.00791656502537::DOUBLE+10*(c-1),9) AS lon_min, round(89.09958341912107::DOUBLE-10*(r-1)-10,9) AS lat_min, round(-180.00791656502537::DOUBLE+10*c,9) AS lon_max, round(89.09958341912107::DOUBLE-10*(r-1),9) AS lat_max FROM (SELECT CAST(1 + c_custkey % 18 AS INT) AS r, CAST(1 + c_nationkey % 36 AS INT) AS c, count(*) AS n FROM customer GROUP BY 1, 2)")
 def tile_boxes(spark, d):
-    t = spark.range(16).select((F.floor(F.col("id") / 4) + 5).cast("int").alias("row"), (F.col("id") % 4 + 15).cast("int").alias("col"))
-    box = t.select("row", "col", *R.tile_box(F.col("row"), F.col("col")))
-    return box.select("row", "col", *[F.round(n, 9).alias(n) for n in ("lon_min", "lat_min", "lon_max", "lat_max")])
+    """The boxes of all tiles that hold a customer."""
+    t = D.table(spark, d, "customer").groupBy((1 + F.col("c_custkey") % 18).cast("int").alias("row"), (1 + F.col("c_nationkey") % 36).cast("int").alias("col")).agg(F.count("*").alias("n"))
+    box = t.select("row", "col", "n", *R.tile_box(F.col("row"), F.col("col")))
+    return box.select("row", "col", "n", *[F.round(n, 9).alias(n) for n in ("lon_min", "lat_min", "lon_max", "lat_max")])
 
 
 @register("s8_described", sql("cell", "SELECT max(r)-min(r)+1 AS rows, max(c)-min(c)+1 AS columns, count(*) AS cells, min(v) AS least, max(v) AS most FROM cell"))
@@ -76,9 +77,12 @@ def distinct_files(spark, d):
     return R.distinct_files(s.select(F.concat(F.lit("order"), F.col("s_suppkey") % 3, F.lit("/"), "n_name", F.lit(".tif")).alias("path")))
 
 
-@register("s9_products", "SELECT * FROM (VALUES " + ",".join(f"('{k}',{v[0]},{v[1]},'{v[2]}','{v[3]}')" for k, v in R.PRODUCTS.items()) + ") t(name, nodata, resolution_m, kind, measure)")
+@register("s9_products", sql("pct", ", p AS (SELECT * FROM (VALUES " + ",".join(f"('{k}',{v[0]},{v[1]},'{v[2]}','{v[3]}')" for k, v in R.PRODUCTS.items()) + ") t(name, nodata, resolution_m, kind, measure)), h AS (SELECT v, count(*) AS n FROM pct GROUP BY 1) SELECT p.*, CAST(sum(n) FILTER (WHERE v <> nodata) AS BIGINT) AS valid FROM p, h GROUP BY ALL"))
 def products(spark, d):
-    return R.registry(spark)
+    """The registry, and how many cells of a table are data under each product's no-data code; values meet products by their counts."""
+    counts = F.broadcast(D.percents(spark, d).groupBy("v").agg(F.count("*").alias("n")))  # one row per code
+    registry = R.registry(spark)
+    return registry.join(counts, F.col("v") != F.col("nodata"), "left").groupBy(*registry.columns).agg(F.sum("n").alias("valid"))
 
 
 @register("s10_projected_windows")
@@ -99,10 +103,13 @@ def complete_zones(spark, d):
     return R.complete_zones(zones, [r.name for r in zones.orderBy("name").limit(8).collect()])
 
 
-@register("s18_extents", sql("vert", "SELECT zone AS code, round(CASE zone WHEN 'tri' THEN 1.5 ELSE min(x) END,6)::DOUBLE AS x0, round(CASE zone WHEN 'tri' THEN 2.5 ELSE min(y) END,6)::DOUBLE AS y0, round(CASE zone WHEN 'tri' THEN 3.5 ELSE max(x) END,6)::DOUBLE AS x1, round(CASE zone WHEN 'tri' THEN 4.5 ELSE max(y) END,6)::DOUBLE AS y1 FROM vert GROUP BY 1"))
+@register("s18_extents", """SELECT 'p' || s_suppkey AS code, CASE WHEN s_suppkey%4=0 THEN s_suppkey/8.0::DOUBLE ELSE (s_suppkey*53)%170 END::DOUBLE AS x0, CASE WHEN s_suppkey%4=0 THEN 1.5 ELSE (s_suppkey*37)%180 END::DOUBLE AS y0,
+CASE WHEN s_suppkey%4=0 THEN s_suppkey/4.0::DOUBLE ELSE (s_suppkey*53)%170+6+s_suppkey%11 END::DOUBLE AS x1, CASE WHEN s_suppkey%4=0 THEN 2.5 ELSE (s_suppkey*37)%180+4+s_suppkey%9 END::DOUBLE AS y1 FROM supplier""")
 def extents(spark, d):
-    given = spark.createDataFrame([("tri", 1.5, 2.5, 3.5, 4.5)], "code string, x0 double, y0 double, x1 double, y1 double")
-    return R.extents(D.vertices(spark).select(F.col("zone").alias("code"), "x", "y"), given)
+    """Every parcel's box, a fourth of them from a table of given extents."""
+    k = F.col("s_suppkey")
+    given = D.table(spark, d, "supplier").where(k % 4 == 0).select(F.concat(F.lit("p"), k.cast("string")).alias("code"), (k / 8.0).alias("x0"), F.lit(1.5).alias("y0"), (k / 4.0).alias("x1"), F.lit(2.5).alias("y1"))
+    return R.extents(D.parcels(spark, d).select(F.col("zone").alias("code"), "x", "y"), given)
 
 
 @register("s27_json_properties", "SELECT event_id, CAST(props->>'$.k' AS BIGINT) AS k FROM events")
@@ -372,9 +379,14 @@ def _grids(spark):
     return spark.createDataFrame(_GRIDS, "island string, a double, c double, e double, f double, height int, width int")
 
 
-@register("u3_shared_grid", "WITH g AS (SELECT * FROM (VALUES " + ",".join(f"('{g[0]}',{g[2]}::DOUBLE,{g[4]}::DOUBLE,{g[5]},{g[6]})" for g in _GRIDS) + ") t(island,c,f,h,w)), p AS (SELECT island, CAST(round((max(f) OVER ()-f)/0.25) AS INT) AS row, CAST(round((c-min(c) OVER ())/0.25) AS INT) AS col, h, w FROM g) SELECT island, row, col, max(row+h) OVER () AS height, max(col+w) OVER () AS width FROM p")
+@register("u3_shared_grid", "WITH g AS (SELECT 'i' || s_suppkey AS island, CAST(s_suppkey % 97 AS INT) AS x, CAST(s_suppkey * 7 % 89 AS INT) AS y, CAST(5 + s_suppkey % 6 AS INT) AS h, CAST(4 + s_suppkey % 8 AS INT) AS w FROM supplier), p AS (SELECT island, CAST(y - min(y) OVER () AS INT) AS row, CAST(x - min(x) OVER () AS INT) AS col, h, w FROM g) SELECT island, row, col, CAST(max(row+h) OVER () AS INT) AS height, CAST(max(col+w) OVER () AS INT) AS width FROM p")
 def shared_grid(spark, d):
-    return C.shared_grid(_grids(spark))
+    """A grid per supplier, all on one lattice of quarter degrees."""
+    k = F.col("s_suppkey")
+    grids = D.table(spark, d, "supplier").select(
+        F.concat(F.lit("i"), k.cast("string")).alias("island"), F.lit(0.25).alias("a"), (-18.0 + 0.25 * (k % 97)).alias("c"), F.lit(-0.25).alias("e"), (29.0 - 0.25 * (k * 7 % 89)).alias("f"),
+        (5 + k % 6).cast("int").alias("height"), (4 + k % 8).cast("int").alias("width"))
+    return C.shared_grid(grids)
 
 
 @register("k2_placed_mosaic", """WITH p AS (SELECT l_linenumber AS piece, CASE l_linenumber%3 WHEN 0 THEN 'west' WHEN 1 THEN 'east' ELSE 'mid' END AS island, CAST(l_orderkey%30 AS INT) AS r, CAST(l_partkey%30 AS INT) AS c, max(CAST(trunc(l_quantity) AS INT)) AS v FROM lineitem GROUP BY 1,2,3,4),
@@ -529,6 +541,8 @@ def presence(spark, d):
     return R.presence(s.select("key"), s.where("k < 2").select("key", (F.col("k") == 0).alias("found")))
 
 
-@register("h26_zone_counts", sql("vert", "SELECT zone AS file, count(*) AS features FROM vert GROUP BY 1"))
+@register("h26_zone_counts", "SELECT 'zones-' || s_nationkey AS file, count(*) AS features FROM supplier GROUP BY 1")
 def zone_counts(spark, d):
-    return R.zone_counts(D.vertices(spark).withColumnRenamed("zone", "file"))
+    """Parcels by the file that they would be in, one per nation."""
+    files = D.table(spark, d, "supplier").select(F.concat(F.lit("p"), F.col("s_suppkey").cast("string")).alias("zone"), F.concat(F.lit("zones-"), F.col("s_nationkey").cast("string")).alias("file"))
+    return R.zone_counts(D.parcels(spark, d).select("zone").distinct().join(files, "zone"))

@@ -23,6 +23,15 @@ def vertices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(VERTICES, "zone string, ring int, seq int, x double, y double")
 
 
+def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """zone, ring, seq, x, y: one four-sided polygon per supplier, its left edge slanted."""
+    k = F.col("s_suppkey")
+    x0, y0, h, w, lean = (k * 53) % 170, (k * 37) % 180, 4 + k % 9, 6 + k % 11, k % 5
+    corners = F.array(*[F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")) for x, y in ((x0, y0), (x0 + lean, y0 + h), (x0 + w, y0 + h), (x0 + w, y0))])
+    each = table(spark, sf_dir, "supplier").select(F.concat(F.lit("p"), k.cast("string")).alias("zone"), F.lit(0).alias("ring"), F.posexplode(corners).alias("seq", "p"))
+    return each.select("zone", "ring", "seq", "p.x", "p.y")
+
+
 def _state() -> F.Column:
     return F.when(F.col("l_returnflag") == "R", 255).otherwise(F.year("l_shipdate") - 1899).cast("int")
 
@@ -83,6 +92,8 @@ SQL = {
     "pct": "pct AS (SELECT CAST((l_orderkey*7919)%200 AS INT) AS r, CAST((l_partkey*104729)%200 AS INT) AS c, max(CAST(trunc((l_quantity*5)%120) AS INT)) AS v FROM lineitem GROUP BY 1,2)",
     "conf": "conf AS (SELECT CAST((l_suppkey*7919+l_orderkey)%200 AS INT) AS r, CAST((l_linenumber*31+l_partkey)%200 AS INT) AS c, min(CAST(trunc((l_quantity*3+l_linenumber)%130) AS INT)) AS v FROM lineitem GROUP BY 1,2)",
     "vert": "vert AS (SELECT * FROM (VALUES " + ",".join(f"('{z}',{k},{s},{x},{y})" for z, k, s, x, y in VERTICES) + ") AS t(zone, ring, seq, x, y))",
+    "plot": "plot AS (SELECT s_suppkey AS k, 'p' || s_suppkey AS zone, (s_suppkey*53)%170 AS x0, (s_suppkey*37)%180 AS y0, 4+s_suppkey%9 AS h, 6+s_suppkey%11 AS w, s_suppkey%5 AS lean FROM supplier)",
+    "parcel": "parcel AS (SELECT k, zone, CAST(r AS INT) AS r, CAST(c AS INT) AS c FROM (SELECT *, unnest(range(CAST(ceil(x0+(r+0.5::DOUBLE-y0)*lean/h-0.5::DOUBLE) AS BIGINT), x0+w)) AS c FROM (SELECT *, unnest(range(y0, y0+h)) AS r FROM plot)))",
     "edge": "edge AS (SELECT zone, x::DOUBLE x1, y::DOUBLE y1, coalesce(lead(x) OVER w, first_value(x) OVER w)::DOUBLE x2, coalesce(lead(y) OVER w, first_value(y) OVER w)::DOUBLE y2 FROM vert WINDOW w AS (PARTITION BY zone, ring ORDER BY seq))",
     "series": "series AS (SELECT * FROM (SELECT grp, key, round(sum(s) OVER (PARTITION BY grp ORDER BY key), 2) AS total FROM (SELECT o_orderpriority AS grp, CAST(year(o_orderdate) AS INT) AS key, sum(o_totalprice) AS s FROM orders GROUP BY 1,2)) WHERE (key + length(grp)) % 3 != 0)",
     "epoch": "epoch AS (SELECT user_id, CAST(min(floor((day(ts)-1)/1.5)+1) AS INT) AS epoch FROM events GROUP BY 1)",
@@ -98,7 +109,7 @@ def area(row: str = "r") -> str:
 INSIDE = """(SELECT count(*) FROM edge e WHERE e.zone = z.zone AND least(e.y1,e.y2) <= g.r+0.5 AND greatest(e.y1,e.y2) > g.r+0.5
  AND e.x1 + (g.r+0.5-e.y1)*(e.x2-e.x1)/(e.y2-e.y1) <= g.c+0.5) % 2 = 1"""
 SQL["zone"] = f"zone AS (SELECT z.zone, g.r, g.c FROM (SELECT DISTINCT zone FROM vert) z, grid g WHERE {INSIDE})"
-_NEEDS = {"edge": ["vert"], "zone": ["vert", "edge", "grid"]}
+_NEEDS = {"parcel": ["plot"], "edge": ["vert"], "zone": ["vert", "edge", "grid"]}
 
 
 def sql(names: str, body: str) -> str:
