@@ -7,6 +7,7 @@ from terrafold.functions import grid as G
 from terrafold.operators import analyses as N
 from terrafold.operators import cells as C
 from terrafold.operators import components as K
+from terrafold.operators import records as V
 from terrafold.operators import spans as P
 from terrafold.plans.registry import register
 from terrafold.sources import derived as D
@@ -253,6 +254,37 @@ def classes_around(spark, d):
     return near.join(D.cells(spark, d), ["r", "c"]).groupBy("id").agg(F.countDistinct("v").alias("classes"), F.min("v").alias("oldest"))
 
 
+_CLAIM = lambda v: f"CASE WHEN {v} IS NULL THEN 'not_built' WHEN {v}=255 THEN 'undated' WHEN {v}<=97 THEN 'built_before_2015' ELSE 'new_2015_2024' END"
+
+
+@register("tolerance_verdicts", sql("cell cell2", f""", {_PTS}, q AS (SELECT p.id, p.r, p.c, {_CLAIM('a.v')} AS stratum, CASE WHEN b.v=255 THEN NULL ELSE {_CLAIM('b.v')} END AS reference FROM p LEFT JOIN cell a ON a.r=p.r AND a.c=p.c LEFT JOIN cell2 b ON b.r=p.r AND b.c=p.c),
+w AS (SELECT id, count(*) AS n, max(CASE WHEN {_CLAIM('v')}=reference THEN 1 ELSE 0 END) AS hit FROM q JOIN cell ON abs(cell.r-q.r)<=1 AND abs(cell.c-q.c)<=1 GROUP BY 1)
+SELECT id, stratum, reference, CASE WHEN stratum<>'undated' AND reference<>stratum AND (coalesce(hit,0)=1 OR reference='not_built' AND coalesce(n,0)<9) THEN stratum ELSE reference END AS tolerated FROM q LEFT JOIN w USING (id) WHERE reference IS NOT NULL"""))
+def tolerance_verdicts(spark, d):
+    """The first product is the map, the second what the points were found to be; undated there is not settled."""
+    a, b = two(spark, d)
+    p = points(spark, d).select("id", "r", "c").join(a, ["r", "c"], "left").select("id", "r", "c", V.claim(F.col("v"), 1996).alias("stratum"))
+    found = p.join(b, ["r", "c"], "left").select("id", "r", "c", "stratum", F.when(F.coalesce("v", F.lit(0)) != 255, V.claim(F.col("v"), 1996)).alias("reference"))
+    return V.verdicts(found, a, 1, 1996)
+
+
+_LABEL = lambda k: f"CASE ({k})%4 WHEN 0 THEN 'built' WHEN 1 THEN 'empty' WHEN 2 THEN 'unsure' END"
+
+
+@register("label_changes", f"""WITH x AS (SELECT o_orderkey AS id, {_LABEL('o_orderkey')} AS ae, {_LABEL('o_orderkey//4')} AS al, {_LABEL('o_orderkey + o_custkey%2')} AS be, {_LABEL('o_orderkey//4')} AS bl,
+CASE o_orderkey%5 WHEN 0 THEN 'built_before_2015' WHEN 1 THEN 'undated' WHEN 2 THEN 'new_2015_2024' WHEN 3 THEN 'not_built' END AS stratum FROM orders),
+y AS (SELECT *, ae IS DISTINCT FROM be OR al IS DISTINCT FROM bl AS ch, coalesce(ae='built',false) = coalesce(stratum IN ('built_before_2015','undated'),false) AS ra, coalesce(be='built',false) = coalesce(stratum IN ('built_before_2015','undated'),false) AS rb
+FROM x WHERE (ae IS NOT NULL OR al IS NOT NULL) AND (be IS NOT NULL OR bl IS NOT NULL))
+SELECT stratum, count(*) AS n, count(*) FILTER (WHERE ch) AS changed, round(100.0::DOUBLE*count(*) FILTER (WHERE ch)/count(*),1) AS changed_pct, count(*) FILTER (WHERE ch AND rb AND NOT ra) AS toward, count(*) FILTER (WHERE ch AND ra AND NOT rb) AS away FROM y GROUP BY 1""")
+def label_changes(spark, d):
+    o = D.table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    label = lambda n: F.when(n % 4 == 0, "built").when(n % 4 == 1, "empty").when(n % 4 == 2, "unsure")
+    late = label(F.floor(k / 4))
+    stratum = F.when(k % 5 == 0, "built_before_2015").when(k % 5 == 1, "undated").when(k % 5 == 2, "new_2015_2024").when(k % 5 == 3, "not_built")
+    return V.label_changes(o.select(k.alias("id"), label(k).alias("early"), late.alias("late")), o.select(k.alias("id"), label(k + F.col("o_custkey") % 2).alias("early"), late.alias("late")), o.select(k.alias("id"), stratum.alias("stratum")))
+
+
 @register("control_area", sql("zone cell cell2", f""", road AS (SELECT r, c FROM cell WHERE v=96), near AS (SELECT DISTINCT g.r, g.c FROM grid g JOIN road ON abs(g.r-road.r)<=3 AND abs(g.c-road.c)<=3 AND sqrt(pow((g.r-road.r)*9.93,2)+pow((g.c-road.c)*8.82,2))<=30)
 SELECT zone, count(*) AS pixels, round(sum({A})/1e6,6) AS km2 FROM zone SEMI JOIN cell2 USING (r,c) ANTI JOIN near USING (r,c) GROUP BY 1"""))
 def control_area(spark, d):
@@ -352,23 +384,32 @@ def waterfall(spark, d):
     return a.join(reasons, ["r", "c"], "left").groupBy(F.coalesce("k", F.lit(9)).alias("reason")).agg(F.count("*").alias("n"), G.km2(F.sum(G.row_area(F.col("r")))).alias("km2"))
 
 
-@register("seam_record", sql("cell cell2", f""", x AS (SELECT CASE WHEN r<100 THEN 'north' ELSE 'south' END AS island, round(sum({A}) FILTER (WHERE k=1)/1e6,2) AS a, round(sum({A}) FILTER (WHERE k=2)/1e6,2) AS b, round(sum({A}) FILTER (WHERE k=1 AND v<=97)/1e6,2) AS d FROM (SELECT *,1 AS k FROM cell UNION ALL SELECT *,2 FROM cell2) GROUP BY 1)
-SELECT island, a, b, d, round(b/nullif(a,0),4) AS factor, round(d/nullif(b,0),4) AS net FROM x"""))
+_DIV = lambda n, d: f"round(CASE WHEN {d}=0 THEN 'NaN'::DOUBLE ELSE {n}/{d} END,2)"
+
+
+@register("seam_record", sql("cell cell2 pct zone parcel", f""", green AS (SELECT DISTINCT r, c FROM parcel),
+t AS (SELECT r, c, 'e' AS k FROM cell WHERE v<>255 AND v<=97 UNION ALL SELECT r, c, 'w' FROM cell2 UNION ALL SELECT r, c, CASE WHEN (r,c) IN (SELECT (r,c) FROM green) THEN 'g' ELSE 'f' END FROM pct WHERE v>=60),
+x AS (SELECT zone AS island, round(coalesce(sum({A}) FILTER (WHERE k='e'),0)/1e6,2) AS evo30, round(coalesce(sum({A}) FILTER (WHERE k='w'),0)/1e6,2) AS wsf15, round(coalesce(sum({A}) FILTER (WHERE k IN ('g','f')),0)/1e6,2) AS trk_e1, round(coalesce(sum({A}) FILTER (WHERE k='f'),0)/1e6,2) AS trk_e1_nogh FROM zone LEFT JOIN t USING (r,c) GROUP BY 1)
+SELECT *, {_DIV('evo30', 'wsf15')} AS resolution_factor, {_DIV('trk_e1', 'wsf15')} AS definition_factor_raw, {_DIV('trk_e1_nogh', 'wsf15')} AS definition_factor_masked, round(trk_e1-trk_e1_nogh,2) AS greenhouse_removed_km2,
+{_DIV('trk_e1_nogh', 'evo30')} AS net_evo_to_tracker_masked, CAST(CASE island WHEN 'box' THEN 2019 WHEN 'tri' THEN 2021 END AS INT) AS greenhouse_survey_year FROM x"""))
 def seam_record(spark, d):
-    """Extents per island and their ratios, taken from the rounded extents."""
+    """The first product up to 1996 is the older era, the second product its finer map, high percentages the newer era, parcels its greenhouses."""
     a, b = two(spark, d)
-    t = a.withColumn("k", F.lit(1)).union(b.withColumn("k", F.lit(2)))
-    part = lambda cond: F.round(F.sum(F.when(cond, G.row_area(F.col("r")))) / 1e6, 2)
-    k, v = F.col("k"), F.col("v")
-    x = t.groupBy(F.when(F.col("r") < 100, "north").otherwise("south").alias("island")).agg(part(k == 1).alias("a"), part(k == 2).alias("b"), part((k == 1) & (v <= 97)).alias("d"))
-    return x.select("island", "a", "b", "d", F.round(F.col("b") / F.nullif(F.col("a"), F.lit(0.0)), 4).alias("factor"), F.round(F.col("d") / F.nullif(F.col("b"), F.lit(0.0)), 4).alias("net"))
+    tracker = D.percents(spark, d).withColumn("v", F.when(F.col("v") >= 60, 1).otherwise(0))
+    surveys = spark.createDataFrame([("box", 2019), ("tri", 2021)], "island string, year int")
+    zones = P.rasterise(D.vertices(spark)).withColumnRenamed("zone", "island")
+    return V.seam_record(a, b, tracker, P.rasterise(D.parcels(spark, d)), zones, surveys, 1996)
 
 
-@register("status_rollup", sql("cell", "SELECT CASE WHEN r<100 THEN 'north' ELSE 'south' END AS island, count(*) FILTER (WHERE v<=96) AS n96, count(*) FILTER (WHERE v<=99) AS n99, count(*) FILTER (WHERE v<=99)-count(*) FILTER (WHERE v<=96) AS change FROM cell GROUP BY ROLLUP(1)"))
+@register("status_rollup", sql("cell cell2", """, s AS (SELECT CASE WHEN r<100 THEN 'north' ELSE 'south' END AS island, * FROM (SELECT r, c, 'first' AS k FROM cell WHERE v<=94 UNION ALL SELECT r, c, 'middle' FROM cell WHERE v<=97 UNION ALL SELECT r, c, 'last' FROM cell2 UNION ALL SELECT r, c, CASE v%6 WHEN 1 THEN 'new' WHEN 2 THEN 'lost' END FROM cell WHERE v%6 IN (1,2))),
+u AS (SELECT island, round(count(*) FILTER (WHERE k='first')*0.0001::DOUBLE,2) AS km2_first, round(count(*) FILTER (WHERE k='middle')*0.0001::DOUBLE,2) AS km2_middle, round(count(*) FILTER (WHERE k='last')*0.0001::DOUBLE,2) AS km2_last,
+round(count(*) FILTER (WHERE k='new')*0.0004::DOUBLE,3) AS new_km2, round(count(*) FILTER (WHERE k='lost')*0.0004::DOUBLE,3) AS lost_km2, round(100*(count(*) FILTER (WHERE k='lost')*0.0004::DOUBLE)/(count(*) FILTER (WHERE k='middle')*0.0001::DOUBLE*3),3) AS loss_pct_year FROM s GROUP BY 1)
+SELECT * FROM u UNION ALL SELECT NULL, round(sum(km2_first),2), round(sum(km2_middle),2), round(sum(km2_last),2), round(sum(new_km2),3), round(sum(lost_km2),3), round(100*round(sum(lost_km2),3)/(round(sum(km2_middle),2)*3),3) FROM u"""))
 def status_rollup(spark, d):
-    t = D.cells(spark, d).withColumn("island", F.when(F.col("r") < 100, "north").otherwise("south"))
-    n = lambda y: F.count_if(F.col("v") <= y)
-    return t.rollup("island").agg(n(96).alias("n96"), n(99).alias("n99"), (n(99) - n(96)).alias("change"))
+    a, b = two(spark, d)
+    island = F.when(F.col("r") < 100, "north").otherwise("south").alias("island")
+    of = lambda t, kind: t.select(island, F.lit(kind).alias("status"))
+    return V.status_report(of(a.where("v <= 94"), "first").union(of(a.where("v <= 97"), "middle")).union(of(b, "last")), a.select(island, (F.col("v") % 6).alias("v")), 0.0001, 0.0004, 3)
 
 
 @register("footprint_pivot", sql("cell", "SELECT CASE WHEN r<100 THEN 'north' ELSE 'south' END AS island, " + ", ".join(f"count(*) FILTER (WHERE v={v}) AS y{v + 1899}" for v in range(96, 103)) + " FROM cell GROUP BY 1"))
