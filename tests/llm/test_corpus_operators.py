@@ -102,30 +102,84 @@ def test_operators_over_ranges_in_levels(spark, docs, three_levels, monkeypatch)
 
 # -- op1 ------------------------------------------------------------------------------------------
 
+WORDS = {"words": counts.pattern_counter("[^\\x20\\x09-\\x0D]+")}
+
+
 def test_rollup_is_idempotent_and_signed(spark):
     store = counts.Rollup(spark, scratch(spark, "t"))
     df = awkward(spark)
-    made = counts.counted(df)
-    one = F.col("`words-1`")
-    assert store.totals().count() == 0
-    assert store.commit(1, counts.signed(made, one, "words-1", 1))
-    assert not store.commit(1, counts.signed(made, one, "words-1", 1))
+    made = counts.counted(df, WORDS)
+    one = F.col("words")
+    assert store.totals().count() == 0 and store.compact() == 0
+    assert store.commit(1, counts.signed(made, one, "words", 1))
+    assert not store.commit(1, counts.signed(made, one, "words", 1))
     total = store.totals().agg(F.sum("docs"), F.sum("tokens")).first()
     words = sum(len(re.findall(r"[^ \t-\r]+", r.text or "")) for r in df.collect())
     assert tuple(total) == (df.count(), words)
-    store.commit(2, counts.revised(made.where("doc_id = 6"), one, one + 5, "words-1"))
+    store.commit(2, counts.revised(made.where("doc_id = 6"), one, one + 5, "words"))
+    assert store.totals().agg(F.sum("tokens")).first()[0] == words + 5
+    assert store.compact() == 2 and store.compact() == 0 and not store._folders("batch")
     assert store.totals().agg(F.sum("tokens")).first()[0] == words + 5
-    store.commit(3, counts.signed(made.where("source = 'c'"), one, "words-1", -1))
+    assert store.committed(1) and not store.commit(2, counts.revised(made, one, one + 5, "words"))
+    store.commit(3, counts.signed(made.where("source = 'c'"), one, "words", -1))
     assert store.totals().where("source = 'c'").count() == 0
-    store.commit(4, counts.signed(counts.counted(empty(spark)), one, "words-1", 1))
-    before = sorted(map(str, store.totals().collect()))
-    store.commit(5, counts.signed(made, one, "words-1", 1))
-    store.fs.delete(store.path(f"{store._at(5)}/_SUCCESS"), False)
-    assert not store.committed(5) and sorted(map(str, store.totals().collect())) == before
-    path = vocabulary("byte_bpe_50k.json")
-    tokens = counts.counted(df, {"bpe": counts.vocabulary_counter(path)}).agg(F.sum("bpe")).first()[0]
-    assert tokens == sum(len(Encoder(path).tokenizer.encode(r.text or "", add_special_tokens=False).ids) for r in df.collect())
+    store.commit(4, counts.signed(counts.counted(empty(spark), WORDS), one, "words", 1))
     assert store.totals().where("source is null").count() == 2
+    before = sorted(map(str, store.totals().collect()))
+    assert store.compact() == 2 and list(store._folders("folded")) == [2] and sorted(map(str, store.totals().collect())) == before
+
+
+def test_attempts_that_lose_or_stop_do_not_count(spark):
+    """Two commits of one batch, of which the second finds the name taken when it is done; an attempt without a name; a compaction that stops before it deletes."""
+    store = counts.Rollup(spark, scratch(spark, "t"))
+    made = counts.counted(awkward(spark), WORDS)
+    add = counts.signed(made, F.col("words"), "words", 1)
+    add.write.parquet(f"{store.root}/.attempt-stopped")
+    assert store.totals().count() == 0 and not store.committed(7)
+    add.write.parquet(f"{store.root}/.attempt-late")
+    assert store.commit(7, add)
+    want = sorted(map(str, store.totals().collect()))
+    assert not store._named(".attempt-late", "batch=000000000007") and not store.fs.exists(store.path(f"{store.root}/.attempt-late"))
+    kept = spark.read.parquet(f"{store.root}/batch=000000000007").count()
+    assert sorted(map(str, store.totals().collect())) == want and kept > 0
+    real = store.fs
+
+    class Stopped:
+        """A file system on which nothing is deleted."""
+
+        def __getattr__(self, name):
+            return getattr(real, name)
+
+        def delete(self, *path):
+            return False
+
+    store.fs = Stopped()
+    assert store.compact() == 1 and store._folders("batch")
+    store.fs = real
+    assert sorted(map(str, store.totals().collect())) == want
+    assert store.compact() == 0 and not store._folders("batch") and sorted(map(str, store.totals().collect())) == want
+
+
+def test_token_counts_equal_brute_force(spark):
+    """All documents by both vocabularies, toxic ones gone, bad ones recounted by the other vocabulary; encoded one by one."""
+    found = duckdb.sql(f"select doc_id, source, lang, coalesce(text, '') from '{SF}/documents.parquet'").fetchall()
+    marks = defaultdict(lambda: (None, None)) | {d: (t, q) for d, t, q in duckdb.sql(f"select doc_id, max(toxic), min(quality) from '{SF}/labels.parquet' group by doc_id").fetchall()}
+    encoders = {name: Encoder(vocabulary(f)).tokenizer for name, f in (("byte-bpe-50k", "byte_bpe_50k.json"), ("word-bpe-49k", "word_bpe_49k.json"))}
+    docs, tokens = Counter(), Counter()
+    for doc, source, lang, text in found:
+        toxic, quality = marks[doc]
+        if toxic == 1:
+            continue
+        n = {name: len(e.encode(text, add_special_tokens=False).ids) for name, e in encoders.items()}
+        if quality == 0:
+            n["byte-bpe-50k"] = n["word-bpe-49k"]
+        for name, k in n.items():
+            docs[source, lang, name] += 1
+            tokens[source, lang, name] += k
+    got = {(r["source"], r["lang"], r["tokenizer"]): (r["docs"], r["tokens"]) for r in rows(queries.op1_token_counts(spark, SF))}
+    assert got == {k: (docs[k], tokens[k]) for k in docs}
+    made = counts.counted(awkward(spark), counts.vocabularies())
+    assert made.agg(F.sum("`byte-bpe-50k`")).first()[0] == sum(len(encoders["byte-bpe-50k"].encode(r.text or "", add_special_tokens=False).ids) for r in awkward(spark).collect())
 
 
 # -- op2 ------------------------------------------------------------------------------------------
