@@ -4,6 +4,7 @@ import math
 
 from terrafold.operators import records
 
+
 def km2(spark, r, n):
     """n cells of row r."""
     from pyspark.sql import functions as F
