@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from terrafold.operators import buffers as U
 from terrafold.operators import pyramid as Y
+from terrafold.operators import spans as P
 from terrafold.plans.registry import register
 from terrafold.sources import derived as D
 from terrafold.sources import gml, statistics, tiles
@@ -98,3 +100,31 @@ def merged_on_disk(spark, d):
     statistics.commit(part, path)
     statistics.commit(part, path)
     return statistics.published(spark, path, "layer string, island string, n long, total double")
+
+
+_LINE = "SELECT (s_suppkey*53)%190 + (s_suppkey%2)*0.5::DOUBLE AS x1, (s_suppkey*37)%190 + (s_suppkey%3)*0.25::DOUBLE AS y1, (s_suppkey*53)%190 + (s_suppkey%2)*0.5::DOUBLE + s_suppkey%21 - 10 AS x2, (s_suppkey*37)%190 + (s_suppkey%3)*0.25::DOUBLE + s_suppkey%17 - 8 AS y2 FROM supplier"
+
+
+@register("buffered_ground", sql("zone cell2", f""", l AS ({_LINE}), m AS (SELECT x1*8.82 AS ax, y1*9.93 AS ay, (x2-x1)*8.82 AS dx, (y2-y1)*9.93 AS dy FROM l),
+land AS (SELECT DISTINCT z.zone, z.r, z.c, (z.c+0.5)*8.82::DOUBLE AS px, (z.r+0.5)*9.93::DOUBLE AS py FROM zone z SEMI JOIN cell2 USING (r,c)),
+t AS (SELECT zone, r, c, px-ax AS qx, py-ay AS qy, dx, dy, CASE WHEN dx*dx+dy*dy=0 THEN 0 ELSE least(greatest(((px-ax)*dx+(py-ay)*dy)/(dx*dx+dy*dy),0),1) END AS t FROM land, m WHERE px BETWEEN least(ax,ax+dx)-31 AND greatest(ax,ax+dx)+31 AND py BETWEEN least(ay,ay+dy)-31 AND greatest(ay,ay+dy)+31),
+near AS (SELECT DISTINCT zone, r, c FROM t WHERE sqrt(pow(qx-t*dx,2)+pow(qy-t*dy,2))<=30)
+SELECT zone, count(*) AS pixels, round(sum({A})/1e6,6) AS km2 FROM land ANTI JOIN near USING (zone, r, c) GROUP BY 1"""))
+def buffered_ground(spark, d):
+    """Ground of each zone that the second product holds and that lies farther than 30 m from a line, one line per supplier."""
+    from terrafold.functions.grid import km2, row_area
+
+    k = F.col("s_suppkey")
+    x, y = (k * 53) % 190 + (k % 2) * 0.5, (k * 37) % 190 + (k % 3) * 0.25
+    lines = D.table(spark, d, "supplier").select(x.alias("x1"), y.alias("y1"), (x + k % 21 - 10).alias("x2"), (y + k % 17 - 8).alias("y2"))
+    free = U.outside(D.cells2(spark, d), U.buffer_spans(lines, 30.0, 9.93, 8.82))
+    held = P.inside(free, P.spans(D.vertices(spark)))
+    return held.groupBy("zone").agg(F.count("*").alias("pixels"), km2(F.sum(row_area(F.col("r")))).alias("km2"))
+
+
+@register("control_tiers", """WITH a AS (SELECT s_nationkey AS island, 'p' || s_suppkey AS zone, 1 + s_suppkey % 4 AS tier FROM supplier), u AS (SELECT * FROM a WHERE tier <= 2 AND island <> 7), b AS (SELECT island, min(tier) AS best FROM u GROUP BY 1),
+c AS (SELECT u.island, u.zone, CASE WHEN best = 1 THEN 'tier 1' ELSE 'tier 1+2' END AS label FROM u JOIN b USING (island) WHERE best = 2 OR tier = 1)
+SELECT CAST(n_nationkey AS VARCHAR) AS island, label, zone FROM nation LEFT JOIN c ON island = n_nationkey""")
+def control_tiers(spark, d):
+    areas = D.table(spark, d, "supplier").select(F.col("s_nationkey").cast("string").alias("island"), F.concat(F.lit("p"), F.col("s_suppkey").cast("string")).alias("zone"), (1 + F.col("s_suppkey") % 4).alias("tier"))
+    return U.control_tiers(areas, D.table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("island")), ("7",))
