@@ -111,28 +111,57 @@ def interpolated(table: list[float], start: float, step: float, x: Column) -> Co
     return F.when(x.isNull() | F.isnan(x), F.raise_error(F.lit("latitude is not finite")).cast("double")).otherwise(line)
 
 
+# The ellipsoid GRS 80 and the centre and false origin of the European equal-area projection.
+LAEA_A, LAEA_F, LAEA_LON, LAEA_LAT, LAEA_X, LAEA_Y = 6378137.0, 1 / 298.257222101, 10.0, 52.0, 4321000.0, 3210000.0
+
+
+def laea_constants() -> dict[str, float]:
+    """e2, e, qp (the authalic function at the pole), b1 (the centre's authalic latitude), rq (the sphere's radius), d (the stretch between both axes)."""
+    e2 = LAEA_F * (2 - LAEA_F)
+    e, centre = math.sqrt(e2), math.radians(LAEA_LAT)
+    q_of = lambda s: (1 - e2) * (s / (1 - e2 * s * s) - math.log((1 - e * s) / (1 + e * s)) / (2 * e))
+    qp = q_of(1.0)
+    b1, rq = math.asin(q_of(math.sin(centre)) / qp), LAEA_A * math.sqrt(qp / 2)
+    return {"e2": e2, "e": e, "qp": qp, "b1": b1, "rq": rq, "d": LAEA_A * math.cos(centre) / (math.sqrt(1 - e2 * math.sin(centre) ** 2) * rq * math.cos(b1))}
+
+
+def _authalic(s: Column, k: dict[str, float]) -> Column:
+    return (1 - k["e2"]) * (s / (1 - k["e2"] * s * s) - F.log((1 - k["e"] * s) / (1 + k["e"] * s)) / (2 * k["e"]))
+
+
 def laea(lon: Column, lat: Column) -> tuple[Column, Column]:
     """Lambert azimuthal equal-area metres of Europe (GRS 80, centre 10 E 52 N, false origin 4,321,000, 3,210,000)."""
-    a, f = 6378137.0, 1 / 298.257222101
-    e2 = f * (2 - f)
-    e = math.sqrt(e2)
-    centre = math.radians(52.0)
-
-    def q_of(s: float) -> float:
-        return (1 - e2) * (s / (1 - e2 * s * s) - math.log((1 - e * s) / (1 + e * s)) / (2 * e))
-
-    qp, b1 = q_of(1.0), math.asin(q_of(math.sin(centre)) / q_of(1.0))
-    rq = a * math.sqrt(qp / 2)
-    d = a * math.cos(centre) / (math.sqrt(1 - e2 * math.sin(centre) ** 2) * rq * math.cos(b1))
-    s = F.sin(F.radians(lat))
-    q = (1 - e2) * (s / (1 - e2 * s * s) - F.log((1 - e * s) / (1 + e * s)) / (2 * e))
-    beta, dl = F.asin(F.least(q / qp, F.lit(1.0))), F.radians(lon - 10.0)
-    b = F.sqrt(2 / (1 + math.sin(b1) * F.sin(beta) + math.cos(b1) * F.cos(beta) * F.cos(dl))) * rq
-    x = F.lit(4321000.0) + b * d * F.cos(beta) * F.sin(dl)
-    y = F.lit(3210000.0) + b / d * (math.cos(b1) * F.sin(beta) - math.sin(b1) * F.cos(beta) * F.cos(dl))
+    k = laea_constants()
+    b1, d = k["b1"], k["d"]
+    beta, dl = F.asin(F.least(_authalic(F.sin(F.radians(lat)), k) / k["qp"], F.lit(1.0))), F.radians(lon - LAEA_LON)
+    b = F.sqrt(2 / (1 + math.sin(b1) * F.sin(beta) + math.cos(b1) * F.cos(beta) * F.cos(dl))) * k["rq"]
+    x = F.lit(LAEA_X) + b * d * F.cos(beta) * F.sin(dl)
+    y = F.lit(LAEA_Y) + b / d * (math.cos(b1) * F.sin(beta) - math.sin(b1) * F.cos(beta) * F.cos(dl))
     return x, y
 
 
+def laea_inverse(x: Column, y: Column, rounds: int = 4) -> tuple[Column, Column]:
+    """Longitude and latitude of European equal-area metres; the latitude by Newton's rounds from the authalic one (four leave less than 1e-12 degrees)."""
+    k = laea_constants()
+    b1, d, rq, e2 = k["b1"], k["d"], k["rq"], k["e2"]
+    u, v = (x - LAEA_X) / d, (y - LAEA_Y) * d
+    rho = F.hypot(u, v)
+    ce = 2 * F.asin(F.least(rho / (2 * rq), F.lit(1.0)))
+    sin_beta = F.cos(ce) * math.sin(b1) + F.when(rho == 0, F.lit(0.0)).otherwise(v * F.sin(ce) * math.cos(b1) / F.nullif(rho, F.lit(0.0)))
+    lon = F.lit(LAEA_LON) + F.degrees(F.atan2(u * F.sin(ce), rho * math.cos(b1) * F.cos(ce) - v * math.sin(b1) * F.sin(ce)))
+    q = F.least(F.greatest(sin_beta, F.lit(-1.0)), F.lit(1.0)) * k["qp"]
+
+    def closer(phi: Column) -> Column:
+        s = F.sin(phi)
+        w = 1 - e2 * s * s
+        return phi + w * w * (q - _authalic(s, k)) / (2 * (1 - e2) * F.cos(phi))
+
+    start = F.asin(F.least(F.greatest(sin_beta, F.lit(-1.0)), F.lit(1.0)))
+    # Each round is computed once: it is the state of an aggregation over the rounds' numbers.
+    phi = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, lambda s, _: closer(s))
+    return F.when(rho == 0, F.lit(LAEA_LON)).otherwise(lon), F.degrees(phi)
+
+
 def mercator_cell(x: Column, y: Column, px: float = PIXEL, north: float = TEST_LAT, west: float = TEST_LON) -> tuple[Column, Column]:
     """Row and column of the grid under a point in web map metres."""
     lon, lat = F.degrees(x / MERCATOR_R), F.degrees(2 * F.atan(F.exp(y / MERCATOR_R)) - math.pi / 2)

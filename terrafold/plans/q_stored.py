@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from terrafold.functions import grid as G
 from terrafold.operators import buffers as U
 from terrafold.operators import pyramid as Y
+from terrafold.operators import reproject as W
 from terrafold.operators import spans as P
 from terrafold.plans.registry import register
 from terrafold.sources import derived as D
@@ -128,3 +130,48 @@ SELECT CAST(n_nationkey AS VARCHAR) AS island, label, zone FROM nation LEFT JOIN
 def control_tiers(spark, d):
     areas = D.table(spark, d, "supplier").select(F.col("s_nationkey").cast("string").alias("island"), F.concat(F.lit("p"), F.col("s_suppkey").cast("string")).alias("zone"), (1 + F.col("s_suppkey") % 4).alias("tier"))
     return U.control_tiers(areas, D.table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("island")), ("7",))
+
+
+#: Where the source grid of the test products begins, in equal-area metres: about where the test cells lie.
+X0, Y0 = 1_809_000.0, 984_500.0
+
+
+def _laea_sql(lon: str, lat: str, table: str, keep: str) -> str:
+    """Columns keep, x, y of a table by the projection's formulas, step by step."""
+    k = {n: f"{v!r}::DOUBLE" for n, v in G.laea_constants().items()}
+    return f"""(SELECT {keep}, {G.LAEA_X}+b*{k['d']}*cos(beta)*sin(dl) AS x, {G.LAEA_Y}+b/{k['d']}*(cos({k['b1']})*sin(beta)-sin({k['b1']})*cos(beta)*cos(dl)) AS y FROM (
+SELECT *, sqrt(2/(1+sin({k['b1']})*sin(beta)+cos({k['b1']})*cos(beta)*cos(dl)))*{k['rq']} AS b FROM (
+SELECT *, asin(least((1-{k['e2']})*(s/(1-{k['e2']}*s*s)-ln((1-{k['e']}*s)/(1+{k['e']}*s))/(2*{k['e']}))/{k['qp']},1)) AS beta, radians(({lon})-{G.LAEA_LON}) AS dl FROM (SELECT *, sin(radians({lat})) AS s FROM {table}))))"""
+
+
+_AT = _laea_sql(f"{G.TEST_LON}+{G.PIXEL}*(c+0.5)", f"{G.TEST_LAT}-{G.PIXEL}*(r+0.5)", "cell", "r, c")
+_PIECES = "m AS (SELECT r, c, arg_min(v, k) AS v FROM (SELECT r, c, v, 1 AS k FROM pct UNION ALL SELECT r, c, v, 2 FROM conf) WHERE v <> 110 GROUP BY 1, 2)"
+
+
+def _source(spark, d):
+    """Two overlapping pieces of a product of percentages on the equal-area grid; 110 stands for no data."""
+    piece = lambda t, k: t.select(F.lit(k).alias("piece"), "r", "c", "v")
+    return W.merged(piece(D.percents(spark, d), 1).union(piece(D.confidences(spark, d), 2)), 110)
+
+
+@register("reprojected_nearest", sql("cell pct conf", f""", {_PIECES}, t AS (SELECT r, c, CAST(floor((x-{X0})/10) AS INT) AS sc, CAST(floor(({Y0}-y)/10) AS INT) AS sr FROM {_AT})
+SELECT t.r, t.c, coalesce(m.v, 110) AS v FROM t LEFT JOIN m ON m.r=t.sr AND m.c=t.sc"""))
+def reprojected_nearest(spark, d):
+    return W.on_grid(D.cells(spark, d), _source(spark, d), 110, X0, Y0, 10.0)
+
+
+@register("reprojected_bilinear", sql("cell pct conf", f""", {_PIECES}, t AS (SELECT r, c, (x-{X0})/10-0.5 AS fx, ({Y0}-y)/10-0.5 AS fy FROM {_AT}),
+w AS (SELECT t.r, t.c, CAST(floor(fy) AS INT)+i AS sr, CAST(floor(fx) AS INT)+j AS sc, (1-abs(fy-floor(fy)-i))*(1-abs(fx-floor(fx)-j)) AS w FROM t, range(2) a(i), range(2) b(j)),
+s AS (SELECT w.r, w.c, round(sum(m.v*w)/sum(w),6) AS v FROM w JOIN m ON m.r=w.sr AND m.c=w.sc WHERE w>0 GROUP BY 1,2)
+SELECT t.r, t.c, coalesce(s.v, 110) AS v FROM t LEFT JOIN s ON s.r=t.r AND s.c=t.c"""))
+def reprojected_bilinear(spark, d):
+    return W.on_grid(D.cells(spark, d), _source(spark, d), 110, X0, Y0, 10.0, "bilinear")
+
+
+@register("equal_area_and_back", sql("cell", f"SELECT r, c, round({G.TEST_LON}+{G.PIXEL}*(c+0.5),8) AS lon, round({G.TEST_LAT}-{G.PIXEL}*(r+0.5),8) AS lat, round(x,3) AS x, round(y,3) AS y FROM {_AT}"))
+def equal_area_and_back(spark, d):
+    """Cells' centres in equal-area metres, and back from those to the degrees that they came from."""
+    x, y = G.laea(G.lon_of(F.col("c")), G.lat_of(F.col("r")))
+    p = D.cells(spark, d).select("r", "c", x.alias("x"), y.alias("y"))
+    lon, lat = G.laea_inverse(F.col("x"), F.col("y"))
+    return p.select("r", "c", F.round(lon, 8).alias("lon"), F.round(lat, 8).alias("lat"), F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
