@@ -7,7 +7,7 @@ window over a whole raster, and every shuffle is on the cell key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrafold.functions.encoding import UNDATED, encode_year, oldest
@@ -150,20 +150,31 @@ def erode(cells: DataFrame) -> DataFrame:
     return full.select(*KEY)
 
 
+#: Columns that are searched together for a nearest cell.
+BAND = 4096
+
+
 def nearest_distance(points: DataFrame, cells: DataFrame, reach: int, north_m: float, east_m: float) -> DataFrame:
-    """Metres from each point cell to the nearest built cell within reach cells; null beyond. Bucketed by reach."""
-    def near(df: DataFrame, prefix: str) -> DataFrame:
-        return df.select(F.col("r").alias(f"{prefix}r"), F.col("c").alias(f"{prefix}c"))
-
-    size = 2 * reach + 1
-    spread = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    p = points.withColumn("i", F.explode(spread)).withColumn("j", F.explode(spread)).withColumns({
-        "br": F.floor(F.col("r") / size) + F.col("i"), "bc": F.floor(F.col("c") / size) + F.col("j")})
-    q = near(cells, "q").withColumns({"br": F.floor(F.col("qr") / size), "bc": F.floor(F.col("qc") / size)})
-    pairs = p.join(q, ["br", "bc"]).where((F.abs(F.col("qr") - F.col("r")) <= reach) & (F.abs(F.col("qc") - F.col("c")) <= reach))
-    metres = F.hypot((F.col("qr") - F.col("r")) * north_m, (F.col("qc") - F.col("c")) * east_m)
-    best = pairs.groupBy("id").agg(F.min(metres).alias("metres"))
-    return points.select("id").join(best, "id", "left").select("id", F.round("metres", 6).alias("metres"))
+    """Metres from each point cell (id, r, c; unique ids) to the nearest built cell within reach rows and columns; null beyond.
+
+    The distance is separable: a point asks each of the rows within reach for the nearest built column on
+    either side, which running windows over the row's cells and questions answer, so a point costs a row
+    per row of reach and cells are never paired with points.
+    """
+    band = lambda x: F.floor(x / BAND)
+    c = F.col("c")
+    asked = points.select("id", "c", F.explode(F.sequence(F.lit(-reach), F.lit(reach))).alias("d"), "r")
+    asked = asked.select("id", "d", (F.col("r") + F.col("d")).alias("r"), "c", band(c).alias("band"), F.lit(None).cast("int").alias("built"))
+    # A cell near the edge of a band answers questions of the next one too.
+    built = cells.select(*KEY).distinct().withColumn("band", F.explode(F.sequence(band(c - reach), band(c + reach))))
+    held = built.select(F.lit(None).cast(points.schema["id"].dataType).alias("id"), F.lit(None).cast("int").alias("d"), "r", "c", "band", F.col("c").cast("int").alias("built"))
+    rows = asked.union(held)
+    so_far = lambda *order: Window.partitionBy("r", "band").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    here = F.col("built").isNull().cast("int")  # cells before the questions of their column
+    seen = rows.withColumn("left", F.last("built", True).over(so_far("c", here))).withColumn("right", F.last("built", True).over(so_far(F.desc("c"), here)))
+    across = F.least(F.when(c - F.col("left") <= reach, c - F.col("left")), F.when(F.col("right") - c <= reach, F.col("right") - c))
+    best = seen.where("d is not null").select("id", F.hypot(F.col("d") * north_m, across * east_m).alias("m")).groupBy("id").agg(F.min("m").alias("metres"))
+    return best.select("id", F.round("metres", 6).alias("metres"))
 
 
 def near_cells(cells: DataFrame, metres: float, north_m: float, east_m: float) -> DataFrame:
