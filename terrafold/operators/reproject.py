@@ -24,7 +24,7 @@ def on_grid(target: DataFrame, source: DataFrame, nodata: int, x0: float, y0: fl
     """r, c, v of every target cell (r, c), from source cells (r, c, v; the upper left corner at x0, y0).
 
     nearest: the value of the source cell that holds the centre. bilinear: the mean of the four cells whose
-    centres lie round it, by nearness and over those that are data (6 places). Without any, the value is
+    centres lie round it, by nearness and over those that are data (3 places). Without any, the value is
     nodata.
     """
     if how not in ("nearest", "bilinear"):
@@ -41,7 +41,7 @@ def on_grid(target: DataFrame, source: DataFrame, nodata: int, x0: float, y0: fl
     each = base.select("*", corner).select(
         *KEY, (F.col("r0") + F.col("k.i")).alias("sr"), (F.col("c0") + F.col("k.j")).alias("sc"),
         ((1 - F.abs(F.col("fy") - 0.5 - F.col("r0") - F.col("k.i"))) * (1 - F.abs(F.col("fx") - 0.5 - F.col("c0") - F.col("k.j")))).alias("w"))
-    sums = each.join(data, ["sr", "sc"]).where("w > 0").groupBy(*KEY).agg(F.round(F.sum(F.col("sv") * F.col("w")) / F.sum("w"), 6).alias("v"))
+    sums = each.join(data, ["sr", "sc"]).where("w > 0").groupBy(*KEY).agg(F.round(F.sum(F.col("sv") * F.col("w")) / F.sum("w"), 3).alias("v"))
     return cells.join(sums, KEY, "left").select(*KEY, F.coalesce("v", F.lit(float(nodata))).alias("v"))
 
 

@@ -162,7 +162,7 @@ def reprojected_nearest(spark, d):
 
 @register("reprojected_bilinear", sql("cell pct conf", f""", {_PIECES}, t AS (SELECT r, c, (x-{X0})/10-0.5 AS fx, ({Y0}-y)/10-0.5 AS fy FROM {_AT}),
 w AS (SELECT t.r, t.c, CAST(floor(fy) AS INT)+i AS sr, CAST(floor(fx) AS INT)+j AS sc, (1-abs(fy-floor(fy)-i))*(1-abs(fx-floor(fx)-j)) AS w FROM t, range(2) a(i), range(2) b(j)),
-s AS (SELECT w.r, w.c, round(sum(m.v*w)/sum(w),6) AS v FROM w JOIN m ON m.r=w.sr AND m.c=w.sc WHERE w>0 GROUP BY 1,2)
+s AS (SELECT w.r, w.c, round(sum(m.v*w)/sum(w),3) AS v FROM w JOIN m ON m.r=w.sr AND m.c=w.sc WHERE w>0 GROUP BY 1,2)
 SELECT t.r, t.c, coalesce(s.v, 110) AS v FROM t LEFT JOIN s ON s.r=t.r AND s.c=t.c"""))
 def reprojected_bilinear(spark, d):
     return W.on_grid(D.cells(spark, d), _source(spark, d), 110, X0, Y0, 10.0, "bilinear")

@@ -52,10 +52,10 @@ def test_values_on_the_grid(spark, how):
         r0, c0 = math.floor(fy - 0.5), math.floor(fx - 0.5)
         near = [(source.get((r0 + i, c0 + j), nodata), (1 - abs(fy - 0.5 - r0 - i)) * (1 - abs(fx - 0.5 - c0 - j))) for i in (0, 1) for j in (0, 1)]
         near = [(v, w) for v, w in near if v != nodata and w > 0]
-        want[cell] = round(sum(v * w for v, w in near) / sum(w for _, w in near), 6) if near else float(nodata)
+        want[cell] = round(sum(v * w for v, w in near) / sum(w for _, w in near), 3) if near else float(nodata)
     held = spark.createDataFrame([(*k, v) for k, v in source.items()], "r int, c int, v int")
     got = {(r.r, r.c): r.v for r in reproject.on_grid(df, held, nodata, x0, y0, m, how).collect()}
-    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 2e-6 for k in want) and len(set(want.values())) > 20
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 2e-3 for k in want) and len(set(want.values())) > 20
     lon = {(r.r, r.c): r for r in reproject.degrees(held, x0, y0, m).collect()}
     ax, ay = G.laea(F.lit(lon[3, 4].lon), F.lit(lon[3, 4].lat))
     assert tuple(spark.range(1).select(ax, ay).first()) == pytest.approx((x0 + 45.0, y0 - 35.0), abs=1e-4)
