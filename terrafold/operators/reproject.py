@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from terrafold.functions.grid import PIXEL, TEST_LAT, TEST_LON, laea, laea_inverse, lat_of, lon_of
 from terrafold.operators.cells import KEY
 
-KINDS = {"density": "bilinear"}
-
 
 def merged(pieces: DataFrame, nodata: int) -> DataFrame:
     """r, c, v of pieces (piece, r, c, v): where pieces overlap, the first one's value that is data stands."""

@@ -24,8 +24,7 @@ def commit(records: DataFrame, path: str, keys: tuple[str, ...] = KEYS) -> None:
 
 def published(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All records under the given schema, its columns in order."""
-    table = spark.read.schema(schema).parquet(path)
-    return table
+    return spark.read.schema(schema).parquet(path)
 
 
 def document(records: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
