@@ -7,8 +7,11 @@ left; no text is compared with all names.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrafold.functions import figures as Z
 from terrafold.sources.scratch import written
@@ -16,11 +19,23 @@ from terrafold.sources.scratch import written
 GRAM = 4
 
 
-def _grams(text: Column) -> Column:
-    """The distinct runs of GRAM characters of a text; none for a shorter one."""
-    n = F.length(text) - GRAM + 1
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(text, i, F.lit(GRAM)))
-    return F.when(n > 0, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+@F.pandas_udf(T.ArrayType(T.LongType(), False))
+def _grams(texts: pd.Series) -> pd.Series:
+    """Hashes of the distinct runs of GRAM characters of a text; none for a shorter one, or null.
+
+    Work in proportion to the text's length, where a substring per place counts characters from the start
+    again. Runs that share a hash only bring texts that the whole name is then not found in.
+    """
+
+    def runs(text: str | None) -> np.ndarray:
+        codes = np.frombuffer((text or "").encode("utf-32-le"), "<u4").astype(np.uint64)
+        n = max(len(codes) - GRAM + 1, 0)
+        h = np.zeros(n, np.uint64)
+        for k in range(GRAM):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + n]
+        return np.unique(h).view(np.int64)
+
+    return texts.map(runs)
 
 
 def naming(texts: DataFrame, names: DataFrame) -> DataFrame:

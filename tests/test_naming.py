@@ -1,6 +1,7 @@
 """Names in texts, figures by surface, coincidences of figures and acceptance by perturbation, against plain scans."""
 
 import re
+import time
 
 import duckdb
 import pytest
@@ -25,6 +26,25 @@ def test_names_are_substrings_wherever_they_stand(spark):
     assert naming.naming(df.limit(0), spark.createDataFrame([("abcd",)], "name string")).collect() == []
 
 
+def test_runs_of_a_text_are_found_in_proportion_to_its_length(spark):
+    """A long text takes no longer than as many characters in short ones, but for a fixed time; with a substring per place it took minutes."""
+    short = [("a\U0001f600b\nc\U0001f600b\n",), ("\U0001f600b\nc",), ("abc",), ("",), (None,)]
+    grams = [r.g for r in spark.createDataFrame(short, "t string").select(naming._grams("t").alias("g")).collect()]
+    assert [len({*g}) for g in grams] == [5, 1, 0, 0, 0] and {*grams[1]} < {*grams[0]}
+    pieces = [(str(k), "".join(f"{k * 100 + i:x} " for i in range(100))) for k in range(1000)]
+    names = spark.createDataFrame([("1869f ",), ("fff ",), ("nowhere",)], "name string")
+
+    def took(rows):
+        began = time.monotonic()
+        found = naming.naming(spark.createDataFrame(rows, "path string, text string").repartition(1), names).collect()
+        return time.monotonic() - began, {tuple(r) for r in found}
+
+    took(pieces[:1])
+    (short, parts), (long, whole) = took(pieces), took([("all", "".join(t for _, t in pieces))])
+    assert whole == {("all", n) for _, n in parts} and {n for _, n in parts} == {"1869f ", "fff "}
+    assert long < 3 * short + 20
+
+
 def test_figures_by_surface_match_a_plain_scan(spark):
     def plain(text):
         counts = {}
