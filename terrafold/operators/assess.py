@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,17 +11,17 @@ from pyspark.sql import functions as F
 FLOORED = ("new_2015_2024", "undated", "built_before_2015", "not_built")
 
 
-def design(strata: DataFrame, target_pct: float = 1.0, floor: int = 100, unsure: float = 0.2, not_built_usable: int = 0) -> DataFrame:
+def design(strata: DataFrame, target_pct: float = 1.0, floor: int = 100, unsure: float = 0.2, not_built_usable: int = 0, floored: Iterable[str] = FLOORED) -> DataFrame:
     """stratum, km2, expected -> n_formula, usable, draw: points for a target 95 % interval on overall accuracy.
 
     n = (sum of w * sqrt(p * (1 - p)) / (target / 1.96))**2, shared by area (half-even, at least 1); the
-    four claims get the floor, "not_built" may be given more; draws are inflated for unsure labels.
+    floored strata (the four claims) get the floor, "not_built" may be given more; draws are inflated for unsure labels.
     """
     every = Window.partitionBy()
     w = F.col("km2") / F.sum("km2").over(every)
     spread = strata.withColumn("w", w).withColumn("s", F.sqrt(F.col("expected") * (1 - F.col("expected"))))
     n = F.ceil(F.pow(F.sum(F.col("w") * F.col("s")).over(every) / (target_pct / 100 / 1.96), 2))
-    usable = F.greatest(F.lit(1), F.bround(n * F.col("w")), F.when(F.col("stratum").isin(*FLOORED), floor).otherwise(0))
+    usable = F.greatest(F.lit(1), F.bround(n * F.col("w")), F.when(F.col("stratum").isin(*floored), floor).otherwise(0))
     usable = F.greatest(usable, F.when(F.col("stratum") == "not_built", not_built_usable).otherwise(0))
     return spread.withColumn("n_formula", n.cast("long")).withColumn("usable", usable.cast("long")).select(
         "stratum", "km2", "n_formula", "usable", F.ceil(F.col("usable") / (1 - unsure)).cast("long").alias("draw"))
