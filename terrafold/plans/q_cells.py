@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from terrafold.functions import grid as G
 from terrafold.operators import analyses as N
+from terrafold.operators import boxes as B
 from terrafold.operators import cells as C
 from terrafold.operators import components as K
 from terrafold.operators import records as V
@@ -208,17 +209,10 @@ def boxes(spark, d):
 
 @register("boxes_overlap", f"WITH b AS ({_CLOSE}) SELECT a.id AS a, b.id AS b, (a.x0<b.x1 AND b.x0<a.x1 AND a.y0<b.y1 AND b.y0<a.y1) AS strict FROM b a JOIN b ON a.id<b.id AND a.x0<=b.x1 AND b.x0<=a.x1 AND a.y0<=b.y1 AND b.y0<=a.y1")
 def boxes_overlap(spark, d):
-    """Inclusive overlap by buckets of 10 units: boxes are at most 6 wide, and each pair is kept in one bucket."""
-    lo = lambda c: F.floor(F.col(c) / 10)
+    """Inclusive overlap by tiles of 10 units (boxes are at most 6 wide), and whether more than borders meet."""
     k = F.col("s_suppkey")
     b = D.table(spark, d, "supplier").select(k.alias("id"), (k * 7 % 30).alias("x0"), (k * 7 % 30 + k % 5).alias("x1"), (k * 11 % 30).alias("y0"), (k * 11 % 30 + k % 7).alias("y1"))
-    each = b.withColumn("bx", F.explode(F.sequence(lo("x0"), lo("x1")))).withColumn("by", F.explode(F.sequence(lo("y0"), lo("y1"))))
-    p, q = each.alias("p"), each.alias("q")
-    hit = (F.col("p.bx") == F.col("q.bx")) & (F.col("p.by") == F.col("q.by")) & (F.col("p.id") < F.col("q.id"))
-    touch = (F.col("p.x0") <= F.col("q.x1")) & (F.col("q.x0") <= F.col("p.x1")) & (F.col("p.y0") <= F.col("q.y1")) & (F.col("q.y0") <= F.col("p.y1"))
-    first = (F.col("p.bx") == F.floor(F.greatest("p.x0", "q.x0") / 10)) & (F.col("p.by") == F.floor(F.greatest("p.y0", "q.y0") / 10))
-    strict = (F.col("p.x0") < F.col("q.x1")) & (F.col("q.x0") < F.col("p.x1")) & (F.col("p.y0") < F.col("q.y1")) & (F.col("q.y0") < F.col("p.y1"))
-    return p.join(q, hit & touch & first).select(F.col("p.id").alias("a"), F.col("q.id").alias("b"), strict.alias("strict"))
+    return B.overlapping(b, 10)
 
 
 _ISLES = "isle AS (SELECT * FROM (VALUES (0,'west',0,0,40,100),(1,'mid',30,0,70,100),(2,'east',60,0,101,60)) t(k,name,x0,y0,x1,y1))"

@@ -1,7 +1,11 @@
 """Work that grows with its input: strata, boxes, rings and rules against plain computations."""
 
+import random
+
 import duckdb
+from pyspark.sql import functions as F
 
+from terrafold.operators import boxes
 from terrafold.plans.registry import all_oracles, all_queries
 
 
@@ -13,3 +17,25 @@ def test_small_strata_get_the_floor(spark, tmp_path):
     lineitem = duckdb.read_parquet(str(table))  # noqa: F841
     assert got == sorted(duckdb.sql(all_oracles()["sample_design"]).fetchall())
     assert [(r[0], r[3], r[4]) for r in got if r[0] == "new"] == [("new", 100, 125)]
+
+
+def test_overlaps_of_crowded_tiles_are_shared_out(spark, tmp_path):
+    """All boxes lie in 16 tiles; no partition makes most of the pairs."""
+    table = tmp_path / "supplier.parquet"
+    duckdb.sql(f"COPY (SELECT k AS s_suppkey FROM range(3000) t(k)) TO '{table}'")
+    df = all_queries()["boxes_overlap"](spark, str(tmp_path))
+    supplier = duckdb.read_parquet(str(table))  # noqa: F841
+    n, digest = duckdb.sql(f"SELECT count(*), sum(a * 31 + b * 7 + strict::int)::bigint FROM ({all_oracles()['boxes_overlap']})").fetchall()[0]
+    parts = df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.sum(F.col("a") * 31 + F.col("b") * 7 + F.col("strict").cast("int")).alias("digest")).collect()
+    assert (sum(r.n for r in parts), sum(r.digest for r in parts)) == (n, digest) and max(r.n for r in parts) < 0.6 * n
+
+
+def test_overlaps_equal_all_pairs_whatever_the_blocks(spark):
+    rng = random.Random(5)
+    corner = [(k, rng.randint(-20, 20), rng.randint(-8, 8)) for k in range(90)]
+    rows = [(k, x, x + rng.randint(0, 25), y, y + rng.randint(0, 9)) for k, x, y in corner]
+    want = {(a[0], b[0], a[1] < b[2] and b[1] < a[2] and a[3] < b[4] and b[3] < a[4]) for a in rows for b in rows if a[0] < b[0] and a[1] <= b[2] and b[1] <= a[2] and a[3] <= b[4] and b[3] <= a[4]}
+    df = spark.createDataFrame(rows, "id long, x0 long, x1 long, y0 long, y1 long")
+    for block in (7, 1000):
+        got = [tuple(r) for r in boxes.overlapping(df, 10, block).collect()]
+        assert len(got) == len(want) and {*got} == want
