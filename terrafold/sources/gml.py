@@ -11,7 +11,7 @@ Defined cases: an element that a schema field does not have is null; elements wi
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrafold.sources.feeds import year_of
@@ -64,14 +64,16 @@ def building_vertices(found: DataFrame) -> DataFrame:
     patches = F.col("geometry.Surface.patches.PolygonPatch")
     one = lambda r: r["LinearRing"]["posList"]["_VALUE"]
     of = F.flatten(F.transform(patches, lambda p: F.concat(F.array(one(p["exterior"])), F.coalesce(F.transform(p["interior"], one), F.array().cast("array<string>")))))
-    rings = found.where("malformed is null").select(F.col("_id").alias("id"), F.posexplode(of).alias("ring", "text")).where("text is not null")
+    # The condition stands in what is exploded: a filter would be pushed below the parser, and every element parsed twice.
+    sound = F.when(F.col("malformed").isNull(), of)
+    rings = found.select(F.col("_id").alias("id"), F.posexplode(sound).alias("ring", "text")).where("text is not null")
     numbers = F.transform(F.split(F.trim("text"), r"\s+"), lambda x: x.cast("double"))
     n = F.floor(F.size("numbers") / 2)
-    points = rings.withColumn("numbers", numbers).select("id", "ring", F.posexplode(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
-        F.get("numbers", (2 * i).cast("int")).alias("x"), F.get("numbers", (2 * i + 1).cast("int")).alias("y")))).alias("seq", "p"))
-    last = Window.partitionBy("id", "ring")
-    closing = (F.col("seq") > 0) & (F.col("seq") == F.max("seq").over(last)) & F.col("p").eqNullSafe(F.first("p").over(last.orderBy("seq")))
-    return points.withColumn("closing", closing).where("not closing").select("id", "ring", "seq", "p.x", "p.y")
+    rings = rings.withColumn("numbers", numbers).withColumn("points", F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
+        F.get("numbers", (2 * i).cast("int")).alias("x"), F.get("numbers", (2 * i + 1).cast("int")).alias("y"))))
+    closed = (F.size("points") > 1) & F.get("points", 0).eqNullSafe(F.element_at("points", -1))
+    open_ = F.when(closed, F.slice("points", F.lit(1), F.size("points") - 1)).otherwise(F.col("points"))
+    return rings.select("id", "ring", F.posexplode(open_).alias("seq", "p")).select("id", "ring", "seq", "p.x", "p.y")
 
 
 def write_buildings(rows: DataFrame, path: str, files: str) -> None:

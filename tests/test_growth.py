@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terrafold.operators import boxes
 from terrafold.plans.registry import all_oracles, all_queries
+from terrafold.sources import gml
 
 
 def test_small_strata_get_the_floor(spark, tmp_path):
@@ -39,3 +40,14 @@ def test_overlaps_equal_all_pairs_whatever_the_blocks(spark):
     for block in (7, 1000):
         got = [tuple(r) for r in boxes.overlapping(df, 10, block).collect()]
         assert len(got) == len(want) and {*got} == want
+
+
+def test_rings_are_closed_by_element_after_one_parse(spark, tmp_path):
+    """Two elements share an id; neither's last vertex is looked for in the other, nothing is shuffled, and a broken one has no rings."""
+    one = "<bu-ext2d:Building gml:id='x'><g><gml:Surface><gml:patches><gml:PolygonPatch><gml:exterior><gml:LinearRing><gml:posList>{}</gml:posList></gml:LinearRing></gml:exterior></gml:PolygonPatch></gml:patches></gml:Surface></g>{}</bu-ext2d:Building>"
+    one = one.replace("<g>", "<bu-core2d:geometry>").replace("</g>", "</bu-core2d:geometry>")
+    (tmp_path / "a.gml").write_text(one.format("0 0 1 0 1 1 0 0", "") + one.format("5 5 6 5 6 6 5 6 5 5", "") + one.format("7 7 8 8", "<open>") + one.format("3 4", ""))
+    found = gml.building_vertices(gml.elements(spark, str(tmp_path), gml.BUILDING, gml.BUILDING_SCHEMA))
+    assert sorted(tuple(r)[1:] for r in found.collect()) == [(0, 0, 0, 0), (0, 0, 3, 4), (0, 0, 5, 5), (0, 1, 1, 0), (0, 1, 6, 5), (0, 2, 1, 1), (0, 2, 6, 6), (0, 3, 5, 6)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_xml(") == 1 and "Exchange" not in plan
