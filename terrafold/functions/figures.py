@@ -100,6 +100,18 @@ def scrubbed(text: Column, table: Iterable[Rule]) -> tuple[Column, dict[str, Col
     return reduce(step, table, (text, {}))
 
 
+def folded(rows: DataFrame, text: str, table: Iterable[Rule]) -> DataFrame:
+    """rows with what the rules leave in the column text, and a column by each rule's name, as of scrubbed.
+
+    Every rule is a step of its own: columns of scrubbed that nest in each other are evaluated from the first
+    rule on for each count, so that many counts cost the square of the rules.
+    """
+    for rule in table:
+        body, counts = scrubbed(F.col(text), [rule])
+        rows = rows.withColumns(counts | {text: body})
+    return rows
+
+
 def normalised(token: Column) -> Column:
     """One spelling per figure: single spaces, metres as "m", no marks."""
     bare = F.regexp_replace(F.translate(token, MARK, ""), unicode(r"\s+"), " ")
@@ -139,6 +151,16 @@ def exemptions(text: Column, html: bool = False) -> list[Column]:
     return [c.alias(name) for name, c in counts.items() if name != "tag"]
 
 
+def surfaces(rows: DataFrame, text: str, html: bool = False) -> DataFrame:
+    """rows with the number of figures and the counts of exemptions in place of the column text; each rule runs over a text once."""
+    left = folded(rows, text, rules(html)).withColumn(text, _tokens(F.col(text), html))
+    tokens = F.col(text)
+    counted = F.array_distinct(F.transform(F.filter(tokens, lambda t: ~t.startswith(MARK) & ~is_year(t)), normalised))
+    marks = {"figures": F.size(counted), "year": F.size(F.filter(tokens, is_year)), "list_marker": F.size(F.filter(tokens, lambda t: t.startswith(MARK)))}
+    names = [r.name for r in rules(html) if r.name != "tag"]
+    return left.withColumns(marks).select(*[c for c in rows.columns if c != text], "figures", *names, "year", "list_marker")
+
+
 def quoted_strings(code: Column) -> Column:
     """String literals of JavaScript, quotes included, without those in comments or generated regions."""
     hidden = [Rule("generated", GENERATED, ""), Rule("block", r"(?s)/\*.*?\*/", ""), Rule("line", r"(?m)^\s*//.*$", "")]

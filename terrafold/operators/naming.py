@@ -55,8 +55,7 @@ def naming(texts: DataFrame, names: DataFrame) -> DataFrame:
 
 def surface_figures(texts: DataFrame, key: str, html: bool = False) -> DataFrame:
     """key, figures (how many distinct ones) and the count of every exemption, one row per surface; null text has none."""
-    text = F.coalesce("text", F.lit(""))
-    return texts.select(key, F.size(Z.figures(text, html)).alias("figures"), *Z.exemptions(text, html))
+    return Z.surfaces(texts.select(key, F.coalesce("text", F.lit("")).alias("text")), "text", html)
 
 
 # Units of live values as they are written.

@@ -5,10 +5,13 @@ import random
 import duckdb
 from pyspark.sql import functions as F
 
-from terrafold.operators import boxes
+from terrafold.functions import figures as Z
+from terrafold.operators import boxes, naming
 from terrafold.plans.registry import all_oracles, all_queries
 from terrafold.sources import gml
 
+SF = "/root/testdata/sf0.001"
+
 
 def test_small_strata_get_the_floor(spark, tmp_path):
     """One new cell among 200 old ones: a share of one point, raised to the floor as in the SQL."""
@@ -51,3 +54,19 @@ def test_rings_are_closed_by_element_after_one_parse(spark, tmp_path):
     assert sorted(tuple(r)[1:] for r in found.collect()) == [(0, 0, 0, 0), (0, 0, 3, 4), (0, 0, 5, 5), (0, 1, 1, 0), (0, 1, 6, 5), (0, 2, 1, 1), (0, 2, 6, 6), (0, 3, 5, 6)]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_xml(") == 1 and "Exchange" not in plan
+
+
+def test_each_rule_runs_over_a_surface_once(spark):
+    """The counts equal those of nested columns, and the plan holds each rule's pattern twice at most: counted and taken out."""
+    texts = ["<p>1.5 km² in 2019, v1.2.3 and 12 ha</p> &#160; rgba(1,2,3,0.5) CC BY 4.0 #12 doi:10.1/x https://a.b/1 <!-- 3 -->", None, "", "2. one\n3. two 98 times in 100 Section 4", "a<sup>2</sup> [[[cog x 7 [[[end]]] 5 m", "2020 none"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    for html in (True, False):
+        text = F.coalesce("text", F.lit(""))
+        want = df.select("k", F.size(Z.figures(text, html)).alias("figures"), *Z.exemptions(text, html))
+        got = naming.surface_figures(df, "k", html)
+        assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect())
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert 0 < plan.count(Z.STRUCTURE["doi"]) <= 2 and 0 < plan.count(Z.STRUCTURE["comment"]) <= 2
+    for name in ("surface_figures", "exempt_counts"):
+        plan = all_queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert 0 < plan.count(Z.STRUCTURE["doi"]) <= 2
